@@ -23,16 +23,20 @@ def moment(value: Column | date | datetime | str) -> Column:
 
 def parse_mdy_timestamp(col: Column | str) -> Column:
     """``m/d/y h:m:s`` text to a timestamp; years have two or four digits, bad text gives null."""
-    part = F.split(F.trim(_col(col)), "[/ :]+")
-    num = [F.get(part, F.lit(i)).try_cast("int") for i in range(6)]
-    width = F.length(F.get(part, F.lit(2)))
-    year = (
-        F.when(width == 4, num[2])
-        .when((width == 2) & (num[2] < PIVOT), num[2] + 2000)
-        .when(width == 2, num[2] + 1900)
-    )
-    stamp = F.try_make_timestamp_ntz(year, num[0], num[1], num[3], num[4], num[5])
-    return F.when(F.size(part) == 6, stamp)
+
+    def stamp(part: Column) -> Column:
+        num = [F.get(part, F.lit(i)).try_cast("int") for i in range(6)]
+        width = F.length(F.get(part, F.lit(2)))
+        year = (
+            F.when(width == 4, num[2])
+            .when((width == 2) & (num[2] < PIVOT), num[2] + 2000)
+            .when(width == 2, num[2] + 1900)
+        )
+        made = F.try_make_timestamp_ntz(year, num[0], num[1], num[3], num[4], num[5])
+        return F.when(F.size(part) == 6, made)
+
+    # A lambda argument is evaluated once, so the text is split once per row.
+    return F.get(F.transform(F.array(F.split(F.trim(_col(col)), "[/ :]+")), stamp), F.lit(0))
 
 
 def correct_future_date(col: Column | str, as_of: Column | date | str, nyears: float = 2) -> Column:

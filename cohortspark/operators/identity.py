@@ -45,10 +45,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie_break: Seque
 
 
 def repeated_groups(df: DataFrame, keys: Sequence[str], id_col: str, order_by: Sequence[str]) -> DataFrame:
-    """Keys held by several rows, with the id of the first row as ``_kept``."""
+    """Keys held by several rows, with the id of the first row as ``_kept`` and their number ``_n``."""
     first = F.min(F.struct(*[_col(c) for c in order_by], F.col(id_col).alias("_id")))
     groups = df.groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("_n"))
-    return groups.where(F.col("_n") > 1).select(*keys, F.col("_first._id").alias("_kept"))
+    return groups.where(F.col("_n") > 1).select(*keys, F.col("_first._id").alias("_kept"), "_n")
 
 
 def alias_key_lookup(
@@ -62,12 +62,14 @@ def alias_key_lookup(
     """(id of a repeat, id of the first row of its group).
 
     Groups are reduced to their first id before anything is joined, and only groups with
-    repeats take part in the join.
+    repeats take part in the join. The groups are written, since they are measured, serve to
+    find hot keys, and are joined.
     """
-    groups = repeated_groups(df, keys, id_col, order_by)
+    groups = written(repeated_groups(df, keys, id_col, order_by), "groups")
     rows = df.select(*keys, F.col(id_col).alias("_row"))
+    counts = groups.select(*keys, "_n")
     return (
-        lookup_join(rows, groups, keys, "inner", null_safe=True, spread_by=["_row"])
+        lookup_join(rows, groups.drop("_n"), keys, "inner", null_safe=True, spread_by=["_row"], counts=counts)
         .where(F.col("_row") != F.col("_kept"))
         .select(F.col("_row").alias(dup), F.col("_kept").alias(use))
     )
@@ -77,7 +79,7 @@ def split_duplicates(
     df: DataFrame, keys: Sequence[str], id_col: str, order_by: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(first rows, later repeats). The ids are unique, so splitting by id has no hot key."""
-    lookup = alias_key_lookup(df, keys, id_col, order_by).select(F.col("dup_id").alias(id_col))
+    lookup = written(alias_key_lookup(df, keys, id_col, order_by).select(F.col("dup_id").alias(id_col)), "repeats")
     return (lookup_join(df, lookup, [id_col], "left_anti"), lookup_join(df, lookup, [id_col], "left_semi"))
 
 
@@ -101,7 +103,8 @@ def reattach_alias_rows(
     df: DataFrame, keys: Sequence[str], id_col: str, order_by: Sequence[str]
 ) -> DataFrame:
     """All rows, each repeat under the key of its first row, so old ids still resolve."""
-    return remap_keys(df, alias_key_lookup(df, keys, id_col, order_by), id_col, spread_by=[id_col])
+    lookup = written(alias_key_lookup(df, keys, id_col, order_by), "aliases")
+    return remap_keys(df, lookup, id_col, spread_by=[id_col])
 
 
 def dense_surrogate_key(

@@ -25,29 +25,41 @@ MAX_HEAVY = 1000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the values in ``df``: text by its length, everything else at 16 bytes a field."""
-    wide = (T.StringType, T.BinaryType)
+    """Size of the values in ``df``: text by its length, nested values as JSON, others 16 bytes each."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
     row = F.lit(0).cast("long")
     for f in df.schema.fields:
-        size = F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) if isinstance(f.dataType, wide) else F.lit(16)
-        row = row + size.cast("long")
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, nested):
+            size = F.octet_length(F.to_json(c))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        else:
+            size = F.lit(0)
+        row = row + F.coalesce(size, F.lit(0)).cast("long") + 16
     return df.agg(F.sum(row)).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has only flat columns and its measured size is within ``limit``."""
-    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    if any(isinstance(f.dataType, nested) for f in df.schema.fields):
-        return False
-    return measured_bytes(df) <= limit
+def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the measured sizes of the frames add up to at most ``limit``."""
+    total = 0
+    for df in frames:
+        total += measured_bytes(df)
+        if total > limit:
+            return False
+    return True
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY) -> DataFrame:
-    """The keys with more than ``min_rows`` rows, at most ``max_keys`` of them, with a salt count.
+def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows per key as ``_n``, combined on the map side."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
 
-    Counting combines on the map side; each salt then covers about ``min_rows`` rows.
-    """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+
+def heavy_keys(
+    counts: DataFrame, on: Sequence[str], min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY
+) -> DataFrame:
+    """Of ``key_counts``, keys with more than ``min_rows`` rows, the ``max_keys`` largest, with a
+    number of salts such that each covers about ``min_rows`` rows."""
     top = counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n"), *on).limit(max_keys)
     return top.select(
         *[F.col(k).alias(f"_heavy_{k}") for k in on],
@@ -70,6 +82,7 @@ def skew_join(
     how: str = "inner",
     null_safe: bool = False,
     spread_by: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
     min_rows: int = HEAVY_ROWS,
     max_keys: int = MAX_HEAVY,
 ) -> DataFrame:
@@ -77,10 +90,11 @@ def skew_join(
 
     ``how`` is inner, left, left_semi or left_anti. ``spread_by`` names columns that tell the rows
     of one key apart (default all). The salt is a hash of row content, so a recomputed task
-    sends every row where it went before. Keys of ``many`` are kept, those of ``one`` dropped.
+    sends every row where it went before. ``counts`` gives known ``key_counts``, where counting
+    ``many`` itself would repeat work. Keys of ``many`` are kept, those of ``one`` dropped.
     """
     on = list(on)
-    heavy = heavy_keys(many, on, min_rows, max_keys)
+    heavy = heavy_keys(key_counts(many, on) if counts is None else counts, on, min_rows, max_keys)
     to_heavy = _on([(k, f"_heavy_{k}") for k in on], null_safe=True)
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or many.columns)])
     salted = (
@@ -107,11 +121,17 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     spread_by: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
+    bound_by: Sequence[DataFrame] | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join facts to a lookup: broadcast it when its measured size allows, else salt hot keys."""
-    if not fits_broadcast(lookup, limit):
-        return skew_join(facts, lookup, on, how, null_safe, spread_by)
+    """Join facts to a lookup: broadcast it when its measured size allows, else salt hot keys.
+
+    ``bound_by`` names frames that together are at least as large as the lookup and cheaper to
+    measure, such as the tables it is grouped from.
+    """
+    if not fits_broadcast(bound_by or [lookup], limit):
+        return skew_join(facts, lookup, on, how, null_safe, spread_by, counts)
     renamed = lookup.withColumnsRenamed({k: f"_other_{k}" for k in on})
     cond = _on([(k, f"_other_{k}") for k in on], null_safe)
     return facts.join(F.broadcast(renamed), cond, how).drop(*[f"_other_{k}" for k in on])
@@ -141,8 +161,8 @@ def left_join_lookup(
 
 def anti_join_missing(a: DataFrame, b: DataFrame, on: Sequence[str], spread_by=None) -> DataFrame:
     """Rows of ``a`` whose key does not occur in ``b``."""
-    keys = b.select(*on).distinct()
-    return lookup_join(a, keys, on, "left_anti", True, spread_by)
+    keys = b.select(*on)
+    return lookup_join(a, keys.distinct(), on, "left_anti", True, spread_by, bound_by=[keys])
 
 
 def natural_join(one: DataFrame, many: DataFrame, spread_by: Sequence[str] | None = None) -> DataFrame:

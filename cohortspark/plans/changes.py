@@ -76,10 +76,13 @@ def _note_rows(requests: DataFrame, existing: DataFrame, as_of: Column, order: s
     )
 
 
-def _action_rows(requests: DataFrame, existing: DataFrame, order: str, when: Column) -> DataFrame:
-    rows = requests.select(order, "vid", "action", "ra", when.alias("vatimestamp"))
-    keyed = identity.offset_surrogate_key(rows, "aid", [order], existing)
-    return keyed.select("aid", "vid", "action", "ra", "vatimestamp")
+def _numbered(requests: DataFrame, order: str) -> DataFrame:
+    """Accepted requests with their place ``_nth`` from 0, from which all their keys follow."""
+    return identity.dense_surrogate_key(requests, "_nth", [order], 0)
+
+
+def _key(existing: DataFrame, key: str) -> Column:
+    return (F.col("_nth") + F.lit(identity.next_key(existing, key))).alias(key)
 
 
 def register_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
@@ -104,7 +107,8 @@ def register_visits(requests: DataFrame, tables: Tables, as_of: str, order: str
         "_when": F.when(F.col("action").isNull(), dates.moment(as_of)).otherwise(F.col("vtimestamp")),
         "action": F.coalesce("action", F.lit("sched")),
     })
-    good = identity.offset_surrogate_key(good, "vid", [order], tables["visit"])
+    good = _numbered(good, order)
+    good = good.withColumn("vid", _key(tables["visit"], "vid"))
     now = dates.moment(as_of)
     return ChangeSet(
         add={
@@ -112,7 +116,9 @@ def register_visits(requests: DataFrame, tables: Tables, as_of: str, order: str
                 "vid", "pid", "vtype", "vscore", "dur_hr", "age", "vtimestamp", "visitno", "googleuri",
                 F.col("action").alias("vstatus"),
             ),
-            "visit_action": _action_rows(good, tables["visit_action"], order, F.col("_when")),
+            "visit_action": good.select(
+                _key(tables["visit_action"], "aid"), "vid", "action", "ra", F.col("_when").alias("vatimestamp")
+            ),
             "note": _note_rows(good, tables["note"], now, order),
             "visit_study": good.where(F.col("study").isNotNull()).select("vid", "study", "cohort"),
         },
@@ -165,13 +171,15 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
         (F.col("ra").isNull(), "missing staff"),
     ])
     judged = written(merged.withColumn("reason", reason), "reschedule")
-    good = judged.where(F.col("reason").isNull())
+    good = _numbered(judged.where(F.col("reason").isNull()), order)
     age = dates.age_years_whole_days("vtimestamp", "dob")
     moved = good.where(F.col("study").isNotNull() & F.col("_old_study").isNotNull())
     now = dates.moment(as_of)
     return ChangeSet(
         add={
-            "visit_action": _action_rows(good, tables["visit_action"], order, F.col("vtimestamp")),
+            "visit_action": good.select(
+                _key(tables["visit_action"], "aid"), "vid", "action", "ra", F.col("vtimestamp").alias("vatimestamp")
+            ),
             "note": _note_rows(good, tables["note"], now, order),
         },
         update={

@@ -12,22 +12,30 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import codes, dates, text
 from ..functions.jsons import json_text
 from ..operators import aggs, identity
-from ..operators.joins import lookup_join, star_join
-from ..schema import DROP_LEVELS
-from ..sources.seeds import seed_dimensions
+from ..operators.joins import key_counts, lookup_join, star_join
+from ..schema import DROP_CODES, DROP_LEVELS
 
 Tables = Mapping[str, DataFrame]
 SEEN_STATUS = ["sched", "checkedin", "complete"]
 
 
+def with_droplevel(tables: Tables, note: DataFrame) -> DataFrame:
+    """Notes with the level of their drop code, null where the code is unknown.
+
+    The seeded codes are a fixed list and become an expression; a ``dropcode`` table is joined.
+    """
+    if "dropcode" not in tables:
+        return note.withColumn("droplevel", codes.map_code_labels("dropcode", dict(DROP_CODES)))
+    known = tables["dropcode"].select("dropcode", "droplevel")
+    return lookup_join(note, known, ["dropcode"], "left", spread_by=["nid"])
+
+
 def coded_notes(tables: Tables) -> DataFrame:
     """Notes with a known drop code and its level; notes without one vanish."""
-    note = tables["note"]
-    codes = tables["dropcode"] if "dropcode" in tables else seed_dimensions(note.sparkSession)["dropcode"]
-    return lookup_join(note, codes.select("dropcode", "droplevel"), ["dropcode"], "inner", spread_by=["nid"])
+    return with_droplevel(tables, tables["note"]).where(F.col("droplevel").isNotNull())
 
 
 def visit_notes(tables: Tables) -> DataFrame:
@@ -78,7 +86,10 @@ def visit_summary(tables: Tables) -> DataFrame:
 
     drops = person_all_notes(tables).select("pid", F.col("maxdrop").alias("dperson"))
     person = star_join(tables["person"].select("pid", "dob"), [drops], ["pid"])
-    full = lookup_join(rows, person, ["pid"], "inner", spread_by=["vid"])
+    full = lookup_join(
+        rows, person, ["pid"], "inner", spread_by=["vid"], counts=key_counts(visit, ["pid"]),
+        bound_by=[tables["person"].select("pid", "dob")],
+    )
     return full.select(
         "pid", "vid", "vtimestamp", "vtype", "vscore", "visitno", "googleuri",
         dates.age_years_whole_days("vtimestamp", "dob").alias("age"),
@@ -135,7 +146,12 @@ def visits_view(tables: Tables, primary_type: str = "PrimaryID", fanout: str = "
         person = star_join(person, [drops], ["pid"])
     else:
         rows = star_join(rows, [drops.withColumnRenamed("pid", "vid")], ["vid"])
-    full = lookup_join(rows, person, ["pid"], "left", spread_by=["vid"])
+    full = lookup_join(
+        rows, person, ["pid"], "left", spread_by=["vid"], counts=key_counts(visit, ["pid"]),
+        bound_by=[
+            tables["person"].select("pid", "fname", "lname", "sex", "dob"), tables["enroll"].select("pid", "etype", "id")
+        ],
+    )
 
     def count(c: str) -> Column:
         return F.greatest(F.coalesce(F.col(c), F.lit(1)), F.lit(1))
@@ -185,7 +201,8 @@ def person_search_view(tables: Tables, as_of: str, primary_type: str = "PrimaryI
         F.min(F.when(F.col("etype") == primary_type, F.col("id"))).alias("_primary"),
         F.array_sort(F.collect_set(F.struct("id", "etype", "edate"))).alias("_ids"),
     )
-    dropped = coded_notes_or_unknown(tables).groupBy("pid").agg(
+    note = tables["note"].where(F.col("dropcode").isNotNull()).select("pid", "nid", "dropcode")
+    dropped = with_droplevel(tables, note).groupBy("pid").agg(
         F.count(F.lit(1)).alias("ndrops"), aggs.ordinal_max_of("droplevel", DROP_LEVELS).alias("maxdrop")
     )
     rows = star_join(tables["person"], [visits, enroll, dropped], ["pid"])
@@ -213,10 +230,3 @@ def person_search_view(tables: Tables, as_of: str, primary_type: str = "PrimaryI
         json_text(F.coalesce("_types", none)).alias("visittypes"),
         "maxdrop",
     )
-
-
-def coded_notes_or_unknown(tables: Tables) -> DataFrame:
-    """Notes having a drop code, with its level where the code is known."""
-    note = tables["note"].where(F.col("dropcode").isNotNull()).select("pid", "nid", "dropcode")
-    codes = tables["dropcode"] if "dropcode" in tables else seed_dimensions(note.sparkSession)["dropcode"]
-    return lookup_join(note, codes.select("dropcode", "droplevel"), ["dropcode"], "left", spread_by=["nid"])

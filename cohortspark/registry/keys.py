@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import identity
+from ..session import written
 from .base import query
 from .standin import load, sources, sql
 
@@ -77,7 +78,7 @@ def _(spark, d):
 )
 def _(spark, d):
     orders = load(spark, d, "orders").select("o_custkey", "o_orderpriority")
-    return identity.remap_keys(orders, _lookup(spark, d), "o_custkey", distinct=True)
+    return identity.remap_keys(orders, written(_lookup(spark, d), "aliases"), "o_custkey", distinct=True)
 
 
 @query(

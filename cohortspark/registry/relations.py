@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..operators import aggs, identity, joins
 from ..schema import DROP_LEVELS, FIXED_STUDIES
+from ..sources.seeds import seed_dimensions
 from .base import query
 from .standin import domain, load, sources, sql
 
@@ -180,7 +181,9 @@ _LABEL = "list_extract(['" + "','".join(DROP_LEVELS) + "'], max(" + _RANK + "))"
 )
 def _(spark, d):
     t = domain(spark, d, "note")
-    coded = joins.lookup_join(t["note"], t["dropcode"], ["dropcode"], "inner", spread_by=["nid"])
+    coded = joins.lookup_join(
+        t["note"], seed_dimensions(spark)["dropcode"], ["dropcode"], "inner", spread_by=["nid"]
+    )
     return aggs.max_ordinal(coded, ["pid"], "droplevel", DROP_LEVELS, "maxdrop")
 
 

@@ -5,21 +5,42 @@ Each is written twice: as a Spark frame, and as an SQL common table expression f
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.jsonpack import pack_row_json
 from ..sources.layout import Layout
 from ..sources.scan import scan_table
-from ..sources.seeds import seed_dimensions
 
 AS_OF = "2020-01-01"
 LAYOUT = Layout()
 MDY = "MM/dd/yy HH:mm:ss"
 
 
+# Schemas of the given tables, so that opening one starts no job to find its columns.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_table(spark, sf_dir, name)
+    return scan_table(spark, sf_dir, name, SCHEMAS[name])
 
 
 def cases(key: Column, *values) -> Column:
@@ -155,10 +176,8 @@ DOMAIN = {
 
 
 def domain(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named domain tables, with the drop codes."""
-    out = {n: DOMAIN[n](spark, sf_dir) for n in (names or DOMAIN)}
-    out["dropcode"] = seed_dimensions(spark)["dropcode"]
-    return out
+    """The named domain tables, by default all."""
+    return {n: DOMAIN[n](spark, sf_dir) for n in (names or DOMAIN)}
 
 
 # Source tables ---------------------------------------------------------------------------
@@ -320,8 +339,20 @@ SOURCE = {
 }
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: f(spark, sf_dir) for n, f in SOURCE.items()}
+class sources(Mapping):
+    """The source tables by name, each opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._open = lru_cache(lambda name: SOURCE[name](spark, sf_dir))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._open(name)
+
+    def __iter__(self):
+        return iter(SOURCE)
+
+    def __len__(self) -> int:
+        return len(SOURCE)
 
 
 # The same in SQL -------------------------------------------------------------------------

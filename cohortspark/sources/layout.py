@@ -33,7 +33,7 @@ class Layout:
     def task_tables(self, sources) -> dict:
         import re
 
-        return {n: df for n, df in sources.items() if re.search(self.task_table_regex, n)}
+        return {n: sources[n] for n in sources if re.search(self.task_table_regex, n)}
 
 
 def source_order(df, *fallback: str) -> list[Column]:
