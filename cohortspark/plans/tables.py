@@ -75,6 +75,11 @@ class Build:
         ids = self.people if self.faithful else self.people.where(F.col("origin") == "subj")
         return ids.select(F.col("ID").alias(self.layout.person_id), "pid", "dob")
 
+    def with_person(self, df: DataFrame, spread_by: list[str]) -> DataFrame:
+        """Left join rows naming a source id to ``pid`` and ``dob``."""
+        size = self.numbered.select("ID", "own_pid", "dob")
+        return lookup_join(df, self.person_ids, [self.layout.person_id], "left", spread_by=spread_by, bound_by=[size])
+
     @cached_property
     def visit_log(self) -> DataFrame:
         lay = self.layout
@@ -94,7 +99,7 @@ class Build:
             text.extract_visit_number("Notes").alias("visitno"),
             text.extract_score("Notes").alias("vscore"),
         )
-        joined = lookup_join(log, self.person_ids, [lay.person_id], "left", spread_by=["vid"])
+        joined = self.with_person(log, ["vid"])
         return written(
             joined.select(
                 "vid", "_ord",
@@ -122,7 +127,7 @@ class Build:
         """Scanner ids with their own dense key, still naming the visit."""
         lay = self.layout
         scans = self._source("scan_ids", lay.visit_id)
-        ids = lookup_join(scans, self.person_ids, [lay.person_id], "left", spread_by=[lay.scan_id])
+        ids = self.with_person(scans, [lay.scan_id])
         keyed = identity.dense_surrogate_key(ids, "eid", ["_ord", lay.scan_id])
         return keyed.select(
             "eid", "pid",
@@ -221,7 +226,7 @@ def build_note(sources, as_of: str, build: Build | None = None, **options) -> Da
     nothing = {"vid": F.lit(None).cast("long"), "ndate": F.lit(None).cast("timestamp_ntz"), "_rank": F.lit(0)}
     if b.faithful:
         subj = b._source("subjects", lay.person_id)
-        own = lookup_join(subj, b.person_ids.select(lay.person_id, "pid"), [lay.person_id], "left")
+        own = b.with_person(subj, ["_ord"])
     else:  # subject rows already carry their person
         own = b.people.where(F.col("origin") == "subj")
     own = own.withColumns(nothing).select("pid", "vid", "ndate", "Dropped", "Notes", "_rank", "_ord")

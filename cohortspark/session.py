@@ -8,6 +8,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: str | None = None
+_paths: list[str] = []
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def get_session(app: str = "cohortspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +21,7 @@ def get_session(app: str = "cohortspark", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)
@@ -44,7 +48,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Delete what this process wrote to the shared folder; frames read from it end with that."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
