@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import _col
 from ..session import written
-from .joins import lookup_join
+from .joins import broadcast_join, fits_broadcast, lookup_join, skew_join
 
 
 def first_per_group(df: DataFrame, keys: Sequence[Column | str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -95,9 +95,17 @@ def remap_keys(
     use: str = "use_id",
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Replace repeated keys by the kept ones; ``distinct`` then drops rows equal throughout."""
+    """Replace repeated keys by the kept ones; ``distinct`` then drops rows equal throughout.
+
+    Where the lookup is too large to broadcast, equal rows are also dropped before the join, so
+    that many copies of one row do not meet in one task.
+    """
     cols = [F.coalesce(F.col(use), F.col(key)).alias(key) if c == key else F.col(f"`{c}`") for c in df.columns]
-    found = lookup_join(df, lookup.withColumnRenamed(dup, key), [key], "left", spread_by=spread_by)
+    lookup = lookup.withColumnRenamed(dup, key)
+    if fits_broadcast([lookup]):
+        found = broadcast_join(df, lookup, [key])
+    else:
+        found = skew_join(df.distinct() if distinct else df, lookup, [key], "left", spread_by=spread_by)
     out = found.select(*cols)
     return out.distinct() if distinct else out
 

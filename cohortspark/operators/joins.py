@@ -114,6 +114,15 @@ def skew_join(
     return out.drop("_salt", "_other_salt", *[f"_other_{k}" for k in on])
 
 
+def broadcast_join(
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
+) -> DataFrame:
+    """Join to a lookup whose size the caller has checked; keys of ``facts`` are kept."""
+    renamed = lookup.withColumnsRenamed({k: f"_other_{k}" for k in on})
+    cond = _on([(k, f"_other_{k}") for k in on], null_safe)
+    return facts.join(F.broadcast(renamed), cond, how).drop(*[f"_other_{k}" for k in on])
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -132,9 +141,7 @@ def lookup_join(
     """
     if not fits_broadcast(bound_by or [lookup], limit):
         return skew_join(facts, lookup, on, how, null_safe, spread_by, counts)
-    renamed = lookup.withColumnsRenamed({k: f"_other_{k}" for k in on})
-    cond = _on([(k, f"_other_{k}") for k in on], null_safe)
-    return facts.join(F.broadcast(renamed), cond, how).drop(*[f"_other_{k}" for k in on])
+    return broadcast_join(facts, lookup, on, how, null_safe)
 
 
 def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:

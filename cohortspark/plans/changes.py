@@ -20,7 +20,7 @@ from ..functions.codes import patch_coalesce
 from ..functions.jsons import json_array_items
 from ..operators import identity
 from ..operators.aggs import count_guards
-from ..operators.joins import lookup_join, skew_join
+from ..operators.joins import broadcast_join, fits_broadcast, lookup_join
 from ..session import written
 
 Tables = Mapping[str, DataFrame]
@@ -126,12 +126,17 @@ def register_visits(requests: DataFrame, tables: Tables, as_of: str, order: str
     )
 
 
-def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
-    """The requested visits with their latest action and the study shown for them."""
+def _of_requested(vids: DataFrame):
+    """A filter to the requested visits where these are few, else none: the children are then
+    reduced to one row per visit anyway before they meet the requests."""
+    if fits_broadcast([vids]):
+        return lambda df: broadcast_join(df, vids, ["vid"], "left_semi")
+    return lambda df: df
 
-    def of_requested(df: DataFrame) -> DataFrame:
-        return skew_join(df, vids, ["vid"], "left_semi")
 
+def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
+    """The requested visits with their latest action and the study shown for them."""
+    of_requested = _of_requested(vids)
     visit = of_requested(tables["visit"])
     action = identity.latest_per_key(
         of_requested(tables["visit_action"].select("vid", "aid", "action", "ra", "vatimestamp")),
@@ -146,17 +151,20 @@ def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
 def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
     """Move visits that have not happened: patch given fields, recompute the age, log an action.
 
-    At most one request per visit. Only supplied notes are added; a supplied study replaces the
-    one shown for the visit. A visit without any action may be moved.
+    Of several requests for a visit the first is taken and the others are rejected. Only supplied
+    notes are added; a supplied study replaces the one shown for the visit. A visit without any
+    action may be moved.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
+    first = req.groupBy("vid").agg(F.min(order).alias(order)).select(order, F.lit(True).alias("_first"))
+    req = req.join(first, order, "left")
     old = _old_rows(tables, req.select("vid").distinct())
     person = tables["person"].select("pid", "dob")
     old = lookup_join(old, person, ["pid"], "left", spread_by=["vid"]).withColumn("_known", F.lit(True))
     both = req.alias("n").join(old.alias("o"), "vid", "left")
     merged = both.select(
-        order, "vid", F.col("o.pid").alias("pid"), "dob", "_known",
+        order, "vid", F.col("o.pid").alias("pid"), "dob", "_known", "_first",
         *patch_coalesce("n", "o", PATCHED),
         F.coalesce(F.col("n.action"), F.lit("resched")).alias("action"),
         F.col("o.action").alias("_old_action"),
@@ -166,6 +174,7 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     )
     reason = _first_reason([
         (F.col("_known").isNull(), "unknown visit"),
+        (F.col("_first").isNull(), "repeated request"),
         (~F.col("_old_action").isin(MOVABLE), "not scheduled or assigned"),
         (~F.col("action").isin(S.STATUS), "unknown action"),
         (F.col("ra").isNull(), "missing staff"),
@@ -199,11 +208,12 @@ def cancel_visits(requests: DataFrame, tables: Tables) -> ChangeSet:
     Any other action, an enrolment or a task blocks; the blocking rows are counted.
     """
     asked = requests.select("vid").distinct()
+    of_requested = _of_requested(asked)
     held = asked.join(tables["visit"].select("vid").withColumn("_known", F.lit(True)), "vid", "left")
     blocking = [
-        tables["visit_action"].where(~F.col("action").isin(REMOVABLE)),
-        tables["visit_enroll"],
-        tables["visit_task"],
+        of_requested(tables["visit_action"].where(~F.col("action").isin(REMOVABLE)).select("vid")),
+        of_requested(tables["visit_enroll"].select("vid")),
+        of_requested(tables["visit_task"].select("vid")),
     ]
     counted = count_guards(held, blocking, "vid")
     reason = _first_reason([
@@ -226,7 +236,7 @@ def _updated(current: DataFrame, keys: Sequence[str], new: DataFrame) -> DataFra
         *[F.col(k).alias(v) for k, v in own.items()],
         F.struct(*cols).alias("_new"),
     )
-    found = skew_join(current, patch, list(own.values()), "left")
+    found = current.join(patch, list(own.values()), "left")  # both sides are unique by these keys
     hit = F.col("_new").isNotNull()
     return found.select(
         *[F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)

@@ -11,6 +11,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from ..operators.jsonpack import pack_row_json
 from ..sources.layout import Layout
 from ..sources.scan import scan_table
@@ -99,19 +100,22 @@ def visit(spark, d) -> DataFrame:
     )
 
 
+def _lines(spark, d, col: str, *cols: str) -> DataFrame:
+    """Order lines with one column of their part; a part may own many lines."""
+    line = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *cols)
+    part = load(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), col)
+    return lookup_join(line, part, ["l_partkey"], "inner", spread_by=["l_orderkey", "l_linenumber"])
+
+
 def visit_study(spark, d) -> DataFrame:
-    line = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    part = load(spark, d, "part").select("p_partkey", "p_brand")
-    both = line.join(part, line.l_partkey == part.p_partkey)
+    both = _lines(spark, d, "p_brand", "l_returnflag")
     return both.groupBy(F.col("l_orderkey").alias("vid"), F.col("p_brand").alias("study")).agg(
         F.min("l_returnflag").alias("cohort")
     )
 
 
 def visit_task(spark, d) -> DataFrame:
-    line = load(spark, d, "lineitem")
-    part = load(spark, d, "part").select("p_partkey", "p_type")
-    both = line.join(part, line.l_partkey == part.p_partkey).select(
+    both = _lines(spark, d, "p_type", "l_quantity", "l_extendedprice", "l_discount", "l_tax").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("vtid"),
         F.col("l_orderkey").alias("vid"),
         F.col("p_type").alias("task"),

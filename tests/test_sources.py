@@ -62,3 +62,29 @@ def test_written_goes_to_the_named_folder_and_can_be_discarded(spark):
     assert all(folder in f for f in df.inputFiles()) and df.count() == 4
     before = len(session._paths)
     assert before >= 1
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from cohortspark.operators import aggs, joins
+    from cohortspark.registry.standin import domain
+    from cohortspark.sources import catalog
+
+    t = domain(spark, DATA, "visit", "visit_study", "visit_action")
+    spark.sql("create database if not exists bucketed")
+    catalog.save_bucketed(t, 4, "bucketed")
+    saved = catalog.load_catalog(spark, *t, database="bucketed")
+    children = [
+        aggs.count_distinct(saved["visit_study"], ["vid"], {"n": "study"}), aggs.group_max(saved["visit_action"], ["vid"], "aid")
+    ]
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = joins.star_join(saved["visit"], children, ["vid"])
+        assert "Exchange" not in star._jdf.queryExecution().executedPlan().toString()
+        assert star.count() == t["visit"].count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    catalog.append_to_catalog({"visit": spark.createDataFrame([("sched", -5)], "vstatus string, vid long")}, "bucketed")
+    added = spark.table("bucketed.visit").where("vid = -5").collect()
+    assert [(r.vstatus, r.pid) for r in added] == [("sched", None)]
+    spark.sql("drop database bucketed cascade")
