@@ -46,8 +46,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie_break: Seque
 
 def repeated_groups(df: DataFrame, keys: Sequence[str], id_col: str, order_by: Sequence[str]) -> DataFrame:
     """Keys held by several rows, with the id of the first row as ``_kept`` and their number ``_n``."""
-    if list(order_by) == [id_col]:  # a plain minimum aggregates by hash
-        first = F.min(id_col)
+    if len(order_by) == 1:  # over plain columns this aggregates by hash, a struct only by sorting
+        first = F.min_by(id_col, order_by[0])
     else:
         first = F.min(F.struct(*[_col(c) for c in order_by], F.col(id_col).alias("_id")))["_id"]
     groups = df.groupBy(*keys).agg(first.alias("_kept"), F.count(F.lit(1)).alias("_n"))

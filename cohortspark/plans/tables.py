@@ -28,7 +28,7 @@ class Build:
     sources: Mapping[str, DataFrame]
     as_of: str
     layout: Layout = field(default_factory=Layout)
-    faithful: bool = False  # join person ids without their origin; paste hotline names
+    faithful: bool = False  # join person ids without their origin; compare pasted screening names
 
     def _source(self, role: str, *key: str) -> DataFrame:
         """A source table with its order as ``_ord``."""
@@ -46,7 +46,7 @@ class Build:
             ["SubjectFirstName", "SubjectLastName"], ["_ord"], faithful=self.faithful,
         )
         people = reshape.union_by_name(
-            project.tag_source(subj, origin="subj", _rank=0), project.tag_source(screened, origin="hotline", _rank=1)
+            project.tag_source(subj, origin="subj", _rank=0), project.tag_source(screened, origin="screen", _rank=1)
         )
         people = identity.keep_first(people, ["ID", "origin"], ["_ord"]).withColumns(
             {

@@ -19,7 +19,7 @@ _PEOPLE = f"""select *, min(own_pid) over (partition by fname, lname, dob) as pi
     from (select *, strptime("DateOfBirth", '%m/%d/%y %H:%M:%S') as b from (
         select 'subj' as origin, 0 as rk, "PersonID" as "ID", * exclude ("PersonID") from subject_info
         union all by name
-        select * from (select 'hotline' as origin, 1 as rk, "ScreenID" as "ID", * exclude ("ScreenID")
+        select * from (select 'screen' as origin, 1 as rk, "ScreenID" as "ID", * exclude ("ScreenID")
             from phone_screen where "SubjectLastName" <> '' qualify row_number() over (
             partition by "SubjectFirstName", "SubjectLastName" order by "ScreenID") = 1))))"""
 _ALL_VISITS = r"""select v."VisitID" as vid, strptime("VisitDate", '%m/%d/%y %H:%M:%S') + coalesce(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..schema import STATUS, TABLES
+from ..session import written
 from .base import query
 from .standin import domain, load, sources, sql
 
@@ -123,4 +124,4 @@ def _(spark, d):
             and vid not in (select vid from visit)) where n_bad > 0"""),
 )
 def _(spark, d):
-    return quality.check_tables(domain(spark, d))
+    return quality.check_tables({n: written(df, n) for n, df in domain(spark, d).items()})

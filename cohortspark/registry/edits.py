@@ -243,8 +243,8 @@ def _(spark, d):
 )
 def _(spark, d):
     schema = load(spark, d, "events").schema
-    log = status.read_action_log(spark, d, schema, pathGlobFilter="events.parquet").select(
-        F.col("event_id").alias("aid"), (F.col("event_id") % 1000).alias("vid"),
+    log = status.read_action_log(spark, f"{d}/events.parquet*", schema).select(
+        F.col("event_id").alias("aid"), F.floor(F.col("event_id") / 4).alias("vid"),
         _recode("event_type", ACTION_OF).alias("action"),
     )
     out = new_path(spark, "status")

@@ -40,15 +40,13 @@ def _(spark, d):
 @query(
     "left_join_lookup",
     """select l.l_orderkey, l.l_linenumber, l.key, p.p_name from
-        (select l_orderkey, l_linenumber, case when l_partkey % 9 <> 0 then l_partkey end as key from lineitem) l
-    left join (select case when p_partkey % 2 = 0 then p_partkey end as key, p_name from part
-        where p_partkey % 2 = 0 or p_partkey = 1) p on l.key is not distinct from p.key""",
+        (select l_orderkey, l_linenumber, case when l_returnflag <> 'N' then l_partkey end as key from lineitem) l
+    left join (select nullif(p_partkey, 0) as key, p_name from part) p on l.key is not distinct from p.key""",
 )
 def _(spark, d):
-    key = F.when(F.col("l_partkey") % 9 != 0, F.col("l_partkey")).alias("key")
+    key = F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("key")
     facts = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", key)
-    part = load(spark, d, "part").where("p_partkey % 2 = 0 or p_partkey = 1")
-    lookup = part.select(F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey")).alias("key"), "p_name")
+    lookup = load(spark, d, "part").select(F.nullif("p_partkey", F.lit(0)).alias("key"), "p_name")
     return joins.left_join_lookup(facts, lookup, ["key"], spread_by=["l_orderkey", "l_linenumber"])
 
 

@@ -53,6 +53,10 @@ def _mod(c: str, n: int) -> Column:
     return F.col(c) % n
 
 
+def _div(c: Column, n: int) -> Column:
+    return F.floor(c / n)
+
+
 def _flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
@@ -131,7 +135,7 @@ def visit_action(spark, d) -> DataFrame:
     k = F.col("event_id")
     return load(spark, d, "events").select(
         k.alias("aid"),
-        (k % 1000).alias("vid"),
+        _div(k, 4).alias("vid"),
         _recode("event_type", ACTION_OF).alias("action"),
         F.concat(F.lit("ra"), _mod("user_id", 7).cast("string")).alias("ra"),
         F.when(k % 17 != 0, F.col("ts")).alias("vatimestamp"),
@@ -145,8 +149,8 @@ def note(spark, d) -> DataFrame:
     code = F.when(F.col("toxic") == 1, "BADSUBJ").when(F.col("quality") == 0, "TECH_ISSUE")
     return docs.join(labels, "doc_id", "left").select(
         k.alias("nid"),
-        (k % 100).alias("pid"),
-        F.when(k % 3 != 0, k % 1000).alias("vid"),
+        _div(k, 3).alias("pid"),
+        F.when(k % 3 != 0, _div(k, 2)).alias("vid"),
         code.when(F.col("quality") == 1, "NOINTEREST").alias("dropcode"),
         F.concat(F.lit("ra"), (k % 5).cast("string")).alias("ra"),
         F.date_add(F.lit("2024-01-01").cast("date"), (k % 20000).cast("int")).cast("timestamp_ntz").alias("ndate"),
@@ -155,7 +159,7 @@ def note(spark, d) -> DataFrame:
 
 
 def enroll(spark, d) -> DataFrame:
-    cust = load(spark, d, "customer").where(_mod("c_custkey", 5) != 0)
+    cust = load(spark, d, "customer").where(F.col("c_mktsegment") != "BUILDING")
     k, s = F.col("c_custkey"), F.col("s_suppkey")
     primary = cust.select(
         (k * 2).alias("eid"), k.alias("pid"), F.lit("PrimaryID").alias("etype"), k.cast("string").alias("id"),
@@ -331,7 +335,7 @@ def d_order(spark, d) -> DataFrame:
 
 def d_event(spark, d) -> DataFrame:
     return load(spark, d, "events").select(
-        _mod("event_id", 1000).alias("VisitID"), F.col("user_id").alias("PersonID"), F.col("ts").alias("VisitDate"),
+        _div(F.col("event_id"), 4).alias("VisitID"), F.col("user_id").alias("PersonID"), F.col("ts").alias("VisitDate"),
         F.col("event_type").alias("kind"), F.col("value"),
     )
 
@@ -413,15 +417,15 @@ CTE = {
     "visit_task": """select l_orderkey * 10 + l_linenumber as vtid, l_orderkey as vid, p_type as task,
         to_json({'quantity': l_quantity, 'price': l_extendedprice, 'discount': l_discount, 'tax': l_tax})::varchar
         as measures from lineitem join part on l_partkey = p_partkey""",
-    "visit_action": f"""select event_id as aid, event_id % 1000 as vid, {_sql_map("event_type", ACTION_OF)} as action,
+    "visit_action": f"""select event_id as aid, event_id // 4 as vid, {_sql_map("event_type", ACTION_OF)} as action,
         'ra' || (user_id % 7) as ra, case when event_id % 17 <> 0 then ts end as vatimestamp from events""",
-    "note": f"""select d.doc_id as nid, d.doc_id % 100 as pid,
-        case when d.doc_id % 3 <> 0 then d.doc_id % 1000 end as vid, {_CODE} as dropcode,
+    "note": f"""select d.doc_id as nid, d.doc_id // 3 as pid,
+        case when d.doc_id % 3 <> 0 then d.doc_id // 2 end as vid, {_CODE} as dropcode,
         'ra' || (d.doc_id % 5) as ra,
         cast(date '2024-01-01' + cast(d.doc_id % 20000 as integer) as timestamp) as ndate, d.source as note
         from documents d left join labels l on l.doc_id = d.doc_id""",
     "enroll": """select c_custkey * 2 as eid, c_custkey as pid, 'PrimaryID' as etype, cast(c_custkey as varchar) as id,
-        date '2010-01-01' + cast(c_custkey % 1000 as integer) as edate from customer where c_custkey % 5 <> 0
+        date '2010-01-01' + cast(c_custkey % 1000 as integer) as edate from customer where c_mktsegment <> 'BUILDING'
         union all select s_suppkey * 2 + 1, s_suppkey, 'ScanID', s_name, null from supplier""",
     "visit_enroll": "select s_suppkey * 2 + 1 as eid, s_suppkey * 3 as vid from supplier",
     "dropcode": """select * from (values ('OLDDBDSUBJ','subject'),('OLDDBDVIST','visit'),('IMPORTANT','nodrop'),
@@ -468,7 +472,7 @@ CTE = {
     "d_line": """select l_orderkey as "VisitID", l_quantity as quantity, l_extendedprice as price,
         case when l_returnflag <> 'N' then l_discount end as discount, l_returnflag as flag from lineitem""",
     "d_order": """select o_orderkey as "VisitID", o_totalprice as total, o_orderpriority as priority from orders""",
-    "d_event": """select event_id % 1000 as "VisitID", event_type as kind, value from events""",
+    "d_event": """select event_id // 4 as "VisitID", event_type as kind, value from events""",
 }
 
 

@@ -213,10 +213,10 @@ TABLES: dict[str, Table] = {
         refs={"eid": ("enroll", "eid"), "vid": ("visit", "vid")},
     ),
     "ra": Table(
-        "ra string, upmcid string, abbr string, start_date timestamp_ntz, end_date timestamp_ntz,"
+        "ra string, orgid string, abbr string, start_date timestamp_ntz, end_date timestamp_ntz,"
         " bday timestamp_ntz, studies string",
         not_null=("ra",),
-        lengths={"ra": 50, "upmcid": 50, "abbr": 4},
+        lengths={"ra": 50, "orgid": 50, "abbr": 4},
     ),
 }
 
