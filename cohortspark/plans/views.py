@@ -2,7 +2,8 @@
 
 Children are grouped by their key before they are joined, so sibling children never multiply
 and a key with many rows reaches the join as one row. An output cell holding a JSON array is
-one value by definition; arrays hold distinct values only, unless ``fanout="reference"``.
+one value by definition: arrays hold distinct values or one entry per child row, unless
+``fanout="reference"`` asks for the repeats. ``visit_items`` gives the entries as rows instead.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from ..functions import codes, dates, text
 from ..functions.jsons import json_text
 from ..operators import aggs, identity
 from ..operators.joins import key_counts, lookup_join, star_join
+from ..operators.reshape import union_by_name
 from ..schema import DROP_CODES, DROP_LEVELS
 
 Tables = Mapping[str, DataFrame]
@@ -181,6 +183,26 @@ def visits_view(tables: Tables, primary_type: str = "PrimaryID", fanout: str = "
     )
 
 
+def visit_items(tables: Tables) -> DataFrame:
+    """The array entries of ``visits_view`` as distinct rows: (vid, kind, item).
+
+    For visits whose arrays outgrow one cell: no group is ever brought together, repeats are
+    dropped before and after the exchange.
+    """
+
+    def items(df: DataFrame, kind: str, *cols: str) -> DataFrame:
+        return df.select("vid", F.lit(kind).alias("kind"), json_text(F.struct(*cols)).alias("item"))
+
+    action = tables["visit_action"].withColumn("vatimestamp", F.col("vatimestamp").cast("string"))
+    stacked = union_by_name(
+        items(tables["visit_study"], "study", "study", "cohort"),
+        items(tables["visit_task"], "task", "task"),
+        items(action, "action", "action", "ra", "vatimestamp"),
+        items(tables["note"].where(F.col("vid").isNotNull()), "note", "note"),
+    )
+    return stacked.distinct()
+
+
 def person_search_view(tables: Tables, as_of: str, primary_type: str = "PrimaryID") -> DataFrame:
     """Per person: ids, name, age, visit, study and drop summaries.
 

@@ -119,3 +119,16 @@ def _(spark, d):
     return views.person_search_view(
         domain(spark, d, "person", "visit", "enroll", "visit_study", "note"), AS_OF
     )
+
+
+@query(
+    "visit_items",
+    sql("visit_study visit_task visit_action note", """
+        select vid, 'study' as kind, to_json({'study': study, 'cohort': cohort})::varchar as item from visit_study
+        union select vid, 'task', to_json({'task': task})::varchar from visit_task
+        union select vid, 'action', to_json({'action': action, 'ra': ra,
+            'vatimestamp': cast(vatimestamp as varchar)})::varchar from visit_action
+        union select vid, 'note', to_json({'note': note})::varchar from note where vid is not null"""),
+)
+def _(spark, d):
+    return views.visit_items(domain(spark, d, "visit_study", "visit_task", "visit_action", "note"))
