@@ -23,12 +23,6 @@ def json_set_of(col: Column | str) -> Column:
     return json_text(sorted_set_of(col))
 
 
-def json_list_of(col: Column | str) -> Column:
-    """Sorted JSON array of all values with repeats; null stays an element."""
-    kept = F.collect_list(F.struct(_col(col).alias("v")))
-    return json_text(F.array_sort(F.transform(kept, lambda s: s["v"])))
-
-
 def ordinal_max_of(col: Column | str, levels: Sequence[str]) -> Column:
     """The highest label of an ordered enum: a maximum over integer ranks, mapped back."""
     return enum_label(F.max(enum_rank(col, levels)), levels)
@@ -69,7 +63,15 @@ def json_agg_distinct(df: DataFrame, keys: Sequence[str], expr: Column | str, ou
 
 
 def json_agg_all(df: DataFrame, keys: Sequence[str], expr: Column | str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(json_list_of(expr).alias(out))
+    """Sorted JSON array of all values with repeats; null stays an element.
+
+    Equal values are counted first and repeated at the end, so a hot key is split by its values
+    and only its distinct ones are brought together.
+    """
+    counted = df.groupBy(*keys, _col(expr).alias("_v")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("_v").isNull().alias("last"), "_v", "_n")))
+    values = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["_v"], p["_n"])))
+    return counted.groupBy(*keys).agg(json_text(values).alias(out))
 
 
 def collect_json_array(df: DataFrame, keys: Sequence[str], col: str, order: str, out: str) -> DataFrame:

@@ -83,7 +83,10 @@ def split_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """(first rows, later repeats). The ids are unique, so splitting by id has no hot key."""
     lookup = written(alias_key_lookup(df, keys, id_col, order_by).select(F.col("dup_id").alias(id_col)), "repeats")
-    return (lookup_join(df, lookup, [id_col], "left_anti"), lookup_join(df, lookup, [id_col], "left_semi"))
+    return (
+        lookup_join(df, lookup, [id_col], "left_anti", unique=True),
+        lookup_join(df, lookup, [id_col], "left_semi", unique=True),
+    )
 
 
 def remap_keys(

@@ -114,13 +114,18 @@ def skew_join(
     return out.drop("_salt", "_other_salt", *[f"_other_{k}" for k in on])
 
 
+def _plain_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, null_safe: bool, hint: bool):
+    renamed = lookup.withColumnsRenamed({k: f"_other_{k}" for k in on})
+    cond = _on([(k, f"_other_{k}") for k in on], null_safe)
+    right = F.broadcast(renamed) if hint else renamed
+    return facts.join(right, cond, how).drop(*[f"_other_{k}" for k in on])
+
+
 def broadcast_join(
     facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Join to a lookup whose size the caller has checked; keys of ``facts`` are kept."""
-    renamed = lookup.withColumnsRenamed({k: f"_other_{k}" for k in on})
-    cond = _on([(k, f"_other_{k}") for k in on], null_safe)
-    return facts.join(F.broadcast(renamed), cond, how).drop(*[f"_other_{k}" for k in on])
+    return _plain_join(facts, lookup, on, how, null_safe, hint=True)
 
 
 def lookup_join(
@@ -132,14 +137,20 @@ def lookup_join(
     spread_by: Sequence[str] | None = None,
     counts: DataFrame | None = None,
     bound_by: Sequence[DataFrame] | None = None,
+    unique: bool = False,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join facts to a lookup: broadcast it when its measured size allows, else salt hot keys.
 
+    ``unique`` says that no key of the facts repeats, so that none can be hot.
+
     ``bound_by`` names frames that together are at least as large as the lookup and cheaper to
     measure, such as the tables it is grouped from.
     """
-    if not fits_broadcast(bound_by or [lookup], limit):
+    fits = fits_broadcast(bound_by or [lookup], limit)
+    if unique and not fits:
+        return _plain_join(facts, lookup, on, how, null_safe, hint=False)
+    if not fits:
         return skew_join(facts, lookup, on, how, null_safe, spread_by, counts)
     return broadcast_join(facts, lookup, on, how, null_safe)
 

@@ -48,18 +48,18 @@ def check_enum_domain(df: DataFrame, col: str, levels: Sequence[str]) -> DataFra
 
 
 def check_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    """(column_name, n_too_long, longest) for every limited column."""
-    cols = F.array(
+    """(column_name, n_too_long, longest) for every limited column, from one aggregation."""
+    found = df.agg(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.char_length(F.col(c)).alias("len"), F.lit(n).alias("max"))
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count_if(F.char_length(F.col(c)) > n).alias("n_too_long"),
+                F.max(F.char_length(F.col(c))).alias("longest"),
+            ).alias(c)
             for c, n in limits.items()
         ]
     )
-    rows = df.select(F.explode(cols).alias("c")).select("c.*")
-    return rows.groupBy("column_name").agg(
-        F.count_if(F.col("len") > F.col("max")).alias("n_too_long"),
-        F.max("len").alias("longest"),
-    )
+    return found.select(F.explode(F.array(*limits)).alias("c")).select("c.*")
 
 
 def check_numeric_range(df: DataFrame, col: str, precision: int, scale: int) -> DataFrame:

@@ -48,4 +48,5 @@ def rebuild(
     seeds["dropcode"] = seeds["dropcode"].select("dropcode", "droplevel")
     tables = {name: conform(name, df) for name, df in {**built, **seeds}.items()}
     snapshot.write_snapshot(tables, base, ingest_ts=as_of)
+    snapshot.save_freshness(spark, base)
     return quality.check_tables(snapshot.load_snapshot(spark, base))

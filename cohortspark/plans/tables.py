@@ -120,7 +120,7 @@ class Build:
     @cached_property
     def visit(self) -> DataFrame:
         repeats = self.visit_lookup.select(F.col("dup_id").alias("vid"))
-        return lookup_join(self.all_visits.drop("_ord"), repeats, ["vid"], "left_anti")
+        return lookup_join(self.all_visits.drop("_ord"), repeats, ["vid"], "left_anti", unique=True)
 
     @cached_property
     def scan_enroll(self) -> DataFrame:
@@ -181,7 +181,7 @@ def build_visit_study(sources, as_of: str, build: Build | None = None, **options
     )
     flags = project.exclude_keys(b.sources[lay.visit_studies], lay.visit_id, lay.bad_visits)
     wide = flags.withColumnRenamed(lay.visit_id, "vid").drop("VisitDate", lay.person_id, SRC_ORD)
-    both = lookup_join(wide, cohort, ["vid"], "left")
+    both = wide.join(cohort, "vid", "left")  # one row per visit on both sides
     long = reshape.unpivot_dynamic_flags(both, ["vid", "cohort"], [], "study").select("vid", "study", "cohort")
     return identity.remap_keys(long, b.visit_lookup, "vid", distinct=True)
 

@@ -83,5 +83,11 @@ def replace_snapshot(spark: SparkSession, src: str, dst: str) -> str:
     return write_snapshot(load_snapshot(spark, src), dst)
 
 
+def save_freshness(spark: SparkSession, base: str, table: str = "visit") -> None:
+    """Keep the latest ingest time of a published table beside the bundle."""
+    marker = freshness_marker(load_snapshot(spark, base)[table])
+    marker.coalesce(1).write.mode("append").parquet(f"{base}/last_update")
+
+
 def freshness_marker(df: DataFrame, ts_col: str = INGEST_TS, out: str = "last_update") -> DataFrame:
     return df.agg(F.max(ts_col).alias(out))

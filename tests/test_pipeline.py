@@ -30,6 +30,7 @@ def scanned(spark, stored):
 def loaded(spark, scanned, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("target"))
     bad = rebuild(spark, scanned, base, AS_OF).collect()
+    assert str(spark.read.parquet(f"{base}/last_update").first()[0]).startswith(AS_OF)
     return snapshot.load_snapshot(spark, base), bad
 
 
