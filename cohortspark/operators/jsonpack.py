@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 
@@ -75,8 +76,6 @@ def measure_catalogue(tables: Mapping[str, DataFrame], drop_regex: str) -> DataF
 
     One row per table, so a local frame is bounded by the number of tables.
     """
-    import json
-
     rx = re.compile(drop_regex)
     rows = [
         (task_name(n), json.dumps([c for c in df.columns if not rx.search(c)], separators=(",", ":")))

@@ -62,7 +62,7 @@ def _(spark, d):
 @query("load_snapshot", _COUNTS.format(""))
 def _(spark, d):
     base = new_path(spark, "snapshot")
-    snapshot.write_snapshot({n: df.limit(0) for n, df in _bundle(spark, d).items()}, base)
+    snapshot.write_snapshot({n: df.where(F.lit(False)) for n, df in _bundle(spark, d).items()}, base)
     snapshot.write_snapshot(_bundle(spark, d), base)
     return _counts(snapshot.load_snapshot(spark, base))
 
@@ -81,7 +81,7 @@ def _(spark, d):
 def _(spark, d):
     src, dst = new_path(spark, "source"), new_path(spark, "serving")
     snapshot.write_snapshot(_bundle(spark, d), src)
-    snapshot.write_snapshot({n: df.limit(0) for n, df in _bundle(spark, d).items()}, dst)
+    snapshot.write_snapshot({n: df.where(F.lit(False)) for n, df in _bundle(spark, d).items()}, dst)
     snapshot.replace_snapshot(spark, src, dst)
     return _counts(snapshot.load_snapshot(spark, dst))
 

@@ -7,6 +7,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.files import delete
+
 _own_folder: str | None = None
 _paths: list[str] = []
 
@@ -55,10 +57,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def discard_written(spark: SparkSession) -> None:
     """Delete what this process wrote to the shared folder; frames read from it end with that."""
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
     while _paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete(spark, _paths.pop())
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import SRC_ORD
@@ -30,12 +32,11 @@ class Layout:
     scan_type: str = "ScanID"
     bad_visits: tuple = ()
 
-    def task_tables(self, sources) -> dict:
-        import re
-
+    def task_tables(self, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """The source tables whose name marks them as a task."""
         return {n: sources[n] for n in sources if re.search(self.task_table_regex, n)}
 
 
-def source_order(df, *fallback: str) -> list[Column]:
+def source_order(df: DataFrame, *fallback: str) -> list[Column]:
     """Input order of a source: ``_src_ord`` where the scan kept it, else the given key."""
     return [F.col(SRC_ORD)] if SRC_ORD in df.columns else [F.col(c) for c in fallback]

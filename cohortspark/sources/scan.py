@@ -8,13 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SRC_ORD = "_src_ord"
-
+from .files import names_in
 
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+SRC_ORD = "_src_ord"
 
 
 def _table_name(file_name: str, fmt: str) -> str:
@@ -40,7 +36,7 @@ def scan_table(
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    found = [f for f in (f"{name}.{fmt}", name) if f in _files(spark, base)]
+    found = [f for f in (f"{name}.{fmt}", name) if f in names_in(spark, base)]
     df = reader.load(f"{base}/{(found or [name])[0]}")
     if not with_order:
         return df
@@ -62,5 +58,5 @@ def scan_matching_tables(
     if base is None:
         names = [t.name for t in spark.catalog.listTables()]
     else:
-        names = [_table_name(f, fmt) for f in _files(spark, base) if not f.startswith(("_", "."))]
+        names = [_table_name(f, fmt) for f in names_in(spark, base) if not f.startswith(("_", "."))]
     return {n: scan_table(spark, base, n, fmt=fmt, **options) for n in sorted(names) if re.search(regex, n)}

@@ -12,6 +12,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import exists
+
 INGEST_TS = "ingest_ts"
 
 
@@ -20,9 +22,7 @@ def _stamped(df: DataFrame, ingest_ts: str | None) -> DataFrame:
 
 
 def _published(spark: SparkSession, base: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/published")
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return spark.read.parquet(f"{base}/published") if fs.exists(path) else None
+    return spark.read.parquet(f"{base}/published") if exists(spark, f"{base}/published") else None
 
 
 def current_snapshot(spark: SparkSession, base: str) -> tuple[str, int, list[str]] | None:

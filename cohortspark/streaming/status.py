@@ -7,7 +7,6 @@ replayed batch leaves the same files. Reading keeps the highest key per visit.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
