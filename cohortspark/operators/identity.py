@@ -122,17 +122,24 @@ def reattach_alias_rows(
 
 
 def dense_surrogate_key(
-    df: DataFrame, name: str, order_by: Sequence[Column | str], start: int | Column = 1
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[Column | str],
+    start: int | Column = 1,
+    range_by: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Number rows ``start..start+n-1`` in ``order_by`` order without a single-task sort.
 
+    ``range_by`` is a prefix of the order to cut ranges by, where its tail is wide: the driver
+    samples range keys.
+
     Rows are range-partitioned and sorted, each takes its position in its partition, and the
     result is written before the partition sizes are summed: positions and sizes then come
     from the same written rows, whatever is recomputed later.
     """
     position = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
     placed = (
-        df.repartitionByRange(*[_asc(c) for c in order_by])
+        df.repartitionByRange(*[_asc(c) for c in range_by or order_by])
         .sortWithinPartitions(*[_asc(c) for c in order_by])
         .withColumn("_pos", position)
         .withColumn("_part", F.shiftright("_pos", 33))

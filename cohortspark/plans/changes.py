@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -22,6 +22,7 @@ from ..operators import identity
 from ..operators.aggs import count_guards
 from ..operators.joins import broadcast_join, fits_broadcast, lookup_join
 from ..session import written
+from ..sources.snapshot import aligned, load_snapshot, revise_snapshot
 
 Tables = Mapping[str, DataFrame]
 PATCHED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr", "ra"]
@@ -244,6 +245,18 @@ def _updated(current: DataFrame, keys: Sequence[str], new: DataFrame) -> DataFra
     )
 
 
+def commit_changes(spark: SparkSession, base: str, changes: ChangeSet, ingest_ts: str | None = None) -> str:
+    """Publish the current snapshot with a change set applied, all tables at once.
+
+    Tables that only gain rows get a further folder; only updated and deleted-from tables are
+    rewritten.
+    """
+    after = apply_changes(load_snapshot(spark, base), changes)
+    rewritten = {n: after[n] for n in {*changes.update, *changes.delete}}
+    grown = {n: df for n, df in changes.add.items() if n not in rewritten}
+    return revise_snapshot(spark, base, append=grown, replace=rewritten, ingest_ts=ingest_ts)
+
+
 def apply_changes(tables: Tables, changes: ChangeSet) -> dict[str, DataFrame]:
     """The tables after a change set; columns an added frame lacks are null."""
     out = dict(tables)
@@ -254,7 +267,5 @@ def apply_changes(tables: Tables, changes: ChangeSet) -> dict[str, DataFrame]:
     for name, (keys, new) in changes.update.items():
         out[name] = _updated(out[name], keys, new)
     for name, new in changes.add.items():
-        fields = out[name].schema.fields
-        row = [(F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-        out[name] = out[name].unionByName(new.select(*row))
+        out[name] = out[name].unionByName(aligned(new, out[name], name))
     return out

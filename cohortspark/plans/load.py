@@ -15,10 +15,11 @@ from ..sources.layout import Layout
 from ..sources.seeds import seed_dimensions
 from .tables import build_all
 
-# Keys the target numbers itself when rows arrive without one, and the order that tells rows apart.
+# Keys the target numbers itself when rows arrive without one: the narrow columns and the wide ones
+# that tell rows apart.
 SERIAL = {
-    "contact": ("cid", ["pid", "relation", "ctype", "who", "cvalue"]),
-    "visit_task": ("vtid", ["vid", "task", "measures"]),
+    "contact": ("cid", ["pid", "relation", "ctype"], ["who", "cvalue"]),
+    "visit_task": ("vtid", ["vid", "task"], ["measures"]),
 }
 
 
@@ -26,9 +27,10 @@ def conform(name: str, df: DataFrame, existing: DataFrame | None = None) -> Data
     """The frame with the target's columns and types; what it lacks is null, but a serial key
     is numbered on from ``existing``."""
     if name in SERIAL and SERIAL[name][0] not in df.columns:
-        key, order = SERIAL[name]
+        key, narrow, wide = SERIAL[name]
         start = identity.next_key(existing, key) if existing is not None else 1
-        df = identity.dense_surrogate_key(df, key, order, start)
+        ranges = [*narrow, F.xxhash64(*wide)]
+        df = identity.dense_surrogate_key(df, key, [*ranges, *wide], start, range_by=ranges)
     fields = T.StructType.fromDDL(S.TABLES[name].columns).fields
     extra = set(df.columns) - {f.name for f in fields}
     if extra:

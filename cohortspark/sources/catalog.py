@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .snapshot import aligned
 
 # The key each table is mostly joined or grouped by.
 JOIN_KEY = {
@@ -30,13 +31,8 @@ def save_bucketed(
 def append_to_catalog(tables: Mapping[str, DataFrame], database: str = "default") -> None:
     """Append each frame to the catalog table of the same name, columns matched by name."""
     for name, df in tables.items():
-        spark = df.sparkSession
-        fields = spark.table(f"{database}.{name}").schema.fields
-        extra = set(df.columns) - {f.name for f in fields}
-        if extra:
-            raise ValueError(f"{name} has no columns {sorted(extra)}")
-        row = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-        df.select(*row).write.insertInto(f"{database}.{name}")
+        target = f"{database}.{name}"
+        aligned(df, df.sparkSession.table(target), name).write.insertInto(target)
 
 
 def load_catalog(spark: SparkSession, *names: str, database: str = "default") -> dict[str, DataFrame]:

@@ -1,7 +1,8 @@
-"""Table bundles on shared storage.
+"""Table bundles on shared storage, changed as a whole.
 
-A bundle is written table by table under a fresh id; one appended row then publishes it, so a
-reader sees either the old bundle or all of the new one.
+Every write goes to fresh folders. One row appended to ``published`` then names the folders that
+make up each table, so a reader sees either the old bundle or all of the new one, and a change
+writes only the tables it touches. One writer per target is assumed.
 """
 
 from __future__ import annotations
@@ -15,35 +16,42 @@ from pyspark.sql import functions as F
 from .files import exists
 
 INGEST_TS = "ingest_ts"
+ENTRY = "snapshot string, seq long, tables map<string, array<string>>"
 
 
 def _stamped(df: DataFrame, ingest_ts: str | None) -> DataFrame:
     return df if ingest_ts is None else df.withColumn(INGEST_TS, F.lit(ingest_ts).cast("timestamp_ntz"))
 
 
-def _published(spark: SparkSession, base: str) -> DataFrame | None:
-    return spark.read.parquet(f"{base}/published") if exists(spark, f"{base}/published") else None
+def current_snapshot(spark: SparkSession, base: str) -> tuple[str, int, dict[str, list[str]]] | None:
+    """(id, sequence number, folders of each table) of the bundle published last."""
+    if not exists(spark, f"{base}/published"):
+        return None
+    row = spark.read.schema(ENTRY).parquet(f"{base}/published").orderBy(F.desc("seq")).first()
+    return (row["snapshot"], row["seq"], dict(row["tables"])) if row else None
 
 
-def current_snapshot(spark: SparkSession, base: str) -> tuple[str, int, list[str]] | None:
-    """(id, sequence number, table names) of the bundle published last."""
-    log = _published(spark, base)
-    row = log.orderBy(F.desc("seq")).first() if log is not None else None
-    return (row["snapshot"], row["seq"], list(row["tables"])) if row else None
+def _write(tables: Mapping[str, DataFrame], base: str, snapshot: str) -> dict[str, list[str]]:
+    folders = {}
+    for name, df in tables.items():
+        folders[name] = [f"data/{snapshot}/{name}"]
+        df.write.parquet(f"{base}/{folders[name][0]}")
+    return folders
+
+
+def _publish(spark: SparkSession, base: str, snapshot: str, folders: Mapping[str, list[str]]) -> str:
+    last = current_snapshot(spark, base)
+    entry = spark.createDataFrame([(snapshot, last[1] + 1 if last else 1, dict(folders))], ENTRY)
+    entry.coalesce(1).write.mode("append").parquet(f"{base}/published")
+    return snapshot
 
 
 def write_snapshot(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | None = None) -> str:
     """Write all tables as a new bundle and publish it; returns its id."""
     spark = next(iter(tables.values())).sparkSession
     snapshot = uuid4().hex
-    for name, df in tables.items():
-        _stamped(df, ingest_ts).write.parquet(f"{base}/data/{snapshot}/{name}")
-    last = current_snapshot(spark, base)
-    entry = [(snapshot, last[1] + 1 if last else 1, list(tables))]
-    spark.createDataFrame(entry, "snapshot string, seq long, tables array<string>").coalesce(1).write.mode(
-        "append"
-    ).parquet(f"{base}/published")
-    return snapshot
+    stamped = {n: _stamped(df, ingest_ts) for n, df in tables.items()}
+    return _publish(spark, base, snapshot, _write(stamped, base, snapshot))
 
 
 def load_snapshot(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -51,31 +59,49 @@ def load_snapshot(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     found = current_snapshot(spark, base)
     if found is None:
         raise FileNotFoundError(f"no published snapshot in {base}")
-    snapshot, _, names = found
-    return {n: spark.read.parquet(f"{base}/data/{snapshot}/{n}") for n in names}
+    return {n: spark.read.parquet(*[f"{base}/{f}" for f in folders]) for n, folders in found[2].items()}
 
 
-def append_tables(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | None = None) -> None:
-    """Append each frame to the table of the same name, columns matched by name.
+def aligned(df: DataFrame, target: DataFrame, name: str) -> DataFrame:
+    """The frame with the target's columns and types, matched by name.
 
-    Columns the frame lacks become null; columns the table lacks are an error.
+    Columns the frame lacks become null; columns the target lacks are an error.
     """
+    fields = target.schema.fields
+    extra = set(df.columns) - {f.name for f in fields}
+    if extra:
+        raise ValueError(f"{name} has no columns {sorted(extra)}")
+    return df.select(
+        *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
+def revise_snapshot(
+    spark: SparkSession,
+    base: str,
+    append: Mapping[str, DataFrame] | None = None,
+    replace: Mapping[str, DataFrame] | None = None,
+    ingest_ts: str | None = None,
+) -> str:
+    """Publish the current bundle with rows appended to some tables and others replaced."""
+    current = load_snapshot(spark, base)
+    folders = current_snapshot(spark, base)[2]
+    snapshot = uuid4().hex
+    new = {n: aligned(_stamped(df, ingest_ts), current[n], n) for n, df in (append or {}).items()}
+    added = _write(new, base, f"{snapshot}/added")
+    replaced = _write(replace or {}, base, snapshot)
+    after = {**folders, **replaced}
+    for name, extra in added.items():
+        after[name] = [*after[name], *extra]
+    return _publish(spark, base, snapshot, after)
+
+
+def append_tables(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | None = None) -> str:
+    """Append each frame to the table of the same name, all at once; the first call creates them."""
     spark = next(iter(tables.values())).sparkSession
-    found = current_snapshot(spark, base)
-    if found is None:
-        write_snapshot(tables, base, ingest_ts)
-        return
-    target = load_snapshot(spark, base)
-    for name, df in tables.items():
-        df = _stamped(df, ingest_ts)
-        fields = target[name].schema.fields
-        extra = set(df.columns) - {f.name for f in fields}
-        if extra:
-            raise ValueError(f"{name} has no columns {sorted(extra)}")
-        row = [
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
-        ]
-        df.select(*row).write.mode("append").parquet(f"{base}/data/{found[0]}/{name}")
+    if current_snapshot(spark, base) is None:
+        return write_snapshot(tables, base, ingest_ts)
+    return revise_snapshot(spark, base, append=tables, ingest_ts=ingest_ts)
 
 
 def replace_snapshot(spark: SparkSession, src: str, dst: str) -> str:
@@ -83,11 +109,11 @@ def replace_snapshot(spark: SparkSession, src: str, dst: str) -> str:
     return write_snapshot(load_snapshot(spark, src), dst)
 
 
+def freshness_marker(df: DataFrame, ts_col: str = INGEST_TS, out: str = "last_update") -> DataFrame:
+    return df.agg(F.max(ts_col).alias(out))
+
+
 def save_freshness(spark: SparkSession, base: str, table: str = "visit") -> None:
     """Keep the latest ingest time of a published table beside the bundle."""
     marker = freshness_marker(load_snapshot(spark, base)[table])
     marker.coalesce(1).write.mode("append").parquet(f"{base}/last_update")
-
-
-def freshness_marker(df: DataFrame, ts_col: str = INGEST_TS, out: str = "last_update") -> DataFrame:
-    return df.agg(F.max(ts_col).alias(out))

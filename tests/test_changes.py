@@ -111,3 +111,27 @@ def test_latest_status_is_last_inserted(spark):
         "aid long, vid long, action string, vatimestamp timestamp_ntz",
     )
     assert rows(changes.apply_latest_status(visits, actions)) == [(1, "resched"), (2, "checkedin")]
+
+
+def test_commit_publishes_all_tables_at_once(spark, tables, tmp_path):
+    from cohortspark.sources import snapshot
+
+    base = str(tmp_path)
+    snapshot.write_snapshot(tables, base)
+    before = snapshot.current_snapshot(spark, base)[2]
+    asked = spark.createDataFrame([(1,)], "vid long")
+    changes.commit_changes(spark, base, changes.cancel_visits(asked, snapshot.load_snapshot(spark, base)))
+    after = snapshot.load_snapshot(spark, base)
+    assert sorted(r.vid for r in after["visit"].collect()) == [2, 3, 4, 5]
+    folders = snapshot.current_snapshot(spark, base)[2]
+    assert folders["person"] == before["person"] and folders["visit"] != before["visit"]
+
+    req = spark.createDataFrame(
+        [(1, 1, "MEG", TS(2024, 6, 1, 9), "ann")],
+        "req_id long, pid long, vtype string, vtimestamp timestamp_ntz, ra string",
+    )
+    changes.commit_changes(spark, base, changes.register_visits(req, after, NOW))
+    grown = snapshot.load_snapshot(spark, base)
+    assert sorted(r.vid for r in grown["visit"].collect()) == [2, 3, 4, 5, 6]
+    assert grown["visit_action"].where("vid = 6").count() == 1
+    assert len(snapshot.current_snapshot(spark, base)[2]["visit"]) == 2
