@@ -40,8 +40,9 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row)).first()[0] or 0
 
 
-def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the measured sizes of the frames add up to at most ``limit``."""
+def fits_broadcast(frames: Sequence[DataFrame], limit: int | None = None) -> bool:
+    """Whether the measured sizes of the frames add up to at most ``limit`` (``BROADCAST_BYTES``)."""
+    limit = BROADCAST_BYTES if limit is None else limit
     total = 0
     for df in frames:
         total += measured_bytes(df)
@@ -56,10 +57,11 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def heavy_keys(
-    counts: DataFrame, on: Sequence[str], min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY
+    counts: DataFrame, on: Sequence[str], min_rows: int | None = None, max_keys: int = MAX_HEAVY
 ) -> DataFrame:
-    """Of ``key_counts``, keys with more than ``min_rows`` rows, the ``max_keys`` largest, with a
-    number of salts such that each covers about ``min_rows`` rows."""
+    """Of ``key_counts``, keys with more than ``min_rows`` rows (``HEAVY_ROWS``), the ``max_keys``
+    largest, with a number of salts such that each covers about ``min_rows`` rows."""
+    min_rows = min_rows or HEAVY_ROWS
     top = counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n"), *on).limit(max_keys)
     return top.select(
         *[F.col(k).alias(f"_heavy_{k}") for k in on],
@@ -83,7 +85,7 @@ def skew_join(
     null_safe: bool = False,
     spread_by: Sequence[str] | None = None,
     counts: DataFrame | None = None,
-    min_rows: int = HEAVY_ROWS,
+    min_rows: int | None = None,
     max_keys: int = MAX_HEAVY,
 ) -> DataFrame:
     """Join ``many`` (keys may be hot) to ``one`` on equally named columns, salting the hot keys.
@@ -138,7 +140,7 @@ def lookup_join(
     counts: DataFrame | None = None,
     bound_by: Sequence[DataFrame] | None = None,
     unique: bool = False,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """Join facts to a lookup: broadcast it when its measured size allows, else salt hot keys.
 

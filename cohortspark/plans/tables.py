@@ -156,6 +156,8 @@ def build_contact(sources, as_of: str, build: Build | None = None, **options) ->
     fam = reshape.ungroup_column_families(wide, "^Contact[0-9]", "relation", ["pid"])
     name_parts = ["FirstName", "LastName"]
     address_parts = ["Address1", "Address2", "City", "State", "ZipCode"]
+    absent = [c for c in name_parts + address_parts if c not in fam.columns]
+    fam = fam.withColumns({c: F.lit(None).cast("string") for c in absent})
     joined = fam.withColumns(
         {"who": text.concat_fields(name_parts), "Address": text.concat_fields(address_parts)}
     ).drop(*name_parts, *address_parts)
