@@ -2,7 +2,8 @@
 
 Each job takes a frame of requests and the current tables and returns frames to append
 (``add``), to replace by key (``update``) or to remove by key (``delete``), and ``rejected``
-with a reason. ``apply_changes`` gives the tables that result; publish them as one snapshot.
+with a reason. ``order`` names a request column that tells requests apart and orders them.
+``apply_changes`` gives the tables that result; publish them as one snapshot.
 Current tables are only read by key columns; keys continue after the largest in use.
 """
 
@@ -26,6 +27,7 @@ from ..sources.snapshot import aligned, load_snapshot, revise_snapshot
 
 Tables = Mapping[str, DataFrame]
 PATCHED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr", "ra"]
+VISIT_KEY = ["pid", "vtimestamp", "vtype"]
 MOVABLE = ["sched", "resched", "assigned"]
 REMOVABLE = ["sched", "assigned"]
 
@@ -86,23 +88,50 @@ def _key(existing: DataFrame, key: str) -> Column:
     return (F.col("_nth") + F.lit(identity.next_key(existing, key))).alias(key)
 
 
+def _with_study_known(df: DataFrame, tables: Tables, order: str) -> DataFrame:
+    """Add ``_study_known``; without a study table every name is accepted."""
+    if "study" not in tables:
+        return df.withColumn("_study_known", F.lit(True))
+    known = tables["study"].select("study").distinct().withColumn("_study_known", F.lit(True))
+    return lookup_join(df, known, ["study"], "left", spread_by=[order])
+
+
+def _clashing(open_requests: DataFrame, visit: DataFrame, order: str) -> DataFrame:
+    """Requests for a (person, time, type) that a visit or an earlier request already has."""
+    wanted = open_requests.where(F.col("vtimestamp").isNotNull()).select(order, *VISIT_KEY)
+    firsts = wanted.groupBy(*VISIT_KEY).agg(F.min(order).alias("_first"))
+    taken = visit.select(*VISIT_KEY)
+    if fits_broadcast([wanted]):
+        taken = broadcast_join(taken, firsts.select(*VISIT_KEY), VISIT_KEY, "left_semi")
+    taken = taken.distinct().withColumn("_taken", F.lit(True))
+    state = firsts.join(taken, VISIT_KEY, "left")
+    met = lookup_join(wanted, state, VISIT_KEY, "inner", spread_by=[order], bound_by=[wanted])
+    return met.where(F.col("_taken").isNotNull() | (F.col(order) != F.col("_first"))).select(order)
+
+
 def register_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
     """New visits with an action, notes and a study.
 
     Without an action the visit is scheduled now; a given action happened at the visit's time.
+    Of several valid requests for one person, time and type the first is taken.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "vid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
     person = tables["person"].select("pid", "dob").withColumn("_known", F.lit(True))
     found = lookup_join(req, person, ["pid"], "left", spread_by=[order])
+    found = _with_study_known(found, tables, order)
     reason = _first_reason([
         (F.col("_known").isNull(), "unknown person"),
         (F.col("vtype").isNull(), "missing visit type"),
         (F.col("ra").isNull(), "missing staff"),
         (~F.col("action").isin(S.STATUS), "unknown action"),
         (F.col("study").isNotNull() & F.col("cohort").isNull(), "missing cohort"),
+        (F.col("study").isNotNull() & F.col("_study_known").isNull(), "unknown study"),
     ])
-    judged = written(found.withColumn("reason", reason).drop("_known"), "register")
+    judged = written(found.withColumn("reason", reason).drop("_known", "_study_known"), "register")
+    clash = _clashing(judged.where(F.col("reason").isNull()), tables["visit"], order)
+    clash = clash.withColumn("_clash", F.lit("visit exists"))
+    judged = judged.join(clash, order, "left").withColumn("reason", F.coalesce("reason", "_clash")).drop("_clash")
     good = judged.where(F.col("reason").isNull()).drop("reason").withColumns({
         "age": dates.age_years_whole_days("vtimestamp", "dob"),
         "_when": F.when(F.col("action").isNull(), dates.moment(as_of)).otherwise(F.col("vtimestamp")),
@@ -158,14 +187,15 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
-    first = req.groupBy("vid").agg(F.min(order).alias(order)).select(order, F.lit(True).alias("_first"))
-    req = req.join(first, order, "left")
-    old = _old_rows(tables, req.select("vid").distinct())
+    firsts = req.groupBy("vid").agg(F.min(order).alias(order)).select(order)
+    repeats = req.join(firsts, order, "left_anti")
+    req = req.join(firsts, order, "left_semi")  # from here a visit occurs once
+    old = _old_rows(tables, req.select("vid"))
     person = tables["person"].select("pid", "dob")
     old = lookup_join(old, person, ["pid"], "left", spread_by=["vid"]).withColumn("_known", F.lit(True))
     both = req.alias("n").join(old.alias("o"), "vid", "left")
     merged = both.select(
-        order, "vid", F.col("o.pid").alias("pid"), "dob", "_known", "_first",
+        order, "vid", F.col("o.pid").alias("pid"), "dob", "_known",
         *patch_coalesce("n", "o", PATCHED),
         F.coalesce(F.col("n.action"), F.lit("resched")).alias("action"),
         F.col("o.action").alias("_old_action"),
@@ -173,12 +203,13 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
         F.col("n.study").alias("study"), F.coalesce("n.cohort", "o.cohort").alias("cohort"),
         F.col("o.study").alias("_old_study"),
     )
+    merged = _with_study_known(merged, tables, order)
     reason = _first_reason([
         (F.col("_known").isNull(), "unknown visit"),
-        (F.col("_first").isNull(), "repeated request"),
         (~F.col("_old_action").isin(MOVABLE), "not scheduled or assigned"),
         (~F.col("action").isin(S.STATUS), "unknown action"),
         (F.col("ra").isNull(), "missing staff"),
+        (F.col("study").isNotNull() & F.col("_study_known").isNull(), "unknown study"),
     ])
     judged = written(merged.withColumn("reason", reason), "reschedule")
     good = _numbered(judged.where(F.col("reason").isNull()), order)
@@ -199,7 +230,9 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
             )),
             "visit_study": (["vid", "_old_study"], moved.select("vid", "_old_study", "study", "cohort")),
         },
-        rejected=judged.where(F.col("reason").isNotNull()).select(order, "vid", "reason"),
+        rejected=judged.where(F.col("reason").isNotNull())
+        .select(order, "vid", "reason")
+        .unionByName(repeats.select(order, "vid", F.lit("repeated request").alias("reason"))),
     )
 
 

@@ -16,7 +16,11 @@ _NEW = """select o_orderkey as req_id, case when o_orderkey % 11 = 0 then -1 - o
     case when o_orderkey % 19 <> 0 then 'ra' || (o_orderkey % 5) end as ra,
     o_orderkey % 4 = 0 as has_notes, case when o_orderkey % 2 = 0 then 'S' || (o_orderkey % 6) end as study,
     case when o_orderkey % 7 <> 0 then 'control' end as cohort from orders"""
-_JUDGED = """select n.*, p.dob, case when p.pid is null then 'unknown person' when vtype is null then 'missing visit type'
+_JUDGED = """select * exclude (reason), case when reason is null and vtimestamp is not null and (
+        exists (select 1 from visit v where v.pid = j.pid and v.vtimestamp = j.vtimestamp and v.vtype = j.vtype)
+        or row_number() over (partition by reason is null, pid, vtimestamp, vtype order by req_id) > 1)
+    then 'visit exists' else reason end as reason from valid j"""
+_VALID = """select n.*, p.dob, case when p.pid is null then 'unknown person' when vtype is null then 'missing visit type'
     when ra is null then 'missing staff' when action not in ('sched','resched','assigned','complete','checkedin',
     'cancelled','noshow','unknown','other') then 'unknown action'
     when study is not null and cohort is null then 'missing cohort' end as reason
@@ -24,7 +28,8 @@ _JUDGED = """select n.*, p.dob, case when p.pid is null then 'unknown person' wh
 _GOOD = """select *, (select max(vid) from visit) + row_number() over (order by req_id) as vid,
     date_part('day', vtimestamp - dob) / 365.25 as age, coalesce(action, 'sched') as act,
     case when action is null then timestamp '2020-01-01' else vtimestamp end as happened from judged where reason is null"""
-_REG = {"req": _NEW, "judged": _JUDGED, "good": _GOOD}
+_CHECKED = {"req": _NEW, "valid": _VALID, "judged": _JUDGED}
+_REG = {**_CHECKED, "good": _GOOD}
 
 
 def _notes(k):
@@ -88,7 +93,7 @@ def _(spark, d):
 
 @query(
     "register_visits_rejected",
-    sql("person", "select req_id, reason from judged where reason is not null", req=_NEW, judged=_JUDGED),
+    sql("person visit", "select req_id, reason from judged where reason is not null", **_CHECKED),
 )
 def _(spark, d):
     return _register(spark, d).rejected

@@ -135,3 +135,29 @@ def test_commit_publishes_all_tables_at_once(spark, tables, tmp_path):
     assert sorted(r.vid for r in grown["visit"].collect()) == [2, 3, 4, 5, 6]
     assert grown["visit_action"].where("vid = 6").count() == 1
     assert len(snapshot.current_snapshot(spark, base)[2]["visit"]) == 2
+
+
+def test_register_rejects_taken_slots_and_unknown_studies(spark, tables):
+    tables = {**tables, "study": spark.createDataFrame([("X", "X", None, None)], TABLES["study"].columns)}
+    req = spark.createDataFrame(
+        [(1, 1, "Scan", TS(2020, 1, 1), "ann", None), (2, 1, "MEG", TS(2024, 1, 1), None, None),
+         (3, 1, "MEG", TS(2024, 1, 1), "ann", None), (4, 1, "MEG", TS(2024, 1, 1), "ann", None),
+         (5, 1, "MEG", None, "ann", None), (6, 1, "MEG", None, "ann", "Q"), (7, 1, "MEG", None, "ann", "X")],
+        "req_id long, pid long, vtype string, vtimestamp timestamp_ntz, ra string, study string",
+    )
+    req = req.selectExpr("*", "'control' as cohort")
+    done = changes.register_visits(req, tables, NOW)
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {
+        1: "visit exists", 2: "missing staff", 4: "visit exists", 6: "unknown study",
+    }
+    assert done.add["visit"].count() == 3
+
+
+def test_second_reschedule_of_a_visit_is_rejected(spark, tables):
+    req = spark.createDataFrame(
+        [(2, 1, TS(2022, 1, 1)), (1, 1, TS(2021, 1, 1)), (3, 1, TS(2023, 1, 1))],
+        "req_id long, vid long, vtimestamp timestamp_ntz",
+    )
+    done = changes.reschedule_visits(req, tables, NOW)
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {2: "repeated request", 3: "repeated request"}
+    assert [r.vtimestamp for r in done.update["visit"][1].collect()] == [TS(2021, 1, 1)]
