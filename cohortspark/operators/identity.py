@@ -108,7 +108,9 @@ def remap_keys(
     if fits_broadcast([lookup]):
         found = broadcast_join(df, lookup, [key])
     else:
-        found = skew_join(df.distinct() if distinct else df, lookup, [key], "left", spread_by=spread_by)
+        if distinct:
+            df, spread_by = df.distinct(), df.columns
+        found = skew_join(df, lookup, [key], "left", spread_by=spread_by)
     out = found.select(*cols)
     return out.distinct() if distinct else out
 

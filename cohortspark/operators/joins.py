@@ -91,14 +91,20 @@ def skew_join(
     """Join ``many`` (keys may be hot) to ``one`` on equally named columns, salting the hot keys.
 
     ``how`` is inner, left, left_semi or left_anti. ``spread_by`` names columns that tell the rows
-    of one key apart (default all). The salt is a hash of row content, so a recomputed task
-    sends every row where it went before. ``counts`` gives known ``key_counts``, where counting
-    ``many`` itself would repeat work. Keys of ``many`` are kept, those of ``one`` dropped.
+    of one key apart; the salt is their hash, so a recomputed task sends every row where it went
+    before. Without it rows may be exact copies, which no hash tells apart: they are dealt out
+    evenly first (Spark sorts before dealing, so this too repeats exactly) and salted by partition.
+    ``counts`` gives known ``key_counts``, where counting ``many`` itself would repeat work. Keys
+    of ``many`` are kept, those of ``one`` dropped.
     """
     on = list(on)
     heavy = heavy_keys(key_counts(many, on) if counts is None else counts, on, min_rows, max_keys)
     to_heavy = _on([(k, f"_heavy_{k}") for k in on], null_safe=True)
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or many.columns)])
+    if spread_by:
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by])
+    else:
+        many = many.repartition(int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        spread = F.spark_partition_id()
     salted = (
         many.join(F.broadcast(heavy), to_heavy, "left")
         .withColumn("_salt", F.coalesce(F.pmod(spread, F.col("_salts")).cast("int"), F.lit(0)))

@@ -294,9 +294,9 @@ def apply_changes(tables: Tables, changes: ChangeSet) -> dict[str, DataFrame]:
     """The tables after a change set; columns an added frame lacks are null."""
     out = dict(tables)
     for name, (key, gone) in changes.delete.items():
-        rows = out[name]
-        kept = lookup_join(rows, gone.withColumnRenamed("vid", key), [key], "left_anti")
-        out[name] = kept
+        table = S.TABLES[name]
+        spread_by = table.pk or table.unique[0]
+        out[name] = lookup_join(out[name], gone.withColumnRenamed("vid", key), [key], "left_anti", spread_by=spread_by)
     for name, (keys, new) in changes.update.items():
         out[name] = _updated(out[name], keys, new)
     for name, new in changes.add.items():

@@ -234,7 +234,7 @@ def build_note(sources, as_of: str, build: Build | None = None, **options) -> Da
     own = own.withColumns(nothing).select("pid", "vid", "ndate", "Dropped", "Notes", "_rank", "_ord")
 
     log = b.visit_log.select(F.col(lay.visit_id).alias("vid"), "Dropped", "Notes", "_ord")
-    merged = identity.remap_keys(log, b.visit_lookup, "vid").groupBy("vid", "Dropped", "Notes").agg(
+    merged = identity.remap_keys(log, b.visit_lookup, "vid", spread_by=["_ord"]).groupBy("vid", "Dropped", "Notes").agg(
         F.min("_ord").alias("_ord")
     )
     known = b.visit.select("vid", "pid", F.col("vtimestamp").alias("ndate"))

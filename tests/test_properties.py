@@ -90,6 +90,14 @@ def test_salted_join_equals_plain_join(spark, how, null_safe):
     assert rows(joins.lookup_join(many, one, ["k"], how, null_safe, limit=0)) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_copies_of_one_row_spread_and_survive(spark, how):
+    many = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("k"))
+    one = spark.createDataFrame([(i, f"v{i}") for i in range(0, 9000, 2)] + [(1, "hot")], "k long, v string")
+    salted = joins.skew_join(many, one, ["k"], how, min_rows=100)
+    assert rows(salted) == rows(many.join(one, "k", how))
+
+
 def test_heavy_list_is_bounded_and_salts_follow_counts(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("k"))
     heavy = joins.heavy_keys(joins.key_counts(df, ["k"]), ["k"], min_rows=30, max_keys=4).collect()
@@ -110,10 +118,12 @@ def test_hot_key_is_spread(spark):
 
         plain = largest(many.join(one, "k").select("id", "v"))
         spread = largest(joins.skew_join(many, one, ["k"], spread_by=["id"], min_rows=500).select("id", "v"))
+        copies = many.select("k")
+        dealt = largest(joins.skew_join(copies, one, ["k"], min_rows=500).select("k", "v"))
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
-    assert plain > 10000 and spread < 5500
+    assert plain > 10000 and spread < 5500 and dealt < 8000
 
 
 def test_natural_left_join_with_hot_child(spark, monkeypatch):
