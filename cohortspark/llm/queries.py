@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, pii, quality, urls
+from . import chat, line_dedup, lm, minhash, packing, pieces, pii, quality, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,42 @@ def sha256(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+@query("op1_line_dedup", rf"""
+    WITH split AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
+        FROM documents
+    ), counted AS (
+        SELECT *, len(regexp_extract_all(line, '{line_dedup.WORD}')) AS words,
+            trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body
+        FROM split
+    ), placed AS (
+        SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS until FROM counted WHERE words > 0
+    ), windows AS (
+        SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS z, list(body) OVER w AS lines, sum(words) OVER w AS total
+        FROM (SELECT *, until - words AS since FROM placed)
+        WINDOW w AS (PARTITION BY doc_id ORDER BY since RANGE BETWEEN CURRENT ROW AND {line_dedup.LEAST_WORDS - 1} FOLLOWING)
+        UNION
+        SELECT doc_id, min(pos) OVER w, max(pos) OVER w, list(body) OVER w, sum(words) OVER w FROM placed
+        WINDOW w AS (PARTITION BY doc_id ORDER BY until RANGE BETWEEN {line_dedup.LEAST_WORDS - 1} PRECEDING AND CURRENT ROW)
+    ), repeats AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id, a) AS nth FROM windows WHERE total >= {line_dedup.LEAST_WORDS})
+        WHERE nth > 1
+    ), judged AS (
+        SELECT c.*, EXISTS (SELECT 1 FROM repeats r WHERE r.doc_id = c.doc_id AND c.pos BETWEEN r.a AND r.z) AS gone FROM counted c
+    ), kept AS (
+        SELECT doc_id, count(*) FILTER (words > 0) AS n_lines, count(*) FILTER (words > 0 AND gone) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+        FROM judged GROUP BY doc_id
+    )
+    SELECT doc_id, n_lines, n_removed, length(text) AS n_chars, sha256(text) AS text_sha256 FROM kept
+""")
+def line_dedup_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without later copies of runs of lines of 50 words or more."""
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"), sha256("text").alias("text_sha256"))
+
+
 @query("op2_sentencepiece")
 def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the 32k piece model, and the text decoded from them."""
@@ -92,6 +128,46 @@ def _soft_sql() -> str:
     return " + ".join(f"regexp_matches(rest, '{_TERM.format(t)}')::int" for t in urls.SOFT)
 
 
+@query("op5_minhash", r"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+        FROM worded
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+    ), reached AS (
+        SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+    ), named AS (
+        SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM named LEFT JOIN sizes USING (doc_id)
+""")
+def minhash_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on shingles of four words."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), settings=minhash.Settings(words=4))
+
+
+@query("op6_lm_score")
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every text; nine tenths of the documents train."""
+    return lm.lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op7_packing")
+def packing_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as pieces in sequences of at most 1024 tokens."""
+    settings = packing.Settings(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), settings)
+
+
 @query("op8_url_filter", rf"""
     WITH parts AS (
         SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
@@ -123,6 +199,23 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages", "page_id", "url")).drop("url")
 
 
+@query("op9_near_vectors", """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.95
+    ), reached AS (
+        SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT vec_id, b FROM reached JOIN links ON other = a
+    )
+    SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+    FROM reached GROUP BY vec_id
+""")
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at a cosine of 0.95 or more, and groups, of all vectors."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query("op10_pii")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base kinds, and all spans, of every text."""
