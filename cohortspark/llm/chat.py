@@ -136,7 +136,8 @@ def json_to_turns(df: DataFrame, record: str, conv_id: str = "conv_id") -> DataF
     paths = [F.coalesce(F.map_keys("_f"), F.array())]
     for k, name in enumerate(LISTS):
         keys = F.map_keys(F.get(F.col(f"_i{k}"), F.lit(0)))
-        paths.append(F.coalesce(F.transform(keys, lambda x, name=name: F.concat(F.lit(f"{name}[]."), x)), F.array()))
+        under = F.transform(keys, lambda x: F.concat(F.lit(f"{name}[]."), x))  # noqa: B023
+        paths.append(F.coalesce(under, F.array()))
     known = F.array_intersect(F.concat(*paths), F.array(*map(F.lit, KNOWN)))
     found = found.withColumn("fingerprint", F.sha2(F.array_join(F.array_sort(known), "|"), 256))
     turns = F.lit(None).cast(f"array<{TURN}>")

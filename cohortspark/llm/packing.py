@@ -35,8 +35,8 @@ PACK_ROWS = 50_000
 #: Largest k of the dual feasible functions of steps.
 STEPS = 20
 #: Distinct chunks of text whose ids a task remembers before it starts anew.
-CACHE_CHUNKS = 600_000
-ENCODE_BYTES = 6 << 20
+CACHE_CHUNKS = 300_000
+ENCODE_BYTES = 3 << 20
 
 #: Fixed value: the pattern by which byte-level tokenizers of this kind part a text.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -164,16 +164,22 @@ def redact_pii(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KI
 
     A null text stays null. Where spans of two kinds overlap, the kind listed first takes its characters.
     """
-    out = docs
+    out, pairs = docs, F.col("_pairs")
     for k in kinds:
-        pairs = F.col("_pairs")
-        put = F.transform(F.arrays_zip(pairs.alias("p"), F.col("_scored").alias("s")), lambda x, k=k: F.concat(
-            x["p"]["gap"], F.when(x["s"]["score"] >= LEAST_SCORE, F.lit(f"<{k.name.upper()}>")).otherwise(F.coalesce(x["p"]["match"], F.lit("")))))
         out = out.withColumn("_pairs", proposed(F.col(text), k)).withColumn("_scored", scored(pairs, k))
-        out = out.withColumn(text, F.when(F.size("_scored") > 0, F.array_join(put, "")).otherwise(F.col(text)))
+        out = out.withColumn(text, F.when(F.size("_scored") > 0, _replaced(pairs, F.col("_scored"), f"<{k.name.upper()}>")).otherwise(F.col(text)))
     return out.drop("_pairs", "_scored")
 
 
+def _replaced(pairs: Column, scores: Column, mark: str) -> Column:
+    """Gaps and matches put together again, ``mark`` for every match whose score is high enough."""
+
+    def part(x: Column) -> Column:
+        return F.concat(x["p"]["gap"], F.when(x["s"]["score"] >= LEAST_SCORE, F.lit(mark)).otherwise(F.coalesce(x["p"]["match"], F.lit(""))))
+
+    return F.array_join(F.transform(F.arrays_zip(pairs.alias("p"), scores.alias("s")), part), "")
+
+
 def count_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
 
