@@ -7,8 +7,8 @@ Three ways, chosen by the size of what is joined:
   the matching rows of the other side are repeated once per salt, every other key joins as usual;
 * child tables are first grouped by key (``star_join``), so no key repeats at all.
 
-The list of heavy keys is itself bounded (``MAX_HEAVY``), whatever the data, so it may be broadcast:
-a key outside the ``n`` largest holds at most ``1/n`` of the rows.
+A key is heavy from ``HEAVY_ROWS`` rows on, or from ``1/HEAVY_PARTS`` of all rows where that is more. So there are at
+most ``HEAVY_PARTS`` heavy keys, whatever the data: their list may be broadcast, and none is left out of it.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_ROWS = 1_000_000
-MAX_HEAVY = 1000
+HEAVY_PARTS = 100_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -56,13 +56,13 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def heavy_keys(
-    counts: DataFrame, on: Sequence[str], min_rows: int | None = None, max_keys: int = MAX_HEAVY
-) -> DataFrame:
-    """Of ``key_counts``, keys with more than ``min_rows`` rows (``HEAVY_ROWS``), the ``max_keys``
-    largest, with a number of salts such that each covers about ``min_rows`` rows."""
+def heavy_keys(counts: DataFrame, on: Sequence[str], min_rows: int | None = None) -> DataFrame:
+    """Of ``key_counts``, all keys with more than ``min_rows`` rows (``HEAVY_ROWS``), or more than
+    ``1/HEAVY_PARTS`` of the rows where that is more, with a number of salts such that each covers
+    about ``min_rows`` rows."""
     min_rows = min_rows or HEAVY_ROWS
-    top = counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n"), *on).limit(max_keys)
+    share = counts.agg(F.sum("_n") / F.lit(HEAVY_PARTS)).scalar()
+    top = counts.where((F.col("_n") > min_rows) & (F.col("_n") > share))
     return top.select(
         *[F.col(k).alias(f"_heavy_{k}") for k in on],
         F.ceil(F.col("_n") / F.lit(min_rows)).cast("int").alias("_salts"),
@@ -86,7 +86,6 @@ def skew_join(
     spread_by: Sequence[str] | None = None,
     counts: DataFrame | None = None,
     min_rows: int | None = None,
-    max_keys: int = MAX_HEAVY,
 ) -> DataFrame:
     """Join ``many`` (keys may be hot) to ``one`` on equally named columns, salting the hot keys.
 
@@ -98,7 +97,7 @@ def skew_join(
     of ``many`` are kept, those of ``one`` dropped.
     """
     on = list(on)
-    heavy = heavy_keys(key_counts(many, on) if counts is None else counts, on, min_rows, max_keys)
+    heavy = heavy_keys(key_counts(many, on) if counts is None else counts, on, min_rows)
     to_heavy = _on([(k, f"_heavy_{k}") for k in on], null_safe=True)
     if spread_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by])

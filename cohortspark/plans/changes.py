@@ -23,7 +23,7 @@ from ..operators import identity
 from ..operators.aggs import count_guards
 from ..operators.joins import broadcast_join, fits_broadcast, lookup_join
 from ..session import written
-from ..sources.snapshot import aligned, load_snapshot, revise_snapshot
+from ..sources.snapshot import INGEST_TS, aligned, load_snapshot, revise_snapshot, save_freshness, stamped
 
 Tables = Mapping[str, DataFrame]
 PATCHED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr", "ra"]
@@ -178,19 +178,33 @@ def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
     return visit.join(action, "vid", "left").join(study, "vid", "left")
 
 
+def _meeting(open_requests: DataFrame, visit: DataFrame, order: str) -> DataFrame:
+    """Requests that move a visit to a (person, time, type) that a visit or an earlier request has.
+
+    A place that another visit leaves in the same batch counts as taken.
+    """
+    slot = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in ("vtimestamp", "vtype")]
+    return _clashing(open_requests.where(~(slot[0] & slot[1])), visit, order).withColumn("_clash", F.lit("visit exists"))
+
+
+def _having(open_requests: DataFrame, studies: DataFrame, order: str) -> DataFrame:
+    """Requests for a study that the visit has besides the one they replace."""
+    other = open_requests.where(F.col("study").isNotNull() & ~F.col("study").eqNullSafe(F.col("_old_study")))
+    held = studies.select("vid", "study").distinct()
+    return other.select(order, "vid", "study").join(held, ["vid", "study"], "left_semi").select(order, F.lit("study exists").alias("_has"))
+
+
 def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
     """Move visits that have not happened: patch given fields, recompute the age, log an action.
 
-    Of several requests for a visit the first is taken and the others are rejected. Only supplied
-    notes are added; a supplied study replaces the one shown for the visit. A visit without any
-    action may be moved.
+    Of several valid requests for a visit the first is taken and the others are rejected; an invalid
+    one never stands in the way of a valid one. A visit can't move to a person, time and type that
+    is taken, nor get a study twice. Only supplied notes are added; a supplied study replaces the
+    one shown for the visit. A visit without any action may be moved.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
-    firsts = req.groupBy("vid").agg(F.min(order).alias(order)).select(order)
-    repeats = req.join(firsts, order, "left_anti")
-    req = req.join(firsts, order, "left_semi")  # from here a visit occurs once
-    old = _old_rows(tables, req.select("vid"))
+    old = _old_rows(tables, req.select("vid").distinct())
     person = tables["person"].select("pid", "dob")
     old = lookup_join(old, person, ["pid"], "left", spread_by=["vid"]).withColumn("_known", F.lit(True))
     both = req.alias("n").join(old.alias("o"), "vid", "left")
@@ -202,6 +216,7 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
         F.col("n.notes").alias("notes"),
         F.col("n.study").alias("study"), F.coalesce("n.cohort", "o.cohort").alias("cohort"),
         F.col("o.study").alias("_old_study"),
+        F.col("o.vtimestamp").alias("_old_vtimestamp"), F.col("o.vtype").alias("_old_vtype"),
     )
     merged = _with_study_known(merged, tables, order)
     reason = _first_reason([
@@ -211,7 +226,15 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
         (F.col("ra").isNull(), "missing staff"),
         (F.col("study").isNotNull() & F.col("_study_known").isNull(), "unknown study"),
     ])
-    judged = written(merged.withColumn("reason", reason), "reschedule")
+    merged = written(merged.withColumn("reason", reason), "reschedule")
+    open_requests = merged.where(F.col("reason").isNull())
+    judged = merged.join(_having(open_requests, tables["visit_study"], order), order, "left")
+    judged = judged.join(_meeting(open_requests, tables["visit"], order), order, "left")
+    judged = judged.withColumn("reason", F.coalesce("reason", "_has", "_clash")).drop("_has", "_clash", "_old_vtimestamp", "_old_vtype")
+    firsts = judged.where(F.col("reason").isNull()).groupBy("vid").agg(F.min(order).alias("_first"))
+    repeat = F.when(F.col("reason").isNull() & (F.col(order) != F.col("_first")), "repeated request")
+    judged = judged.join(firsts, "vid", "left").withColumn("reason", F.coalesce("reason", repeat)).drop("_first")
+    judged = written(judged, "reschedule")
     good = _numbered(judged.where(F.col("reason").isNull()), order)
     age = dates.age_years_whole_days("vtimestamp", "dob")
     moved = good.where(F.col("study").isNotNull() & F.col("_old_study").isNotNull())
@@ -230,9 +253,7 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
             )),
             "visit_study": (["vid", "_old_study"], moved.select("vid", "_old_study", "study", "cohort")),
         },
-        rejected=judged.where(F.col("reason").isNotNull())
-        .select(order, "vid", "reason")
-        .unionByName(repeats.select(order, "vid", F.lit("repeated request").alias("reason"))),
+        rejected=judged.where(F.col("reason").isNotNull()).select(order, "vid", "reason"),
     )
 
 
@@ -284,10 +305,29 @@ def commit_changes(spark: SparkSession, base: str, changes: ChangeSet, ingest_ts
     Tables that only gain rows get a further folder; only updated and deleted-from tables are
     rewritten.
     """
-    after = apply_changes(load_snapshot(spark, base), changes)
+    current = load_snapshot(spark, base)
+    if ingest_ts is not None:
+        changes = _stamped_changes(changes, current, ingest_ts)
+    after = apply_changes(current, changes)
     rewritten = {n: after[n] for n in {*changes.update, *changes.delete}}
     grown = {n: df for n, df in changes.add.items() if n not in rewritten}
-    return revise_snapshot(spark, base, append=grown, replace=rewritten, ingest_ts=ingest_ts)
+    snapshot = revise_snapshot(spark, base, append=grown, replace=rewritten, ingest_ts=ingest_ts)
+    if ingest_ts is not None:
+        save_freshness(spark, base)
+    return snapshot
+
+
+def _stamped_changes(changes: ChangeSet, current: Tables, ingest_ts: str) -> ChangeSet:
+    """Changed and added rows of tables that keep it carry the time of the commit."""
+
+    def when(name: str, df: DataFrame) -> DataFrame:
+        return stamped(df, ingest_ts) if INGEST_TS in current[name].columns else df
+
+    return ChangeSet(
+        {n: when(n, df) for n, df in changes.add.items()},
+        {n: (keys, when(n, df)) for n, (keys, df) in changes.update.items()},
+        changes.delete, changes.rejected,
+    )
 
 
 def apply_changes(tables: Tables, changes: ChangeSet) -> dict[str, DataFrame]:

@@ -109,15 +109,20 @@ _OLD = """select v.*, a.action as old_action, a.ra as old_ra, s.study as old_stu
         order by vatimestamp desc nulls first, aid desc) = 1) a on a.vid = v.vid
     left join (select * from visit_study qualify row_number() over (partition by vid order by study, cohort) = 1) s
         on s.vid = v.vid left join person p on p.pid = v.pid"""
-_MERGED = """select m.req_id, m.vid, o.pid, o.dob, coalesce(m.vtimestamp, o.vtimestamp) as vtimestamp, o.vtype, o.vscore,
+_ASKED = """select m.req_id, m.vid, o.pid, o.dob, coalesce(m.vtimestamp, o.vtimestamp) as vtimestamp, o.vtype, o.vscore,
     o.visitno, o.googleuri, o.dur_hr, coalesce(m.ra, o.old_ra) as ra, coalesce(m.action, 'resched') as action,
-    m.has_notes, m.study, o.old_cohort as cohort, o.old_study,
+    m.has_notes, m.study, o.old_cohort as cohort, o.old_study, o.vtimestamp as old_vtimestamp,
     case when o.vid is null then 'unknown visit'
         when o.old_action not in ('sched', 'resched', 'assigned') then 'not scheduled or assigned'
         when coalesce(m.action, 'resched') = 'maybe' then 'unknown action'
         when coalesce(m.ra, o.old_ra) is null then 'missing staff' end as reason
     from req m left join old o on o.vid = m.vid"""
-_MOV = {"req": _MOVE, "old": _OLD, "merged": _MERGED}
+_MOVES = "vtimestamp is not null and vtimestamp is distinct from old_vtimestamp"
+_MERGED = f"""select * exclude (reason), case when reason is null and {_MOVES} and (
+        exists (select 1 from visit v where v.pid = q.pid and v.vtimestamp = q.vtimestamp and v.vtype = q.vtype)
+        or row_number() over (partition by reason is null and {_MOVES}, pid, vtimestamp, vtype order by req_id) > 1)
+    then 'visit exists' else reason end as reason from asked q"""
+_MOV = {"req": _MOVE, "old": _OLD, "asked": _ASKED, "merged": _MERGED}
 _MOV_NEEDS = "visit visit_action visit_study person"
 
 

@@ -7,6 +7,7 @@ from ..operators import aggs, identity, joins
 from ..schema import DROP_LEVELS, FIXED_STUDIES
 from ..sources.seeds import seed_dimensions
 from .base import query
+from .reports import _LEVELS
 from .standin import domain, load, sources, sql
 
 
@@ -169,13 +170,11 @@ def _(spark, d):
     return aggs.max_text(domain(spark, d, "note")["note"], ["pid"], "dropcode", "maxdrop")
 
 
-_RANK = "list_position(['" + "','".join(DROP_LEVELS) + "'], droplevel)"
-_LABEL = "list_extract(['" + "','".join(DROP_LEVELS) + "'], max(" + _RANK + "))"
-
-
 @query(
     "max_ordinal",
-    sql("note dropcode", f"select pid, {_LABEL} as maxdrop from note natural join dropcode group by pid"),
+    sql("note dropcode", f"""select pid, (select {_LEVELS}[max(list_position({_LEVELS}, x.droplevel))] from note n, dropcode x
+        where x.dropcode = n.dropcode and n.pid = k.pid) as maxdrop
+        from (select distinct pid from note where dropcode in (select dropcode from dropcode)) k"""),
 )
 def _(spark, d):
     t = domain(spark, d, "note")

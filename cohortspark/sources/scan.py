@@ -32,6 +32,8 @@ def scan_table(
     row positions only, so it is the same however the scan is split or repeated.
     """
     if base is None:
+        if with_order or schema is not None:
+            raise ValueError("a catalog table has its own schema and no file order")
         return spark.table(name)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:

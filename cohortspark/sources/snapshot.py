@@ -19,7 +19,7 @@ INGEST_TS = "ingest_ts"
 ENTRY = "snapshot string, seq long, tables map<string, array<string>>"
 
 
-def _stamped(df: DataFrame, ingest_ts: str | None) -> DataFrame:
+def stamped(df: DataFrame, ingest_ts: str | None) -> DataFrame:
     return df if ingest_ts is None else df.withColumn(INGEST_TS, F.lit(ingest_ts).cast("timestamp_ntz"))
 
 
@@ -50,8 +50,8 @@ def write_snapshot(tables: Mapping[str, DataFrame], base: str, ingest_ts: str |
     """Write all tables as a new bundle and publish it; returns its id."""
     spark = next(iter(tables.values())).sparkSession
     snapshot = uuid4().hex
-    stamped = {n: _stamped(df, ingest_ts) for n, df in tables.items()}
-    return _publish(spark, base, snapshot, _write(stamped, base, snapshot))
+    frames = {n: stamped(df, ingest_ts) for n, df in tables.items()}
+    return _publish(spark, base, snapshot, _write(frames, base, snapshot))
 
 
 def load_snapshot(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -87,7 +87,7 @@ def revise_snapshot(
     current = load_snapshot(spark, base)
     folders = current_snapshot(spark, base)[2]
     snapshot = uuid4().hex
-    new = {n: aligned(_stamped(df, ingest_ts), current[n], n) for n, df in (append or {}).items()}
+    new = {n: aligned(stamped(df, ingest_ts), current[n], n) for n, df in (append or {}).items()}
     added = _write(new, base, f"{snapshot}/added")
     replaced = _write(replace or {}, base, snapshot)
     after = {**folders, **replaced}
@@ -100,8 +100,12 @@ def append_tables(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | N
     """Append each frame to the table of the same name, all at once; the first call creates them."""
     spark = next(iter(tables.values())).sparkSession
     if current_snapshot(spark, base) is None:
-        return write_snapshot(tables, base, ingest_ts)
-    return revise_snapshot(spark, base, append=tables, ingest_ts=ingest_ts)
+        snapshot = write_snapshot(tables, base, ingest_ts)
+    else:
+        snapshot = revise_snapshot(spark, base, append=tables, ingest_ts=ingest_ts)
+    if ingest_ts is not None:
+        save_freshness(spark, base)
+    return snapshot
 
 
 def replace_snapshot(spark: SparkSession, src: str, dst: str) -> str:
@@ -114,6 +118,9 @@ def freshness_marker(df: DataFrame, ts_col: str = INGEST_TS, out: str = "last_up
 
 
 def save_freshness(spark: SparkSession, base: str, table: str = "visit") -> None:
-    """Keep the latest ingest time of a published table beside the bundle."""
-    marker = freshness_marker(load_snapshot(spark, base)[table])
+    """Keep the latest ingest time of a published table beside the bundle, where it has one."""
+    found = load_snapshot(spark, base).get(table)
+    if found is None or INGEST_TS not in found.columns:
+        return
+    marker = freshness_marker(found)
     marker.coalesce(1).write.mode("append").parquet(f"{base}/last_update")

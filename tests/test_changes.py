@@ -3,9 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortspark.plans import changes
 from cohortspark.schema import TABLES
+from cohortspark.sources import snapshot
 
 TS = dt.datetime
 NOW = "2024-05-01"
@@ -83,7 +85,7 @@ def test_given_action_happens_at_visit_time(spark, tables):
 def test_reschedule(spark, tables):
     req = spark.createDataFrame(
         [(1, 1, TS(2021, 1, 1), None, '["late"]', "Z"), (2, 4, TS(2021, 1, 1), "r2", None, None),
-         (3, 5, TS(2021, 1, 1), "r2", None, None), (4, 98, TS(2021, 1, 1), "r2", None, None)],
+         (3, 5, TS(2021, 1, 2), "r2", None, None), (4, 98, TS(2021, 1, 1), "r2", None, None)],
         "req_id long, vid long, vtimestamp timestamp_ntz, ra string, notes string, study string",
     )
     done = changes.reschedule_visits(req, tables, NOW)
@@ -98,6 +100,32 @@ def test_reschedule(spark, tables):
     assert [(r.nid, r.vid, r.note) for r in done.add["note"].collect()] == [(9, 1, "late")]
 
 
+def test_reschedule_guards(spark, tables):
+    """Taken places and studies are refused, and an invalid request does not stand in a valid one's way."""
+    req = spark.createDataFrame(
+        [(1, 1, TS(2021, 1, 1), "maybe", None), (2, 1, TS(2021, 2, 1), None, None), (3, 3, TS(2021, 2, 1), None, None),
+         (4, 2, TS(2020, 1, 1), None, None), (5, 5, TS(2021, 3, 1), None, "W"), (6, 1, None, None, "Y")],
+        "req_id long, vid long, vtimestamp timestamp_ntz, action string, study string",
+    ).withColumn("ra", F.lit("r"))
+    done = changes.reschedule_visits(req, tables, NOW)
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {1: "unknown action", 3: "visit exists", 6: "study exists"}
+    assert {r.vid: r.vtimestamp for r in done.update["visit"][1].collect()} == {1: TS(2021, 2, 1), 2: TS(2020, 1, 1), 5: TS(2021, 3, 1)}
+    after = changes.apply_changes(tables, done)["visit_study"]
+    assert after.count() == after.select("vid", "study").distinct().count()
+
+
+def test_commit_stamps_and_marks(spark, tables, tmp_path):
+    base = str(tmp_path / "target")
+    snapshot.append_tables(tables, base, ingest_ts="2020-01-01")
+    req = spark.createDataFrame([(1, 1, TS(2021, 2, 1))], "req_id long, vid long, vtimestamp timestamp_ntz").withColumn("ra", F.lit("r"))
+    after = snapshot.load_snapshot(spark, base)
+    changes.commit_changes(spark, base, changes.reschedule_visits(req, after, NOW), ingest_ts="2024-05-01")
+    after = snapshot.load_snapshot(spark, base)
+    assert {r.vid: r.ingest_ts for r in after["visit"].collect()} == {1: TS(2024, 5, 1), **{k: TS(2020, 1, 1) for k in (2, 3, 4, 5)}}
+    assert after["visit_action"].where("ingest_ts = timestamp_ntz '2024-05-01'").count() == 1
+    assert spark.read.parquet(f"{base}/last_update").agg(F.max("last_update")).first()[0] == TS(2024, 5, 1)
+
+
 def test_rejected_and_applied_make_up_requests(spark, tables):
     asked = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5, 6)], "vid long")
     done = changes.cancel_visits(asked, tables)

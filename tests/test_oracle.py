@@ -4,6 +4,7 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+from cohortspark.registry import ORACLE, QUERIES
 from tools.compare import compare, connect
 
 
@@ -12,7 +13,7 @@ def con():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_agrees(spark, con, name):
     problem = compare(spark, con, DATA, name)
     # At the smallest scale a few checks find nothing on either side.
@@ -20,7 +21,7 @@ def test_agrees(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):

@@ -100,8 +100,15 @@ def test_copies_of_one_row_spread_and_survive(spark, how):
 
 def test_heavy_list_is_bounded_and_salts_follow_counts(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    heavy = joins.heavy_keys(joins.key_counts(df, ["k"]), ["k"], min_rows=30, max_keys=4).collect()
-    assert len(heavy) == 4 and {r["_salts"] for r in heavy} == {4}
+    heavy = joins.heavy_keys(joins.key_counts(df, ["k"]), ["k"], min_rows=30).collect()
+    assert len(heavy) == 10 and {r["_salts"] for r in heavy} == {4}
+
+
+def test_every_hot_key_is_salted_however_many_there_are(spark, monkeypatch):
+    counts = joins.key_counts(spark.range(90_000).select((F.col("id") % 3000).alias("k")), ["k"])
+    assert joins.heavy_keys(counts, ["k"], min_rows=20).count() == 3000
+    monkeypatch.setattr(joins, "HEAVY_PARTS", 100)  # 30 rows are less than a hundredth of all
+    assert joins.heavy_keys(counts, ["k"], min_rows=20).count() == 0
 
 
 def test_hot_key_is_spread(spark):
