@@ -2,9 +2,11 @@
 
 Documents with equal shingle sets form a class and are compared as one. In a bucket of a band, every class is
 first compared with the least class of the bucket only, and components are formed from the links. Then only
-classes outside the largest component of their bucket are compared with the bucket's classes in other components.
-Pairs inside a component need no test, since one more link would not change the components. So no group of copies
-is expanded into all its pairs, and no link between components is lost.
+classes outside the largest component of their bucket are compared with the bucket's other classes. Pairs inside a
+component need no test, since one more link would not change the components. Where few classes are left around a
+component, they are joined as pairs. Around a large one they are a query set, held against its classes block by
+block inside tasks on full shingle sets, and only the links found leave the task. So no group of copies is
+expanded into all its pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -24,11 +26,15 @@ from .words import flat, hashes, joined, lowered, map_text, mix, slices, spans
 
 #: Shingles hashed at once when the minima of a text are taken.
 CHUNK = 4096
+#: Cells of the table of shingles and sets that are counted at once, and sets held against it at once.
+TABLE = 32 << 20
+ROWS = 256
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``percent``: least similarity. A pair at 0.8 misses all 32 bands of 4 with probability 5e-8.
+    """``percent``: least similarity. ``crowd``: classes around a component from which they are compared in blocks of
+    ``block`` shingles rather than joined; that changes the work, never the result. A pair at 0.8 misses all 32 bands of 4 with probability 5e-8.
 
     ``least_matches``: of all minima of a signature; a pair at 0.8 has fewer with probability 1e-8.
     """
@@ -38,6 +44,8 @@ class Settings:
     bands: int = 32
     rows: int = 4
     least_matches: int = 76
+    crowd: int = 64
+    block: int = 400_000
     seed: int = 7
 
 
@@ -129,18 +137,22 @@ def _likely(settings: Settings) -> Column:
     return sizes & (same >= settings.least_matches)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough.
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str, settings: Settings) -> DataFrame:
+    """``node`` and ``shingles`` of the given nodes, made again from the text of one document of each."""
+    ids = classes.join(nodes.distinct(), "node", "left_semi").select(F.col("first_id").alias("_first")).distinct()
+    texts = docs.join(ids, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi").select(text)
+    return written(with_sets(texts, text, settings).dropDuplicates(["node"]), "shingles")
 
-    Full sets are made again from the texts, only for classes in pairs that their signatures allow.
-    """
+
+def likely_pairs(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) of nodes that their sizes and signatures allow."""
     side = lambda s: classes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("signature").alias(f"sig_{s}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").filter(_likely(settings))
-    likely = written(likely.select("a", "b", "n_a", "n_b"), "likely")
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    ids = classes.join(nodes, "node", "left_semi").select(F.col("first_id").alias("_first")).distinct()
-    texts = docs.join(ids, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi").select(text)
-    sets = written(with_sets(texts, text, settings).dropDuplicates(["node"]), "shingles")
+    return written(likely.select("a", "b", "n_a", "n_b"), "likely")
+
+
+def confirmed(likely: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     both = likely.join(side("a"), "a").join(side("b"), "b").withColumn("shared", shared)
@@ -153,18 +165,112 @@ def first_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.join(least, "band").filter("node != a").select("a", F.col("node").alias("b")).distinct()
 
 
-def rest_pairs(buckets: DataFrame, components: DataFrame) -> DataFrame:
-    """In buckets that hold several components: each class outside the largest one with each class in another."""
+def rest_groups(buckets: DataFrame, components: DataFrame) -> DataFrame:
+    """For buckets that hold several components: ``hub`` (the largest one), ``node``, and ``asks`` (whether the node is outside it)."""
     placed = buckets.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
     split = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("k")).filter("k > 1")
-    placed = written(placed.join(split.select("band", F.col("most.component").alias("most")), "band"), "open-buckets")
-    few = placed.filter("component != most").select("band", F.col("node").alias("a"), F.col("component").alias("own"))
-    # Two classes outside the largest one meet twice; the lesser one as a is enough.
-    pairs = placed.join(few, "band").filter((F.col("component") != F.col("own")) & ((F.col("component") == F.col("most")) | (F.col("a") < F.col("node"))))
+    placed = placed.join(split.select("band", F.col("most.component").alias("hub")), "band")
+    return placed.select("hub", "node", "component", (F.col("component") != F.col("hub")).alias("asks"), "band")
+
+
+def rest_pairs(groups: DataFrame) -> DataFrame:
+    """Every class that asks, with each class of its bucket in another component."""
+    few = groups.filter("asks").select("band", F.col("node").alias("a"), F.col("component").alias("own"))
+    # Two classes that ask would meet twice; the lesser one as a is enough.
+    pairs = groups.join(few, "band").filter((F.col("component") != F.col("own")) & (~F.col("asks") | (F.col("a") < F.col("node"))))
     return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
+def rest_blocks(groups: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) of the classes that ask with any class around their hub.
+
+    Both sides of a hub are cut into blocks of about ``block`` shingles, and each pair of blocks is a unit of work. In
+    a unit, the links are reduced to ones that connect the same classes.
+    """
+    nodes = groups.groupBy("hub", "node").agg(F.max("asks").alias("asks")).join(classes.select("node", "n_shingles"), "node")
+    sizes = nodes.groupBy("hub").agg(
+        F.ceil(F.sum("n_shingles") / settings.block).cast("int").alias("rows"),
+        F.ceil(F.sum(F.when(F.col("asks"), F.col("n_shingles"))) / settings.block).cast("int").alias("columns"))
+    nodes = nodes.join(sizes, "hub")
+    held = nodes.select("hub", "node", F.lit(True).alias("held"), F.pmod(F.xxhash64("node"), "rows").cast("int").alias("i"),
+                        F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
+    asking = nodes.filter("asks").select("hub", "node", F.lit(False).alias("held"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
+                                         F.pmod(F.xxhash64("node"), "columns").cast("int").alias("j"))
+    dealt = held.select("hub", "node", "held", "i", "j").union(asking.select("hub", "node", "held", "i", "j")).join(sets, "node")
+    percent = settings.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, asked = None, ([], [])
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("hub", "i", "j", "held")), strict=True))
+            names = np.array(batch.column("node").to_pylist(), object)
+            lists = batch.column("shingles")
+            cut = lists.offsets.to_numpy()
+            values = lists.values.to_numpy().view(np.uint64)
+            change = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for s, e in zip(change[:-1], change[1:], strict=True):
+                if keys[s][:3] != unit:
+                    unit, asked = keys[s][:3], ([], [])
+                own = [values[cut[k]: cut[k + 1]] for k in range(s, e)]
+                if not keys[s][3]:
+                    asked = ([*asked[0], *names[s:e]], [*asked[1], *(x.copy() for x in own)])
+                    continue
+                for a, b in links_between(asked[0], asked[1], names[s:e], own, percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    parts = dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "held")
+    return parts.mapInArrow(run, "a binary, b binary")
+
+
+def links_between(left_names, left: list[np.ndarray], right_names, right: list[np.ndarray], percent: int) -> Iterator[tuple[list, list]]:
+    """Links between sets of two sides, as ones that connect the same names: the shared shingles of all pairs are counted at once."""
+    left_names, right_names = np.array(left_names, object), np.array(right_names, object)
+    right_size = np.array([len(x) for x in right])
+    right_start = np.cumsum(right_size) - right_size
+    all_right = np.concatenate(right)
+    at = 0
+    while at < len(left):
+        to, total = at, 0
+        while to < len(left) and (to == at or (total + len(left[to])) * (to + 1 - at) <= TABLE):
+            total += len(left[to])
+            to += 1
+        part = left[at:to]
+        size = np.array([len(x) for x in part])
+        known, place = np.unique(np.concatenate(part), return_inverse=True)
+        table = np.zeros((len(known) + 1, len(part)), np.uint8)
+        table[place, np.repeat(np.arange(len(part)), size)] = 1
+        where = np.minimum(np.searchsorted(known, all_right), len(known) - 1)
+        where[known[where] != all_right] = len(known)  # the last row is empty
+        for r in range(0, len(right), ROWS):
+            a, b = right_start[r], right_start[min(r + ROWS, len(right)) - 1] + right_size[min(r + ROWS, len(right)) - 1]
+            shared = np.add.reduceat(table[where[a:b]], right_start[r: r + ROWS] - a, axis=0, dtype=np.int32)
+            union = right_size[r: r + ROWS, None] + size[None] - shared
+            p, q = np.nonzero(100 * shared >= percent * union)
+            x, y = left_names[at:to][q], right_names[r: r + ROWS][p]
+            some = x != y
+            if some.any():
+                yield _forest(x[some], y[some])
+        at = to
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
+    """Each name with the least of its component."""
+    parent: dict = {}
+
+    def root(n):
+        while parent.setdefault(n, n) != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    pairs = [(n, root(n)) for n in parent if root(n) != n]
+    return [n for n, _ in pairs], [r for _, r in pairs]
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """A row for each row of ``docs``: its columns but the text, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -181,9 +287,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.any_value("bands").alias("bands"))
     classes = written(classes, "classes")
     buckets = written(_shared_buckets(classes.select("node", F.explode("bands").alias("band"))), "buckets")
-    links = written(confirmed(first_pairs(buckets), classes, docs, id_col, text, settings), "links")
-    components = connected_components(links, "a", "b")
-    more = confirmed(rest_pairs(buckets, components), classes, docs, id_col, text, settings)
+    likely = likely_pairs(first_pairs(buckets), classes, settings)
+    sets = sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")), classes, docs, id_col, text, settings)
+    components = connected_components(written(confirmed(likely, sets, settings), "links"), "a", "b")
+
+    groups = written(rest_groups(buckets, components), "rest")
+    crowd = groups.select("hub", "node").distinct().groupBy("hub").agg(F.count("*").alias("n")).filter(F.col("n") > settings.crowd).select("hub")
+    crowded = groups.join(crowd, "hub", "left_semi").select("hub", "node", "asks").distinct()
+    likely = likely_pairs(rest_pairs(groups.join(crowd, "hub", "left_anti")), classes, settings)
+    nodes = crowded.select("node").union(likely.select("a")).union(likely.select("b"))
+    sets = sets_of(nodes, classes, docs, id_col, text, settings)
+    more = written(confirmed(likely, sets, settings).union(rest_blocks(crowded, classes, sets, settings)), "links")
     edges = components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     components = connected_components(edges, "a", "b")
 
