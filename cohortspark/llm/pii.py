@@ -76,7 +76,8 @@ def mod97(iban: Column) -> Column:
         code = F.ascii(c)
         return F.when(code < 65, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
 
-    return F.aggregate(F.split(moved, "(?!^)"), F.lit(0), step) == 1
+    characters = F.filter(F.split(moved, ""), lambda c: c != "")
+    return F.aggregate(characters, F.lit(0), step) == 1
 
 
 def confirmed(kind: str, match: Column) -> Column:
