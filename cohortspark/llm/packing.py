@@ -5,7 +5,7 @@ may be shorter. Full pieces fill a sequence each. All others are dealt out evenl
 partition packs its pieces by best-fit decreasing. Dual feasible functions give a lower bound on the number of
 sequences that any packing of a partition needs. Where a partition is above its bound by any fraction, it hands the
 pieces of its emptiest sequences on; what was handed on is dealt out anew and packed again, until one partition
-holds all of it or the bound over all pieces is met. Every round hands on a few sequences of each partition.
+holds all of it or the bound over all pieces is met. What is handed on shrinks to a third in every round.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from .words import flat, ranges, slices
 CAPACITY = 1024
 #: Pieces that one task packs.
 PACK_ROWS = 50_000
+#: A partition above its bound hands on one in so many of its sequences, the emptiest ones.
+HANDED = 3
 #: Largest k of the dual feasible functions of steps.
 STEPS = 20
 #: Distinct chunks of text whose ids a task remembers before it starts anew.
@@ -246,7 +248,7 @@ def needed(bound: float) -> int:
     return int(np.ceil(bound - 1e-6))
 
 
-def _packed(items: DataFrame, capacity: int, turn: int, partitions: int, last: bool) -> DataFrame:
+def _packed(items: DataFrame, capacity: int, turn: int, partitions: int) -> DataFrame:
     """Items of each partition with their sequence and offset; ``again`` marks those handed on."""
     schema = T.StructType([f for f in items.schema if f.name not in ("sequence_id", "offset", "again")] + [
         T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("again", T.BooleanType())])
@@ -261,8 +263,8 @@ def _packed(items: DataFrame, capacity: int, turn: int, partitions: int, last: b
         bins, offsets, room = best_fit(lengths, capacity)
         gap = len(room) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         handed = np.zeros(len(room), bool)
-        if gap > 1e-6 and not last:
-            handed[np.argsort(-room, kind="stable")[: 2 + 2 * needed(gap)]] = True
+        if gap > 1e-6 and partitions > 1:
+            handed[np.argsort(-room, kind="stable")[: max(2 + 2 * needed(gap), len(room) // HANDED)]] = True
             handed &= room > 0
         part = TaskContext.get().partitionId()
         out = rows.select(stay).append_column("sequence_id", pa.array((turn << 55) + (part << 27) + bins))
@@ -293,7 +295,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, pack_rows: int = PACK_ROWS)
     while n:
         turn += 1
         partitions = -(-n // pack_rows)
-        tried = written(_packed(rest, capacity, turn, partitions, False), "packed")
+        tried = written(_packed(rest, capacity, turn, partitions), "packed")
         told = tried.agg(F.count_if("again"), F.count_distinct("sequence_id")).first()
         if partitions == 1 or not told[0] or (not done[1:] and told[1] == bound):
             done.append(tried.drop("again"))
