@@ -27,9 +27,9 @@ from .words import flat, map_text, ranges
 MARK = "▁"
 NEVER = np.int64(1) << 40
 #: Distinct words that a task remembers before it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 #: Bytes of text encoded at once: the more, the more words are repeats.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 3 << 20
 
 
 def _fields(message: bytes) -> dict[int, list]:
