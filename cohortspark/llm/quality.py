@@ -2,7 +2,9 @@
 
 Two histograms are taken of each text: its characters by class, and its words by a list of common
 words. Both are compared, by Jensen-Shannon distance, with the same histograms over all texts of
-its language. Short texts make noisy histograms, so each comparison has a least length.
+its language. Short texts make noisy histograms, so each comparison has a least length. Most words of any text
+are none of the common ones, so even a text without a single common word is only so far from its language
+(its reach): the limit for words is a share of that.
 """
 
 from __future__ import annotations
@@ -46,9 +48,15 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 @dataclass(frozen=True)
 class Limits:
-    """Greatest distances (0 to 1), and the least lengths from which they count."""
+    """Greatest distances (0 to 1), and the least lengths from which they count.
+
+    ``word_share``: the greatest distance of words as a share of the language's reach. A reference with hardly any common
+    words (its reach below ``least_reach``) can't tell texts without them apart; ``word_distance`` holds there.
+    """
 
     char_distance: float = 0.28
+    word_share: float = 0.95
+    least_reach: float = 0.2
     word_distance: float = 0.5
     least_chars: int = 200
     least_words: int = 50
@@ -97,6 +105,14 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where((total[0] > 0) & (total[1] > 0), out, 0.0)
 
 
+def word_limits(words_of: np.ndarray, limits: Limits) -> np.ndarray:
+    """The greatest distance of words for each reference, by how far a text without common words is from it."""
+    without = np.zeros_like(words_of)
+    without[:, -1] = 1
+    reach = distance(without, words_of)
+    return np.where(reach >= limits.least_reach, limits.word_share * reach, limits.word_distance)
+
+
 def measures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """Words, their characters, symbols, repeated lines and words in repeated five-word windows of each text."""
     n = len(offsets) - 1
@@ -174,13 +190,15 @@ def quality_rules(
     ``char_distance``, ``word_distance`` and ``kept``.
 
     ``kept`` is false where the base rules fail (fewer than 10 words, or over a fifth of the words in
-    five-word windows that occur twice) or where a distance is above its limit. A null text is an empty
+    five-word windows that occur twice) or where a distance is above its limit (for words, nearly that of a text without
+    common words). A null text is an empty
     one and fails; a null or unlisted language is compared with all other such texts; an empty table
     gives no rows; repeated rows are judged each; input columns with the names above are replaced.
     """
     reference = references(docs, text, lang) if reference is None else reference
     names = [*COMMON_WORDS, OTHER]
     chars_of, words_of = (np.array([reference[n][k] for n in names]) for k in (0, 1))
+    most = word_limits(words_of, limits)
 
     def work(part: pa.RecordBatch) -> list[pa.Array]:
         data, offsets = flat(part.column(text))
@@ -190,7 +208,7 @@ def quality_rules(
         far = distance(chars, chars_of[of]), distance(words, words_of[of])
         failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
         strange = (chars.sum(1) >= limits.least_chars) & (far[0] > limits.char_distance)
-        strange |= (m["n_words"] >= limits.least_words) & (far[1] > limits.word_distance)
+        strange |= (m["n_words"] >= limits.least_words) & (far[1] > most[of])
         return [*(pa.array(m[k], pa.int64()) for k in MEASURES), pa.array(failed), *map(pa.array, far), pa.array(~failed & ~strange)]
 
     fields = [T.StructField(n, T.LongType()) for n in MEASURES]

@@ -277,3 +277,16 @@ def test_vectors(spark, settings):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
     assert vectors.near_vectors(df.limit(0)).count() == 0
     assert [tuple(r)[1:] for r in vectors.near_vectors(df.filter("vec_id >= 1000")).orderBy("vec_id").collect()] == [(0, i, True) for i, _ in odd]
+
+
+def test_quality_without_common_words(spark):
+    """A long text without a common word goes; a short one, and one in a table without common words at all, stays."""
+    some = "the of and to in is that it for was".split()
+    noun = lambda *k: "noun" + "".join(chr(97 + x % 26) for x in k)
+    texts = [" ".join(f"{some[(i + k) % 10]} {noun(i, k, k // 26)} {noun(k, i, 1)} {noun(k, 2, i)}" for k in range(20 + i)) for i in range(26)]
+    bare = lambda n: " ".join(f"key{chr(97 + k // 26)}{chr(97 + k % 26)} noun{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n))
+    rows = [*((i, t, "en") for i, t in enumerate(texts)), (100, bare(40), "en"), (101, bare(10), "en"), (102, bare(40), "xx"), (103, bare(40) + " the", "xx")]
+    got = by_id(quality.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert all(got[i]["kept"] for i in range(len(texts)))
+    assert got[100]["word_distance"] < 0.5 and not got[100]["base_failed"] and not got[100]["kept"]
+    assert got[101]["kept"] and got[102]["kept"] and got[103]["kept"]
