@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortspark.llm import lookup, minhash, packing, pieces, quality, words
+from cohortspark.llm import lm, lookup, minhash, packing, pieces, quality, words
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -142,3 +142,18 @@ def test_signatures_estimate_similarity():
     b = np.concatenate([a[:889], rng.integers(0, 1 << 63, 111, np.uint64)])  # 889 of 1111: 0.8
     same = (minhash.signature(a, minhash._family(s)) == minhash.signature(b, minhash._family(s))).mean()
     assert 0.65 < same < 0.95
+
+
+def test_words_with_weights_grow_with_the_counted_words(spark):
+    """More distinct words give more words, classes and words a class; a corpus of a few has the least size."""
+
+    def known(n):
+        counts = spark.range(n).selectExpr("id AS word", "int(id % 32) AS kind", f"bigint(1 + {n} / (id + 1)) AS n")
+        return lm.known_words(counts, lm.Settings())
+
+    small, large = known(2048 * 64), known(8192 * 64)
+    assert (len(small.class_of), len(small.class_start) - 1) == (2048, 48)
+    assert (len(large.class_of), len(large.class_start) - 1) == (8192, 96)
+    assert large.class_start[-1] == 8192 and large.class_of.max() == 95
+    assert lm.Net(large, lm.Settings()).p["ww"].shape == (8192, lm.Settings().hidden)
+    assert len(known(100).class_of) == 100
