@@ -33,6 +33,24 @@ class Kind:
     bonus: float = 0.3
 
 
+# Countries by the length of their account numbers.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG YE", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Numbers of the length that their country has, so that a word after them is not taken; of any length where the country is not listed."""
+    listed = "|".join(c for cs in IBAN_COUNTRIES.values() for c in cs.split())
+    sized = [rf"(?:{'|'.join(cs.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+             for n, cs in IBAN_COUNTRIES.items()]
+    sized.append(rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(sized)})(?![A-Za-z0-9])"
+
+
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -44,8 +62,7 @@ KINDS = (
     Kind("card", r"[0-9](?>(?:[\x20-]?[0-9]){1,200})+", "", 0.7, r"card|visa|karte|carte|tarjeta|kredit"),
     # \+[0-9][\x20().0-9-]+[0-9]
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, r"phone|call|tel|fon|appel|llam"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         "", 0.7, r"iban|account|konto|compte|cuenta"),
+    Kind("iban", _iban(), "", 0.7, r"iban|account|konto|compte|cuenta"),
     Kind("amex", r"(?<![0-9-])3[47][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}(?![0-9-])", "3", 0.4, r"card|amex|karte|carte|tarjeta"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, r"ssn|social|security"),
 )

@@ -290,3 +290,13 @@ def test_quality_without_common_words(spark):
     assert all(got[i]["kept"] for i in range(len(texts)))
     assert got[100]["word_distance"] < 0.5 and not got[100]["base_failed"] and not got[100]["kept"]
     assert got[101]["kept"] and got[102]["kept"] and got[103]["kept"]
+
+
+def test_account_numbers_before_a_short_word(spark):
+    numbers = ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "NO93 8601 1117 947",
+               "GB29 NWBK 6016 1331 9268 19", "MT84MALT011000012345MTLCAST001S"]
+    texts = [f"{n}{after}" for n in numbers for after in (" BIC CAIX", " EUR 50", " X", " 2024", ".", "")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(df).collect():
+        assert [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["pii"] if s["kind"] == "iban"] == [numbers[r["doc_id"] // 6]]
+    assert all(r["text"].startswith("<IBAN>") for r in pii.redact_pii(df, kinds=tuple(k for k in pii.KINDS if k.name == "iban")).collect())
