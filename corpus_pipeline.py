@@ -32,9 +32,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the least number."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text")).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates stays, the one with the least number (a null number comes last).
+
+    Numbers may be null or repeat, so rows are told apart by a key of their own.
+    """
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = minhash.near_duplicates(keyed.select("_row", "doc_id", "text"), id_col="_row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    stays = found.groupBy("component_id").agg(least.alias("_least")).select(F.col("_least._row").alias("_row"))
+    return keyed.join(stays, "_row", "left_semi").select(*docs.columns)
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -300,3 +300,14 @@ def test_account_numbers_before_a_short_word(spark):
     for r in pii.find_pii(df).collect():
         assert [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["pii"] if s["kind"] == "iban"] == [numbers[r["doc_id"] // 6]]
     assert all(r["text"].startswith("<IBAN>") for r in pii.redact_pii(df, kinds=tuple(k for k in pii.KINDS if k.name == "iban")).collect())
+
+
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    """Null numbers, repeated rows, and two texts under one number."""
+    import corpus_pipeline
+
+    rows = [(None, PASSAGE + " end", 0), (5, PASSAGE, 0), (6, OTHER, 0), (6, OTHER, 0), (7, PASSAGE + " more", 0), (7, LONG, 0), (None, "x y z " + "q " * 9, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.near_stage(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == sorted([(5, PASSAGE), (6, OTHER), (7, LONG), (0, rows[-1][1])])
