@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, lm, minhash, packing, pieces, pii, quality, urls, vectors
+from . import chat, line_dedup, lm, minhash, packing, pieces, pii, quality, sharding, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,3 +223,38 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [pii.count_kind(F.col("pii"), k).alias(f"n_{k}") for k in pii.BASE]
     base = pii.spans_text(pii.only(F.col("pii"), pii.BASE))
     return out.select("doc_id", *counts, sha256(base).alias("base_sha256"), pii.spans_text(F.col("pii")).alias("spans"))
+
+
+#: What each bit of a byte adds to a checksum, and 2**64.
+_BYTE_BITS = (1996959894, 3993919788, 124634137, 249268274, 498536548, 997073096, 1994146192, 3988292384)
+_WHOLE = 1 << 64
+
+
+def _crc32_sql(data: str) -> str:
+    """The unsigned checksum of a blob, byte after byte."""
+    folded = "c >> 8"
+    for k, v in enumerate(_BYTE_BITS):
+        folded = f"xor({folded}, ((xor(c, x) >> {k}) & 1) * {v})"
+    octets = f"list_transform(range(0, length(hex({data})), 2), lambda i: ('0x' || hex({data})[i + 1:i + 2])::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, x: {folded}), 4294967295)"
+
+
+@query("op13_sharding", rf"""
+    WITH RECURSIVE jumps AS (
+        SELECT doc_id, shards, (coalesce(doc_id, 0)::HUGEINT + {_WHOLE}) % {_WHOLE} AS key, 0::BIGINT AS now, 0::BIGINT AS goes
+        FROM (SELECT DISTINCT doc_id FROM documents), (VALUES (40), (41)) AS counts(shards)
+        UNION ALL
+        SELECT doc_id, shards, drawn, goes, floor((goes + 1) * (2147483648::DOUBLE / ((drawn >> 33) + 1)::DOUBLE))::BIGINT
+        FROM (SELECT *, (key * {sharding.MULTIPLIER} + 1) % {_WHOLE} AS drawn FROM jumps WHERE goes < shards)
+    ), placed AS (
+        SELECT doc_id, CAST(max(now) FILTER (shards = 40) AS INT) AS shard, CAST(max(now) FILTER (shards = 41) AS INT) AS grown_shard FROM jumps GROUP BY doc_id
+    ), sized AS (
+        SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, {_crc32_sql("encode(coalesce(text, ''))")} AS text_crc32 FROM documents
+    )
+    SELECT d.doc_id, size, text_crc32, 'key' AS law, shard,
+        row_number() OVER (PARTITION BY shard ORDER BY d.doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+    FROM sized d JOIN placed p ON d.doc_id IS NOT DISTINCT FROM p.doc_id
+""")
+def sharding_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards by their number, and where each would be with one shard more."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), 40)
