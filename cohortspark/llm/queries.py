@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, lm, minhash, packing, pieces, pii, quality, sharding, urls, vectors
+from . import centroids, chat, line_dedup, lm, minhash, packing, pieces, pii, quality, sharding, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +225,44 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, sha256(base).alias("base_sha256"), pii.spans_text(F.col("pii")).alias("spans"))
 
 
+def _rounds_sql(n: int) -> str:
+    """Common table expressions of ``n`` rounds and a last assignment, over ``vectors`` and ``centroids0`` in long form."""
+    out = []
+    for k in range(n + 1):
+        out.append(f"""measured{k} AS MATERIALIZED (
+        SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS distance FROM vectors JOIN centroids{k} USING (d) GROUP BY rid, c
+    ), assigned{k} AS MATERIALIZED (
+        SELECT rid, arg_min(c, (distance, c)) AS c, min(distance) AS distance FROM measured{k} GROUP BY rid
+    )""")
+        if k < n:
+            out.append(f"""means{k} AS (
+        SELECT c, d, sum(x)::BIGINT AS s, count(*) AS m FROM vectors JOIN assigned{k} USING (rid) GROUP BY c, d
+    ), centroids{k + 1} AS MATERIALIZED (
+        SELECT c, d, coalesce((s - (s % m + m) % m) // m, y) AS y FROM centroids{k} LEFT JOIN means{k} USING (c, d)
+    )""")
+    return ", ".join(out)
+
+
+@query("op11_centroids", f"""
+    WITH usable AS (
+        SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS w FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    ), vectors AS MATERIALIZED (
+        SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS d FROM usable
+    ), centroids0 AS MATERIALIZED (
+        SELECT nth - 1 AS c, unnest(w) AS y, generate_subscripts(w, 1) AS d
+        FROM (SELECT w, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), w) AS nth FROM usable) WHERE nth <= 40
+    ), {_rounds_sql(5)}, told AS (
+        SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM centroids5 GROUP BY c
+    )
+    SELECT vec_id, c::INT AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+    FROM assigned5 JOIN usable USING (rid) JOIN told USING (c)
+""")
+def centroids_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 40 clusters after five rounds."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 #: What each bit of a byte adds to a checksum, and 2**64.
 _BYTE_BITS = (1996959894, 3993919788, 124634137, 249268274, 498536548, 997073096, 1994146192, 3988292384)
 _WHOLE = 1 << 64
