@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, line_dedup, lm, minhash, packing, pieces, pii, quality, sharding, urls, vectors
+from . import centroids, chat, line_dedup, lm, minhash, packing, pieces, pii, quality, sharding, trie, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,3 +296,43 @@ def _crc32_sql(data: str) -> str:
 def sharding_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by their number, and where each would be with one shard more."""
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), 40)
+
+
+@query("op12_prefix_trie", rf"""
+    WITH told AS (
+        SELECT conv_id, turn, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS told,
+            len(regexp_extract_all(coalesce(text, ''), '{trie.WORD}')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, told) AS pos FROM told
+    ), ids AS (
+        SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32_sql("encode(conv_id::VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM told)
+    ), taken AS (
+        SELECT i.conv_id, 0 AS part, pos, told, words FROM ids i JOIN placed p ON p.conv_id = base AND pos <= h
+        UNION ALL SELECT i.conv_id, 1, pos, told, words FROM ids i JOIN placed p ON p.conv_id = i.conv_id AND pos > h
+    ), rebuilt AS (
+        SELECT i.conv_id, coalesce(list(told ORDER BY part, pos) FILTER (told IS NOT NULL), []) AS t, list(words ORDER BY part, pos) AS w
+        FROM ids i LEFT JOIN taken USING (conv_id) GROUP BY i.conv_id
+    ), members AS (
+        SELECT conv_id, d, array_to_string(t[1:d], '') AS prefix, t, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words, len(t) = d AS ends
+        FROM rebuilt, unnest(generate_series(0, len(t))) AS depths(d)
+    ), nodes AS (
+        SELECT prefix, d, min(conv_id) AS conv_id, any_value(t[1:d]) AS path, any_value(words) AS words, count(*) AS n_convs,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM members GROUP BY prefix, d
+    ), parents AS (
+        SELECT n.*, array_to_string(path[1:d - 1], '') AS up FROM nodes n
+    ), children AS (
+        SELECT up AS prefix, count(*) AS n_children FROM parents WHERE d > 0 GROUP BY up
+    ), whole AS (
+        SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p LEFT JOIN children USING (prefix)
+    ), below AS (
+        SELECT array_to_string(path[1:k], '') AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+        FROM whole, unnest(generate_series(0, d)) AS depths(k) GROUP BY 1
+    )
+    SELECT n.conv_id, n.d AS depth, CASE WHEN n.d > 0 THEN u.conv_id END AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM whole n JOIN below USING (prefix) JOIN nodes u ON u.prefix = n.up
+""")
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
