@@ -112,7 +112,7 @@ def _at(p: str, depth: Column) -> Column:
 def _handled(nodes: DataFrame) -> DataFrame:
     """Nodes by their handles."""
     handle = F.get("edge", fattest(F.col("lo"), F.col("depth")) - F.col("lo") - 1)
-    return nodes.select(handle.alias("handle"), F.col("depth").alias("to"), F.element_at("edge", -1).alias("end"))
+    return nodes.select(handle.alias("handle"), F.col("lo").alias("parent"), F.col("depth").alias("to"), F.element_at("edge", -1).alias("end"))
 
 
 def search(rows: DataFrame, nodes: DataFrame, rounds: int, small: bool = False) -> DataFrame:
@@ -129,10 +129,11 @@ def search(rows: DataFrame, nodes: DataFrame, rounds: int, small: bool = False)
         asked = now.withColumn("f", f).withColumn("handle", _at("p", F.col("f")))
         met = asked.join(handled, "handle", "left")
         passed = F.coalesce((F.col("to") <= F.col("m")) & (_at("p", F.col("to")) == F.col("end")), F.lit(False))
-        up = F.when(going & passed, F.col("to")).otherwise(F.col("a"))
-        # A handle that is found on an edge which the row leaves: nothing deeper is passed.
-        down = F.when(~going | passed, F.col("b")).when(F.col("to").isNotNull(), F.col("a")).otherwise(F.col("f") - 1)
-        now = met.withColumn("_up", up).withColumn("b", down).withColumn("a", F.col("_up")).select(*rows.columns, "b")
+        # A handle that is found on an edge which the row leaves: its parent is the deepest that is passed.
+        left = going & ~passed & F.col("to").isNotNull()
+        up = F.when(going & passed, F.col("to")).when(left, F.col("parent")).otherwise(F.col("a"))
+        down = F.when(~going | passed, F.col("b")).when(left, F.col("parent")).otherwise(F.col("f") - 1)
+        now = met.select(*[c for c in rows.columns if c != "a"], up.alias("a"), down.alias("b"))
     return now.drop("b")
 
 
