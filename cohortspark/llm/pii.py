@@ -7,15 +7,16 @@ before a match only keep long runs from being scanned again and again, or from d
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Cumulative sums are taken within blocks of so many matches and then over the blocks.
+#: Matches are placed in blocks of so many, so that no long array is copied for each of them.
 BLOCK = 64
-#: Characters before a match that are searched for context words.
+#: Characters before and after a match that are searched for context words, whatever other matches lie there.
 CONTEXT_CHARS = 48
 #: Spans below this score are dropped.
 LEAST_SCORE = 0.5
@@ -102,8 +103,8 @@ def confirmed(kind: str, match: Column) -> Column:
     if kind == "ip":
         return match.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")
     digits = _digits(match)
-    if kind == "card":
-        return F.when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
+    if kind == "card":  # most matches are short numbers
+        return F.when(F.length(match) < 16, False).when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
     if kind == "phone":
         return F.length(digits).between(8, 15)
     if kind == "amex":
@@ -124,28 +125,61 @@ def proposed(text: Column, kind: Kind) -> Column:
     return F.when(has, F.transform(pairs, lambda x: F.struct(x["gap"].alias("gap"), x["match"].alias("match")))).otherwise(none)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def scored(pairs: Column, kind: Kind) -> Column:
     """Each match with the length of the gap before it, and its score (0 where the validator fails)."""
+    #: A gap and a match have three characters at least, so this many reach over the context.
+    around = CONTEXT_CHARS // 3
+
+    def near(all_: Column, i: Column) -> Column:
+        """Whether a context word lies within reach on either side; a word may lie across the matches between."""
+        since = F.greatest(i - around, F.lit(0))
+        before = F.transform(F.slice(all_, since + 1, i - since), lambda x: F.concat(F.right(x["gap"], F.lit(CONTEXT_CHARS)), x["match"]))
+        before = F.concat(F.array_join(before, ""), F.right(F.get(all_, i)["gap"], F.lit(CONTEXT_CHARS)))
+        after = F.transform(F.slice(all_, i + 2, F.lit(around)), lambda x: F.concat(F.left(x["gap"], F.lit(CONTEXT_CHARS)), F.coalesce(x["match"], F.lit(""))))
+        sides = (F.right(before, F.lit(CONTEXT_CHARS)), F.left(F.array_join(after, ""), F.lit(CONTEXT_CHARS)))
+        return F.lower(sides[0]).rlike(kind.context) | F.lower(sides[1]).rlike(kind.context)
+
+    def one(all_: Column) -> Callable[[Column, Column], Column]:
+        def score(x: Column, i: Column) -> Column:
+            bonus = F.when(near(all_, i), kind.bonus).otherwise(0.0)
+            return F.struct(F.char_length(x["gap"]).alias("gap"), F.char_length(x["match"]).alias("length"),
+                            F.when(confirmed(kind.name, x["match"]), F.lit(kind.score) + bonus).otherwise(F.lit(0.0)).alias("score"))
+
+        return score
+
+    return _bound(pairs, lambda all_: F.transform(F.filter(all_, lambda x: x["match"].isNotNull()), one(all_)))
+
 
-    def one(x: Column) -> Column:
-        near = F.lower(F.right(x["gap"], F.lit(CONTEXT_CHARS))).rlike(kind.context)
-        score = F.lit(kind.score) + F.when(near, kind.bonus).otherwise(0.0)
-        return F.struct(F.char_length(x["gap"]).alias("gap"), F.char_length(x["match"]).alias("length"),
-                        F.when(confirmed(kind.name, x["match"]), score).otherwise(F.lit(0.0)).alias("score"))
+SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
 
-    return F.transform(F.filter(pairs, lambda x: x["match"].isNotNull()), one)
 
+def placed(found: Column, kind: Kind) -> Column:
+    """Spans of the matches with the least score or more: one walk over all matches that carries the position."""
+    none = F.array().cast(f"array<{SPAN}>")
 
-def ends(found: Column) -> Column:
-    """Where each match ends: cumulative sums, in time near linear in the number of matches."""
-    size = F.size(found)
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(size / F.lit(BLOCK)).cast("int") - 1),
-                         lambda b: F.transform(F.slice(found, b * BLOCK + 1, F.lit(BLOCK)), lambda x: x["gap"] + x["length"]))
-    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-    totals = F.transform(blocks, add)
-    inner = F.transform(blocks, lambda block, b: F.transform(
-        block, lambda x, i: add(F.slice(block, F.lit(1), i + 1)) + add(F.slice(totals, F.lit(1), b))))
-    return F.when(size > 0, F.flatten(inner)).otherwise(F.array().cast("array<int>"))
+    def span(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + x["length"]).alias("end"), x["score"].alias("score")).cast(SPAN)
+
+    def step(acc: Column, x: Column) -> Column:
+        more = F.when(x["score"] >= LEAST_SCORE, F.concat(acc["out"], F.array(span(acc["at"], x)))).otherwise(acc["out"])
+        return F.struct((acc["at"] + x["gap"] + x["length"]).alias("at"), more.alias("out"))
+
+    def block(acc: Column, items: Column) -> Column:
+        walked = F.aggregate(items, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return _bound(walked, lambda w: F.struct(w["at"].alias("at"), F.when(F.size(w["out"]) > 0, F.concat(acc["out"], F.array(w["out"]))).otherwise(acc["out"]).alias("out")))
+
+    def walk(all_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(all_), F.lit(BLOCK)), lambda b: F.slice(all_, b + 1, F.lit(BLOCK)))
+        begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("out"))
+        return F.aggregate(blocks, begin, block, lambda acc: F.flatten(acc["out"]))
+
+    return _bound(found, walk)
 
 
 def find_pii(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -159,17 +193,8 @@ def find_pii(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KIND
     out = docs.drop("pii")
     for steps in (lambda k: proposed(source, k), lambda k: scored(F.col(f"_pii_{k.name}"), k)):
         out = out.withColumns({f"_pii_{k.name}": steps(k) for k in kinds})
-    out = out.withColumns({f"_end_{k.name}": ends(F.col(f"_pii_{k.name}")) for k in kinds})
-
-    def spans(k: Kind) -> Column:
-        both = F.arrays_zip(F.col(f"_pii_{k.name}").alias("m"), F.col(f"_end_{k.name}").alias("end"))
-        good = F.filter(both, lambda x: x["m"]["score"] >= LEAST_SCORE)
-        return F.transform(good, lambda x: F.struct(
-            F.lit(k.name).alias("kind"), (x["end"] - x["m"]["length"]).cast("long").alias("start"), x["end"].cast("long").alias("end"),
-            x["m"]["score"].alias("score")))
-
-    out = out.withColumn("pii", F.concat(*map(spans, kinds)))
-    return out.drop(*(f"_{a}_{k.name}" for k in kinds for a in ("pii", "end")))
+    out = out.withColumn("pii", F.concat(*(placed(F.col(f"_pii_{k.name}"), k) for k in kinds)))
+    return out.drop(*(f"_pii_{k.name}" for k in kinds))
 
 
 def spans_text(found: Column) -> Column:

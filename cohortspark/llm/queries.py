@@ -222,7 +222,8 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "pii")
     counts = [pii.count_kind(F.col("pii"), k).alias(f"n_{k}") for k in pii.BASE]
     base = pii.spans_text(pii.only(F.col("pii"), pii.BASE))
-    return out.select("doc_id", *counts, sha256(base).alias("base_sha256"), pii.spans_text(F.col("pii")).alias("spans"))
+    added = [pii.count_kind(F.col("pii"), k.name).alias(f"n_{k.name}") for k in pii.KINDS if k.name not in pii.BASE]
+    return out.select("doc_id", *counts, sha256(base).alias("base_sha256"), pii.spans_text(F.col("pii")).alias("spans"), *added)
 
 
 def _rounds_sql(n: int) -> str:
