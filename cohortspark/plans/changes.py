@@ -13,20 +13,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import dates
-from ..functions.codes import patch_coalesce
 from ..functions.jsons import json_array_items
 from ..operators import identity
 from ..operators.aggs import count_guards
-from ..operators.joins import broadcast_join, fits_broadcast, lookup_join
+from ..operators.joins import broadcast_join, fits_broadcast, lookup_join, star_join
 from ..session import written
 from ..sources.snapshot import INGEST_TS, aligned, load_snapshot, revise_snapshot, save_freshness, stamped
 
 Tables = Mapping[str, DataFrame]
-PATCHED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr", "ra"]
 VISIT_KEY = ["pid", "vtimestamp", "vtype"]
 MOVABLE = ["sched", "resched", "assigned"]
 REMOVABLE = ["sched", "assigned"]
@@ -165,98 +164,167 @@ def _of_requested(vids: DataFrame):
 
 
 def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
-    """The requested visits with their latest action and the study shown for them."""
+    """The requested visits with their latest action and all their studies, one row for each visit."""
     of_requested = _of_requested(vids)
-    visit = of_requested(tables["visit"])
     action = identity.latest_per_key(
         of_requested(tables["visit_action"].select("vid", "aid", "action", "ra", "vatimestamp")),
         ["vid"], "vatimestamp", [F.col("aid").desc()],
-    ).select("vid", "action", "ra")
-    study = identity.first_per_group(
-        of_requested(tables["visit_study"].select("vid", "study", "cohort")), ["vid"], ["study", "cohort"]
-    )
-    return visit.join(action, "vid", "left").join(study, "vid", "left")
+    ).select("vid", F.struct("action", "ra", F.col("vatimestamp").alias("since")).alias("latest"))
+    study = F.struct(F.col("study").alias("was"), "study", "cohort", F.lit(False).alias("touched"))
+    studies = of_requested(tables["visit_study"]).groupBy("vid").agg(F.sort_array(F.collect_set(study)).alias("studies"))
+    return star_join(of_requested(tables["visit"]), [action, studies], ["vid"])
 
 
-def _meeting(open_requests: DataFrame, visit: DataFrame, order: str) -> DataFrame:
-    """Requests that move a visit to a (person, time, type) that a visit or an earlier request has.
+MOVED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr"]
+_SLOT = ["vtimestamp", "vtype"]
+
+
+def _shown(studies: Column, name: str) -> Column:
+    """Of the study shown for a visit, the least by name and cohort."""
+    return F.array_min(F.transform(studies, lambda x: F.struct(x["study"].alias("study"), x["cohort"].alias("cohort"))))[name]
+
+
+def _judge(state: Column, r: Column, refused: Column) -> dict[str, Column]:
+    """What a request asks for in the state that its visit is in, and why it can't have it."""
+    new = {c: F.coalesce(r[c], state[c]) for c in MOVED}
+    action, ra = F.coalesce(r["action"], F.lit("resched")), F.coalesce(r["ra"], state["latest"]["ra"])
+    other = r["study"].isNotNull() & ~r["study"].eqNullSafe(_shown(state["studies"], "study"))
+    reason = _first_reason([
+        (~state["latest"]["action"].isin(MOVABLE), "not scheduled or assigned"),
+        (~action.isin(S.STATUS), "unknown action"),
+        (ra.isNull(), "missing staff"),
+        (r["study"].isNotNull() & ~r["study_known"], "unknown study"),
+        (other & F.exists(state["studies"], lambda x: x["study"] == r["study"]), "study exists"),
+    ])
+    stays = new["vtimestamp"].eqNullSafe(state["vtimestamp"]) & new["vtype"].eqNullSafe(state["vtype"])
+    claims = reason.isNull() & new["vtimestamp"].isNotNull() & ~stays
+    reason = F.coalesce(reason, F.when(claims & F.array_contains(refused, r["order"]), "visit exists"))
+    return {**new, "action": action, "ra": ra, "claims": claims, "reason": reason}
 
-    A place that another visit leaves in the same batch counts as taken.
-    """
-    slot = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in ("vtimestamp", "vtype")]
-    return _clashing(open_requests.where(~(slot[0] & slot[1])), visit, order).withColumn("_clash", F.lit("visit exists"))
 
+def _replayed(asked: DataFrame) -> DataFrame:
+    """Fold each visit's requests, in order, over its state; ``refused`` holds the orders of those that find their place taken.
 
-def _having(open_requests: DataFrame, studies: DataFrame, order: str) -> DataFrame:
-    """Requests for a study that the visit has besides the one they replace."""
-    other = open_requests.where(F.col("study").isNotNull() & ~F.col("study").eqNullSafe(F.col("_old_study")))
-    held = studies.select("vid", "study").distinct()
-    return other.select(order, "vid", "study").join(held, ["vid", "study"], "left_semi").select(order, F.lit("study exists").alias("_has"))
+    ``log`` gets an entry for each request: its verdict, what it claims, and the place it leaves.
+    """
+    kept = [*MOVED, "latest", "studies"]
+    types = {c: asked.schema[c].dataType.simpleString() for c in [*kept, "requests"]}
+    order = asked.schema["requests"].dataType.elementType["order"].dataType.simpleString()
+    entry = f"struct<order:{order},reason:string,claims:boolean,action:string,ra:string,vtimestamp:{types['vtimestamp']},vtype:string,from_vtimestamp:{types['vtimestamp']},from_vtype:string>"
+    state_type = "struct<" + ",".join(f"{c}:{types[c]}" for c in kept) + f",vstatus:string,log:array<{entry}>>"
+    none = F.lit(None).cast("string")
+    begin = F.struct(*kept, none.alias("vstatus"), F.array().cast(f"array<{entry}>").alias("log")).cast(state_type)
+
+    def replaced(state: Column, r: Column) -> Column:
+        shown, cohort = _shown(state["studies"], "study"), F.coalesce(r["cohort"], _shown(state["studies"], "cohort"))
+        return F.transform(state["studies"], lambda x: F.when(
+            x["study"] == shown, F.struct(x["was"].alias("was"), r["study"].alias("study"), cohort.alias("cohort"), F.lit(True).alias("touched"))).otherwise(x))
+
+    def step(state: Column, r: Column) -> Column:
+        got = _judge(state, r, F.col("refused"))
+        line = F.struct(
+            r["order"].alias("order"), got["reason"].alias("reason"), got["claims"].alias("claims"), got["action"].alias("action"), got["ra"].alias("ra"),
+            got["vtimestamp"].alias("vtimestamp"), got["vtype"].alias("vtype"), state["vtimestamp"].alias("from_vtimestamp"), state["vtype"].alias("from_vtype"))
+        log = F.concat(state["log"], F.array(line.cast(entry)))
+        # Latest is by time, a missing time counting as latest, and of equal ones the one added last.
+        late = got["vtimestamp"].isNull() | state["latest"].isNull() | (got["vtimestamp"] >= state["latest"]["since"])
+        added = F.struct(got["action"].alias("action"), got["ra"].alias("ra"), got["vtimestamp"].alias("since"))
+        latest = F.when(F.coalesce(late, F.lit(False)), added).otherwise(state["latest"])
+        studies = F.when(r["study"].isNotNull(), replaced(state, r)).otherwise(state["studies"])
+        moved = F.struct(*(got[c].alias(c) for c in MOVED), latest.alias("latest"), studies.alias("studies"), got["action"].alias("vstatus"), log.alias("log"))
+        same = F.struct(*(state[c].alias(c) for c in [*kept, "vstatus"]), log.alias("log"))
+        return F.when(got["reason"].isNull(), moved.cast(state_type)).otherwise(same.cast(state_type))
+
+    return asked.select("vid", "pid", F.aggregate("requests", begin, step).alias("end")).select("vid", "pid", "end.*")
+
+
+def _refused(log: DataFrame, held: DataFrame, order: str) -> DataFrame:
+    """Requests that find the (person, time, type) they claim taken: more visits came there before than left.
+
+    Only accepted requests come and leave; ``held`` are the places before the first request.
+    """
+    ok = F.col("reason").isNull()
+    none = F.lit(None).cast(log.schema["vid"].dataType)
+    events = held.select(
+        *VISIT_KEY, F.lit(None).cast(log.schema[order].dataType).alias(order), F.lit(1).alias("come"), none.alias("vid"))
+    claims = log.where("claims")
+    came = claims.select("pid", *_SLOT, order, F.when(ok, 1).otherwise(0).alias("come"), "vid")
+    left = claims.where(ok & F.col("from_vtimestamp").isNotNull()).select("pid", F.col("from_vtimestamp"), F.col("from_vtype"), order, F.lit(-1), none)
+    before = W.partitionBy(*VISIT_KEY).orderBy(F.col(order).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    met = events.union(came).union(left).withColumn("before", F.sum("come").over(before))
+    return met.where(F.col("vid").isNotNull() & (F.col("before") > 0)).select("vid", order)
 
 
 def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
     """Move visits that have not happened: patch given fields, recompute the age, log an action.
 
-    Of several valid requests for a visit the first is taken and the others are rejected; an invalid
-    one never stands in the way of a valid one. A visit can't move to a person, time and type that
-    is taken, nor get a study twice. Only supplied notes are added; a supplied study replaces the
-    one shown for the visit. A visit without any action may be moved.
+    Requests act one after the other in ``order``, each on what the accepted ones before it left: several may move one
+    visit, each adds an action and its notes, and the last given value of a field stays. A request is rejected where the
+    visit's latest action is none of sched, resched and assigned, the place (person, time and type) is taken at that
+    moment, or the visit has the study already. A place that an accepted request left is free, one that a
+    rejected request asked for stays free. Only supplied notes are added; a supplied study replaces the one shown for
+    the visit. A visit without any action may be moved.
+
+    A visit's requests are folded in its own row. Places tie visits to each other, so folds and claims alternate
+    until no claim's verdict changes. A verdict depends on requests before it only, hence the verdicts that agree with
+    themselves are those of a replay one by one; rounds grow with the longest chain of places handed on.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
-    old = _old_rows(tables, req.select("vid").distinct())
+    visit_types = {f.name: f.dataType for f in tables["visit"].schema}
+    asked = _with_study_known(req.drop("notes"), tables, order).select("vid", F.struct(
+        F.col(order).alias("order"), *(F.col(c).cast(visit_types[c]).alias(c) for c in MOVED), "action", "ra", "study", "cohort",
+        F.coalesce("_study_known", F.lit(False)).alias("study_known")).alias("request"))
+    asked = asked.where(F.col("vid").isNotNull()).groupBy("vid").agg(F.array_sort(F.collect_list("request")).alias("requests"))
+    old = _old_rows(tables, req.select("vid").distinct()).select(
+        "vid", "pid", *MOVED, "latest", F.coalesce("studies", F.array().cast("array<struct<was:string,study:string,cohort:string,touched:boolean>>")).alias("studies"))
+    asked = written(asked.join(old, "vid"), "reschedule")
+    pids = asked.select("pid").distinct()
+    held = tables["visit"].where(F.col("vtimestamp").isNotNull()).select(*VISIT_KEY)
+    held = broadcast_join(held, pids, ["pid"], "left_semi") if fits_broadcast([pids]) else held
+    refused = None
+    while True:
+        if refused is None:
+            told = asked.withColumn("refused", F.array().cast(f"array<{req.schema[order].dataType.simpleString()}>"))
+        else:
+            told = asked.join(refused.groupBy("vid").agg(F.collect_list(order).alias("refused")), "vid", "left")
+            told = told.withColumn("refused", F.coalesce("refused", F.array().cast(told.schema["refused"].dataType)))
+        done = written(_replayed(told), "reschedule")
+        log = done.select("vid", "pid", F.explode("log").alias("e")).select("vid", "pid", F.col("e.order").alias(order), "e.*").drop("order")
+        now = written(_refused(log, held, order), "reschedule")
+        if (now if refused is None else _unlike(now, refused, order)).isEmpty():
+            break
+        refused = now
+    lost = req.join(log.select(order), order, "left_anti").select(order, "vid", F.lit("unknown visit").alias("reason"))
+    good = _numbered(log.where(F.col("reason").isNull()), order)
+    notes = req.where(F.col("notes").isNotNull()).select(order, "notes").join(good.select(order, "pid", "vid", "ra"), order)
+    moved = done.where(F.col("vstatus").isNotNull())
     person = tables["person"].select("pid", "dob")
-    old = lookup_join(old, person, ["pid"], "left", spread_by=["vid"]).withColumn("_known", F.lit(True))
-    both = req.alias("n").join(old.alias("o"), "vid", "left")
-    merged = both.select(
-        order, "vid", F.col("o.pid").alias("pid"), "dob", "_known",
-        *patch_coalesce("n", "o", PATCHED),
-        F.coalesce(F.col("n.action"), F.lit("resched")).alias("action"),
-        F.col("o.action").alias("_old_action"),
-        F.col("n.notes").alias("notes"),
-        F.col("n.study").alias("study"), F.coalesce("n.cohort", "o.cohort").alias("cohort"),
-        F.col("o.study").alias("_old_study"),
-        F.col("o.vtimestamp").alias("_old_vtimestamp"), F.col("o.vtype").alias("_old_vtype"),
-    )
-    merged = _with_study_known(merged, tables, order)
-    reason = _first_reason([
-        (F.col("_known").isNull(), "unknown visit"),
-        (~F.col("_old_action").isin(MOVABLE), "not scheduled or assigned"),
-        (~F.col("action").isin(S.STATUS), "unknown action"),
-        (F.col("ra").isNull(), "missing staff"),
-        (F.col("study").isNotNull() & F.col("_study_known").isNull(), "unknown study"),
-    ])
-    merged = written(merged.withColumn("reason", reason), "reschedule")
-    open_requests = merged.where(F.col("reason").isNull())
-    judged = merged.join(_having(open_requests, tables["visit_study"], order), order, "left")
-    judged = judged.join(_meeting(open_requests, tables["visit"], order), order, "left")
-    judged = judged.withColumn("reason", F.coalesce("reason", "_has", "_clash")).drop("_has", "_clash", "_old_vtimestamp", "_old_vtype")
-    firsts = judged.where(F.col("reason").isNull()).groupBy("vid").agg(F.min(order).alias("_first"))
-    repeat = F.when(F.col("reason").isNull() & (F.col(order) != F.col("_first")), "repeated request")
-    judged = judged.join(firsts, "vid", "left").withColumn("reason", F.coalesce("reason", repeat)).drop("_first")
-    judged = written(judged, "reschedule")
-    good = _numbered(judged.where(F.col("reason").isNull()), order)
-    age = dates.age_years_whole_days("vtimestamp", "dob")
-    moved = good.where(F.col("study").isNotNull() & F.col("_old_study").isNotNull())
-    now = dates.moment(as_of)
+    ages = lookup_join(moved.drop("log", "latest", "studies"), person, ["pid"], "left", spread_by=["vid"])
+    studies = moved.select("vid", F.explode("studies").alias("s")).where("s.touched").dropDuplicates(["vid", "s"])
     return ChangeSet(
         add={
             "visit_action": good.select(
                 _key(tables["visit_action"], "aid"), "vid", "action", "ra", F.col("vtimestamp").alias("vatimestamp")
             ),
-            "note": _note_rows(good, tables["note"], now, order),
+            "note": _note_rows(notes, tables["note"], dates.moment(as_of), order),
         },
         update={
-            "visit": (["vid"], good.select(
-                "vid", "vtype", "vscore", age.alias("age"), "vtimestamp", "visitno", "googleuri", "dur_hr",
-                F.col("action").alias("vstatus"),
+            "visit": (["vid"], ages.select(
+                "vid", "vtype", "vscore", dates.age_years_whole_days("vtimestamp", "dob").alias("age"), "vtimestamp", "visitno",
+                "googleuri", "dur_hr", "vstatus",
             )),
-            "visit_study": (["vid", "_old_study"], moved.select("vid", "_old_study", "study", "cohort")),
+            "visit_study": (["vid", "_old_study"], studies.select("vid", F.col("s.was").alias("_old_study"), "s.study", "s.cohort")),
         },
-        rejected=judged.where(F.col("reason").isNotNull()).select(order, "vid", "reason"),
+        rejected=log.where(F.col("reason").isNotNull()).select(order, "vid", "reason").unionByName(lost),
     )
 
 
+def _unlike(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
+    """Orders that only one of two frames has."""
+    return a.join(b, order, "left_anti").select(order).union(b.join(a, order, "left_anti").select(order))
+
+
 def cancel_visits(requests: DataFrame, tables: Tables) -> ChangeSet:
     """Remove visits that are only scheduled or assigned, with their actions, studies and notes.
 

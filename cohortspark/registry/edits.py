@@ -1,5 +1,6 @@
 """Change sets and the latest-status stream, fed with requests derived from whole tables."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.jsons import json_text
@@ -99,44 +100,74 @@ def _(spark, d):
     return _register(spark, d).rejected
 
 
-_MOVE = """select o_orderkey as req_id, case when o_orderkey % 97 = 0 then -1 - o_orderkey else o_orderkey end as vid,
-    case when o_orderkey % 2 = 0 then o_orderdate + interval 30 day end as vtimestamp,
+# Requests: a move of every visit; a second, later one of every third; and a claim of the place that the customer's order before had at first.
+_BASE = "case when o_orderkey % 97 = 0 then -1 - o_orderkey else o_orderkey end"
+_MOVE = f"""select o_orderkey as req_id, {_BASE} as vid,
+    case when o_orderkey % 2 = 0 then o_orderdate + interval 30 day end as vtimestamp, cast(null as varchar) as vtype,
     case o_orderkey % 5 when 0 then 'assigned' when 1 then 'maybe' end as action,
     case when o_orderkey % 3 <> 0 then 'new' || (o_orderkey % 4) end as ra, o_orderkey % 4 = 0 as has_notes,
-    case when o_orderkey % 6 = 0 then 'Moved' end as study from orders"""
-_OLD = """select v.*, a.action as old_action, a.ra as old_ra, s.study as old_study, s.cohort as old_cohort, p.dob
-    from visit v left join (select * from visit_action qualify row_number() over (partition by vid
-        order by vatimestamp desc nulls first, aid desc) = 1) a on a.vid = v.vid
-    left join (select * from visit_study qualify row_number() over (partition by vid order by study, cohort) = 1) s
-        on s.vid = v.vid left join person p on p.pid = v.pid"""
-_ASKED = """select m.req_id, m.vid, o.pid, o.dob, coalesce(m.vtimestamp, o.vtimestamp) as vtimestamp, o.vtype, o.vscore,
-    o.visitno, o.googleuri, o.dur_hr, coalesce(m.ra, o.old_ra) as ra, coalesce(m.action, 'resched') as action,
-    m.has_notes, m.study, o.old_cohort as cohort, o.old_study, o.vtimestamp as old_vtimestamp,
-    case when o.vid is null then 'unknown visit'
-        when o.old_action not in ('sched', 'resched', 'assigned') then 'not scheduled or assigned'
-        when coalesce(m.action, 'resched') = 'maybe' then 'unknown action'
-        when coalesce(m.ra, o.old_ra) is null then 'missing staff' end as reason
-    from req m left join old o on o.vid = m.vid"""
-_MOVES = "vtimestamp is not null and vtimestamp is distinct from old_vtimestamp"
-_MERGED = f"""select * exclude (reason), case when reason is null and {_MOVES} and (
-        exists (select 1 from visit v where v.pid = q.pid and v.vtimestamp = q.vtimestamp and v.vtype = q.vtype)
-        or row_number() over (partition by reason is null and {_MOVES}, pid, vtimestamp, vtype order by req_id) > 1)
-    then 'visit exists' else reason end as reason from asked q"""
-_MOV = {"req": _MOVE, "old": _OLD, "asked": _ASKED, "merged": _MERGED}
-_MOV_NEEDS = "visit visit_action visit_study person"
+    case when o_orderkey % 6 = 0 then 'Moved' end as study, cast(null as varchar) as cohort from orders
+    union all select 1000000000 + o_orderkey, {_BASE}, case when o_orderkey % 2 = 0 then o_orderdate end, null,
+    case o_orderkey % 4 when 0 then 'complete' end, null, o_orderkey % 4 = 1, case when o_orderkey % 2 = 0 then 'Moved' else 'Again' end, 'late'
+    from orders where o_orderkey % 3 = 0
+    union all select 2000000000 + o_orderkey, o_orderkey, place.vtimestamp, place.vtype, null, 'next', false, null, null from (
+        select o_orderkey, lag({{'vtimestamp': o_orderdate, 'vtype': o_orderpriority}}) over (partition by o_custkey order by o_orderkey) as place from orders)
+    where place is not null"""
+# The state before each of a person's requests: one row for each visit, and the verdict on the request that led here.
+_REPLAY = """select 0 as nth, pid, vid, vtimestamp, vtype, vscore, visitno, googleuri, dur_hr, null::varchar as vstatus,
+        latest, coalesce(studies, []) as studies, null::bigint as req_id, null::varchar as reason, null::varchar as action, null::varchar as ra
+    from visit left join (select vid, arg_max({'action': action, 'ra': ra, 'since': vatimestamp}, (vatimestamp is null, vatimestamp, aid)) as latest
+        from visit_action group by vid) using (vid)
+    left join (select vid, list({'was': study, 'study': study, 'cohort': cohort, 'touched': false}) as studies from visit_study group by vid) using (vid)
+    where pid in (select pid from queue)
+    union all
+    select nth + 1, pid, vid, case when ok then to_time else vtimestamp end, case when ok then to_type else vtype end, vscore, visitno, googleuri, dur_hr,
+        case when ok then to_action else vstatus end,
+        case when ok and (to_time is null or latest is null or to_time >= latest.since) then {'action': to_action, 'ra': to_ra, 'since': to_time} else latest end,
+        case when ok and asked is not null then list_transform(studies, lambda s: case when s.study = shown.study
+            then {'was': s.was, 'study': asked, 'cohort': coalesce(asked_cohort, shown.cohort), 'touched': true} else s end) else studies end,
+        case when own then asked_id end, why, to_action, to_ra
+    from (select *, own and why is null as ok from (
+        select *, case when not own then null
+                when latest.action not in ('sched', 'resched', 'assigned') then 'not scheduled or assigned'
+                when to_action = 'maybe' then 'unknown action' when to_ra is null then 'missing staff'
+                when asked is distinct from shown.study and list_contains(list_transform(studies, lambda s: s.study), asked) then 'study exists'
+                when to_time is not null and (to_time is distinct from vtimestamp or to_type is distinct from vtype)
+                    and coalesce(list_contains(places, {'t': to_time, 'k': to_type}), false) then 'visit exists' end as why
+        from (select s.*, s.vid = q.vid as own, q.req_id as asked_id, coalesce(q.vtimestamp, s.vtimestamp) as to_time, coalesce(q.vtype, s.vtype) as to_type,
+                coalesce(q.action, 'resched') as to_action, coalesce(q.ra, s.latest.ra) as to_ra, q.study as asked, q.cohort as asked_cohort,
+                list_min(list_transform(s.studies, lambda x: {'study': x.study, 'cohort': x.cohort})) as shown,
+                list({'t': s.vtimestamp, 'k': s.vtype}) filter (s.vtimestamp is not null) over (partition by s.pid) as places
+            from replay s join queue q on q.pid = s.pid and q.nth = s.nth + 1)))"""
+_QUEUE = "select m.*, v.pid, row_number() over (partition by v.pid order by m.req_id) as nth from req m join visit v on v.vid = m.vid"
+_MOV = {
+    "req": _MOVE, "queue": _QUEUE, "replay": _REPLAY, "told": "select * from replay where req_id is not null",
+    "taken": "select t.*, m.has_notes from told t join req m using (req_id) where t.reason is null",
+    "ends": "select * from replay where vstatus is not null qualify row_number() over (partition by vid order by nth desc) = 1",
+}
+_MOV_NEEDS = "visit visit_action visit_study"
 
 
 def _move_requests(spark, d):
-    k = F.col("o_orderkey")
-    return load(spark, d, "orders").select(
-        k.alias("req_id"),
-        F.when(k % 97 == 0, -1 - k).otherwise(k).alias("vid"),
-        F.when(k % 2 == 0, F.col("o_orderdate") + F.make_dt_interval(days=F.lit(30))).alias("vtimestamp"),
+    k, c, none = F.col("o_orderkey"), F.col, F.lit(None).cast("string")
+    orders = load(spark, d, "orders")
+    vid = F.when(k % 97 == 0, -1 - k).otherwise(k).alias("vid")
+    first = orders.select(
+        k.alias("req_id"), vid,
+        F.when(k % 2 == 0, c("o_orderdate") + F.make_dt_interval(days=F.lit(30))).alias("vtimestamp"), none.alias("vtype"),
         cases(k, "assigned", "maybe", None, None, None).alias("action"),
         F.when(k % 3 != 0, F.concat(F.lit("new"), (k % 4).cast("string"))).alias("ra"),
-        _notes(k).alias("notes"),
-        F.when(k % 6 == 0, "Moved").alias("study"),
+        _notes(k).alias("notes"), F.when(k % 6 == 0, "Moved").alias("study"), none.alias("cohort"),
+    )
+    again = orders.where(k % 3 == 0).select(
+        k + 1_000_000_000, vid, F.when(k % 2 == 0, c("o_orderdate")), none, F.when(k % 4 == 0, "complete"), none,
+        F.when(k % 4 == 1, json_text(F.array(F.concat(F.lit("called "), (k + 1_000_000_000).cast("string")), F.lit("moved")))),
+        F.when(k % 2 == 0, "Moved").otherwise("Again"), F.lit("late"),
     )
+    before = W.partitionBy("o_custkey").orderBy("o_orderkey")
+    places = orders.withColumns({"t": F.lag("o_orderdate").over(before), "p": F.lag("o_orderpriority").over(before), "has": F.lag(F.lit(True)).over(before)})
+    chained = places.where("has").select(k + 2_000_000_000, k, "t", "p", none, F.lit("next"), none, none, none)
+    return first.union(again).union(chained)
 
 
 def _move(spark, d):
@@ -145,8 +176,8 @@ def _move(spark, d):
 
 @query(
     "reschedule_visits",
-    sql(_MOV_NEEDS, """select vid, vtype, vscore, date_part('day', vtimestamp - dob) / 365.25 as age, vtimestamp, visitno,
-        googleuri, dur_hr, action as vstatus from merged where reason is null""", **_MOV),
+    sql(_MOV_NEEDS + " person", """select vid, vtype, vscore, date_part('day', vtimestamp - dob) / 365.25 as age, vtimestamp, visitno,
+        googleuri, dur_hr, vstatus from ends left join person using (pid)""", **_MOV),
 )
 def _(spark, d):
     return _move(spark, d).update["visit"][1]
@@ -155,7 +186,7 @@ def _(spark, d):
 @query(
     "reschedule_visits_actions",
     sql(_MOV_NEEDS, """select (select max(aid) from visit_action) + row_number() over (order by req_id) as aid, vid,
-        action, ra, vtimestamp as vatimestamp from merged where reason is null""", **_MOV),
+        action, ra, vtimestamp as vatimestamp from taken""", **_MOV),
 )
 def _(spark, d):
     return _move(spark, d).add["visit_action"]
@@ -165,8 +196,8 @@ def _(spark, d):
     "reschedule_visits_notes",
     sql(_MOV_NEEDS + " note", f"""select (select max(nid) from note) + row_number() over (order by req_id, i) as nid, pid,
         vid, ra, timestamp '{AS_OF}' as ndate, note from (
-        select *, 0 as i, 'called ' || req_id as note from merged where has_notes and reason is null
-        union all select *, 1, 'moved' from merged where has_notes and reason is null)""", **_MOV),
+        select *, 0 as i, 'called ' || req_id as note from taken where has_notes
+        union all select *, 1, 'moved' from taken where has_notes)""", **_MOV),
 )
 def _(spark, d):
     return _move(spark, d).add["note"].drop("dropcode")
@@ -174,9 +205,8 @@ def _(spark, d):
 
 @query(
     "reschedule_visits_studies",
-    sql(_MOV_NEEDS, """select s.vid, coalesce(m.study, s.study) as study, coalesce(m.cohort, s.cohort) as cohort
-        from visit_study s left join merged m on m.vid = s.vid and m.old_study = s.study and m.reason is null
-        and m.study is not null""", **_MOV),
+    sql(_MOV_NEEDS, """select s.vid, coalesce(m.study, s.study) as study, coalesce(m.cohort, s.cohort) as cohort from visit_study s left join (
+        select vid, t.was, t.study, t.cohort from (select vid, unnest(studies) as t from ends) where t.touched) m on m.vid = s.vid and m.was = s.study""", **_MOV),
 )
 def _(spark, d):
     t = domain(spark, d)
@@ -186,7 +216,8 @@ def _(spark, d):
 
 @query(
     "reschedule_visits_rejected",
-    sql(_MOV_NEEDS, "select req_id, vid, reason from merged where reason is not null", **_MOV),
+    sql(_MOV_NEEDS, """select req_id, vid, reason from told where reason is not null
+        union all select req_id, vid, 'unknown visit' from req where vid is null or vid not in (select vid from visit)""", **_MOV),
 )
 def _(spark, d):
     return _move(spark, d).rejected

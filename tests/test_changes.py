@@ -181,11 +181,108 @@ def test_register_rejects_taken_slots_and_unknown_studies(spark, tables):
     assert done.add["visit"].count() == 3
 
 
-def test_second_reschedule_of_a_visit_is_rejected(spark, tables):
+def test_several_reschedules_of_a_visit_act_in_order(spark, tables):
+    """Each on what the one before left: last given values stay, every one adds an action and its notes."""
     req = spark.createDataFrame(
-        [(2, 1, TS(2022, 1, 1)), (1, 1, TS(2021, 1, 1)), (3, 1, TS(2023, 1, 1))],
-        "req_id long, vid long, vtimestamp timestamp_ntz",
+        [(2, 1, TS(2022, 1, 1), None, "r2", '["second"]', "Q", None), (1, 1, TS(2021, 1, 1), "MEG", None, '["first"]', "Z", "late"),
+         (3, 1, TS(2023, 1, 1), None, None, None, "X", None), (4, 1, None, None, None, None, "Z", None), (5, 1, TS(2019, 1, 1), None, None, None, None, None),
+         (6, 1, None, None, "r6", None, None, None)],
+        "req_id long, vid long, vtimestamp timestamp_ntz, vtype string, ra string, notes string, study string, cohort string",
     )
     done = changes.reschedule_visits(req, tables, NOW)
-    assert {r.req_id: r.reason for r in done.rejected.collect()} == {2: "repeated request", 3: "repeated request"}
-    assert [r.vtimestamp for r in done.update["visit"][1].collect()] == [TS(2021, 1, 1)]
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {4: "study exists"}
+    after = changes.apply_changes(tables, done)
+    actions = after["visit_action"].where("aid > 5").orderBy("aid").collect()
+    want = plain_reschedule(req.collect(), tables)
+    assert [(r.vid, r.action, r.ra, r.vatimestamp) for r in actions] == want["actions"]
+    assert rows(after["visit_study"].where("vid = 1")) == sorted(want["studies"][1], key=str)
+    assert [r.note for r in done.add["note"].orderBy("nid").collect()] == ["first", "second"]
+    moved = {r.vid: r for r in after["visit"].collect()}[1]
+    assert (moved.vtimestamp, moved.vtype, moved.vstatus) == (TS(2019, 1, 1), "MEG", "resched")
+
+
+def plain_reschedule(requests, tables):
+    """One request after the other on plain rows."""
+    visits = {r.vid: r.asDict() for r in tables["visit"].collect()}
+    actions, studies = {}, {}
+    for r in sorted(tables["visit_action"].collect(), key=lambda r: r.aid):
+        actions.setdefault(r.vid, []).append((r.action, r.ra, r.vatimestamp))
+    for r in tables["visit_study"].collect():
+        studies.setdefault(r.vid, []).append((r.vid, r.study, r.cohort))
+    out = {"actions": [], "rejected": {}, "visits": visits, "studies": studies}
+    for q in sorted((r.asDict() for r in requests), key=lambda q: q["req_id"]):
+        v = visits.get(q["vid"])
+        if v is None:
+            out["rejected"][q["req_id"]] = "unknown visit"
+            continue
+        own = actions.get(q["vid"], [])
+        old = max(enumerate(own), key=lambda x: (x[1][2] is None, x[1][2] or TS(1, 1, 1), x[0]))[1] if own else (None, None, None)
+        shown = min(studies.get(q["vid"], [(None, None, None)]), key=lambda x: (x[1] or "", x[2] or ""))
+        new = {c: q.get(c) if q.get(c) is not None else v[c] for c in changes.MOVED}
+        action, ra, study = q.get("action") or "resched", q.get("ra") or old[1], q.get("study")
+        place = (v["pid"], new["vtimestamp"], new["vtype"])
+        taken = place[1] is not None and any((w["pid"], w["vtimestamp"], w["vtype"]) == place for k, w in visits.items() if k != q["vid"])
+        claims = place[1:] != (v["vtimestamp"], v["vtype"])
+        reason = (
+            "not scheduled or assigned" if old[0] is not None and old[0] not in ("sched", "resched", "assigned")
+            else "unknown action" if action == "maybe" else "missing staff" if ra is None
+            else "study exists" if study and study != shown[1] and study in [x[1] for x in studies.get(q["vid"], [])]
+            else "visit exists" if claims and taken else None)
+        if reason:
+            out["rejected"][q["req_id"]] = reason
+            continue
+        v.update(new, vstatus=action)
+        actions.setdefault(q["vid"], []).append((action, ra, new["vtimestamp"]))
+        out["actions"].append((q["vid"], action, ra, new["vtimestamp"]))
+        if study and q["vid"] in studies:
+            cohort = q.get("cohort") or shown[2]
+            studies[q["vid"]] = [(x[0], study, cohort) if x[1] == shown[1] else x for x in studies[q["vid"]]]
+    return out
+
+
+def check_replay(spark, tables, requests):
+    schema = "req_id long, vid long, vtimestamp timestamp_ntz, vtype string, action string, ra string, study string, cohort string"
+    req = spark.createDataFrame(requests, schema)
+    done = changes.reschedule_visits(req, tables, NOW)
+    want = plain_reschedule(req.collect(), tables)
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == want["rejected"]
+    assert [(r.vid, r.action, r.ra, r.vatimestamp) for r in done.add["visit_action"].orderBy("aid").collect()] == want["actions"]
+    after = changes.apply_changes(tables, done)
+    assert {r.vid: (r.vtimestamp, r.vtype, r.vstatus) for r in after["visit"].collect()} == {
+        k: (v["vtimestamp"], v["vtype"], v["vstatus"]) for k, v in want["visits"].items()}
+    assert rows(after["visit_study"]) == sorted((x for own in want["studies"].values() for x in own), key=str)
+    return want
+
+
+def test_reschedule_chains_and_swaps(spark, tables):
+    """A place is free once its visit left, taken while its visit's move is refused, and two visits swap by way of a third place."""
+    visit = [(k, 1, "MEG", None, 1.0, 20.0, TS(2020, 1, k), 1, None, "sched") for k in range(1, 9)]
+    tables = {**tables, "visit": spark.createDataFrame(visit, TABLES["visit"].columns),
+              "visit_action": spark.createDataFrame([(k, k, "sched", "r", TS(2020, 1, k)) for k in range(1, 9)], TABLES["visit_action"].columns)}
+    move = lambda n, vid, day, action=None: (n, vid, TS(2020, 1, day), None, action, None, None, None)
+    want = check_replay(spark, tables, [
+        move(1, 1, 20), move(2, 2, 1), move(3, 3, 2), move(4, 4, 3), move(5, 5, 4),  # each takes the place left before
+        move(6, 6, 21), move(7, 7, 6), move(8, 6, 7),  # a swap
+        move(9, 8, 20, "maybe"), move(10, 8, 20), move(11, 1, 8), move(12, 8, 20), move(13, 2, 20), move(14, None, 9), move(15, 77, 9),
+        move(16, 3, 2, "complete"), move(17, 3, 30),
+    ])
+    assert want["rejected"] == {9: "unknown action", 10: "visit exists", 11: "visit exists", 12: "visit exists", 13: "visit exists", 14: "unknown visit",
+                                15: "unknown visit", 17: "not scheduled or assigned"}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reschedule_equals_a_replay(spark, tables, seed):
+    import random
+
+    draw = random.Random(seed)
+    pick = lambda *xs: draw.choice(xs)
+    visit = [(k, k % 3, pick("MEG", "Scan"), None, 1.0, 20.0, TS(2020, 1, 1 + k), 1, None, "sched") for k in range(20)]
+    action = [(k, draw.randrange(20), pick("sched", "sched", "resched", "assigned", "complete"), pick("r", "q", None), pick(TS(2020, 1, draw.randint(1, 28)), None))
+              for k in range(30)]
+    study = sorted({(draw.randrange(20), pick("A", "B", "C")) for _ in range(25)})
+    tables = {**tables, "visit": spark.createDataFrame(visit, TABLES["visit"].columns),
+              "visit_action": spark.createDataFrame(action, TABLES["visit_action"].columns),
+              "visit_study": spark.createDataFrame([(*x, pick("c", "d")) for x in study], TABLES["visit_study"].columns)}
+    requests = [(k, draw.randrange(22), pick(TS(2020, 1, draw.randint(1, 12)), None), pick("MEG", "Scan", None), pick(None, None, None, "assigned", "maybe", "cancelled"),
+                 pick("r", None), pick("A", "B", "C", "D", None, None), pick("e", None)) for k in range(120)]
+    check_replay(spark, tables, requests)
