@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import dates
+from ..functions.bind import bound
 from ..functions.jsons import json_array_items
 from ..operators import identity
 from ..operators.aggs import count_guards
@@ -177,65 +178,89 @@ def _old_rows(tables: Tables, vids: DataFrame) -> DataFrame:
 
 MOVED = ["vtimestamp", "vtype", "vscore", "visitno", "googleuri", "dur_hr"]
 _SLOT = ["vtimestamp", "vtype"]
+STUDIES = "array<struct<was:string,study:string,cohort:string,touched:boolean>>"
+PLACES = "array<struct<vtimestamp:timestamp_ntz,vtype:string>>"
 
 
-def _shown(studies: Column, name: str) -> Column:
-    """Of the study shown for a visit, the least by name and cohort."""
-    return F.array_min(F.transform(studies, lambda x: F.struct(x["study"].alias("study"), x["cohort"].alias("cohort"))))[name]
+def _wanted(state: Column, r: Column) -> Column:
+    """What a request asks for in the state that its visit is in, and the study shown for it: the least by name and cohort."""
+    shown = F.array_min(F.transform(state["studies"], lambda x: F.struct(x["study"].alias("study"), x["cohort"].alias("cohort"))))
+    return F.struct(
+        *(F.coalesce(r[c], state[c]).alias(c) for c in MOVED), F.coalesce(r["action"], F.lit("resched")).alias("action"),
+        F.coalesce(r["ra"], state["latest"]["ra"]).alias("ra"), shown.alias("shown"))
 
 
-def _judge(state: Column, r: Column, refused: Column) -> dict[str, Column]:
-    """What a request asks for in the state that its visit is in, and why it can't have it."""
-    new = {c: F.coalesce(r[c], state[c]) for c in MOVED}
-    action, ra = F.coalesce(r["action"], F.lit("resched")), F.coalesce(r["ra"], state["latest"]["ra"])
-    other = r["study"].isNotNull() & ~r["study"].eqNullSafe(_shown(state["studies"], "study"))
-    reason = _first_reason([
+def _refusal(state: Column, r: Column, new: Column) -> Column:
+    """Why a visit in this state can't have it, whatever the other visits do."""
+    other = r["study"].isNotNull() & ~r["study"].eqNullSafe(new["shown"]["study"])
+    return _first_reason([
         (~state["latest"]["action"].isin(MOVABLE), "not scheduled or assigned"),
-        (~action.isin(S.STATUS), "unknown action"),
-        (ra.isNull(), "missing staff"),
+        (~new["action"].isin(S.STATUS), "unknown action"),
+        (new["ra"].isNull(), "missing staff"),
         (r["study"].isNotNull() & ~r["study_known"], "unknown study"),
         (other & F.exists(state["studies"], lambda x: x["study"] == r["study"]), "study exists"),
     ])
-    stays = new["vtimestamp"].eqNullSafe(state["vtimestamp"]) & new["vtype"].eqNullSafe(state["vtype"])
-    claims = reason.isNull() & new["vtimestamp"].isNotNull() & ~stays
-    reason = F.coalesce(reason, F.when(claims & F.array_contains(refused, r["order"]), "visit exists"))
-    return {**new, "action": action, "ra": ra, "claims": claims, "reason": reason}
 
 
-def _replayed(asked: DataFrame) -> DataFrame:
-    """Fold each visit's requests, in order, over its state; ``refused`` holds the orders of those that find their place taken.
+def _replayed(groups: DataFrame) -> DataFrame:
+    """Fold the requests of each group of visits, in order, over the visits' state: ``visits`` at the end, and ``log``.
 
-    ``log`` gets an entry for each request: its verdict, what it claims, and the place it leaves.
+    A claim is refused where another visit of the group or one of ``places`` has the place then, or its order is among
+    ``refused``. ``log`` has an entry for each request: its verdict, what it claims, and the place it leaves.
     """
-    kept = [*MOVED, "latest", "studies"]
-    types = {c: asked.schema[c].dataType.simpleString() for c in [*kept, "requests"]}
-    order = asked.schema["requests"].dataType.elementType["order"].dataType.simpleString()
-    entry = f"struct<order:{order},reason:string,claims:boolean,action:string,ra:string,vtimestamp:{types['vtimestamp']},vtype:string,from_vtimestamp:{types['vtimestamp']},from_vtype:string>"
-    state_type = "struct<" + ",".join(f"{c}:{types[c]}" for c in kept) + f",vstatus:string,log:array<{entry}>>"
-    none = F.lit(None).cast("string")
-    begin = F.struct(*kept, none.alias("vstatus"), F.array().cast(f"array<{entry}>").alias("log")).cast(state_type)
-
-    def replaced(state: Column, r: Column) -> Column:
-        shown, cohort = _shown(state["studies"], "study"), F.coalesce(r["cohort"], _shown(state["studies"], "cohort"))
-        return F.transform(state["studies"], lambda x: F.when(
-            x["study"] == shown, F.struct(x["was"].alias("was"), r["study"].alias("study"), cohort.alias("cohort"), F.lit(True).alias("touched"))).otherwise(x))
+    kind = groups.schema["visits"].dataType.simpleString()
+    one = groups.schema["visits"].dataType.elementType
+    order, when, key = (f.dataType.simpleString() for f in (groups.schema["requests"].dataType.elementType["order"], one["vtimestamp"], one["vid"]))
+    entry = (f"struct<order:{order},vid:{key},pid:{one['pid'].dataType.simpleString()},reason:string,claims:boolean,action:string,ra:string,"
+             f"vtimestamp:{when},vtype:string,from_vtimestamp:{when},from_vtype:string>")
+    state_type = f"struct<visits:{kind},log:array<{entry}>>"
+    begin = F.struct(F.col("visits"), F.array().cast(f"array<{entry}>").alias("log")).cast(state_type)
+
+    def replaced(me: Column, r: Column, shown: Column) -> Column:
+        new = F.struct(r["study"].alias("study"), F.coalesce(r["cohort"], shown["cohort"]).alias("cohort"))
+        return F.transform(me["studies"], lambda x: F.when(
+            x["study"] == shown["study"], F.struct(x["was"].alias("was"), new["study"].alias("study"), new["cohort"].alias("cohort"), F.lit(True).alias("touched"))).otherwise(x))
+
+    def moved(me: Column, r: Column, new: Column) -> Column:
+        # Latest is by time, a missing time counting as latest, and of equal ones the one added last.
+        late = new["vtimestamp"].isNull() | me["latest"].isNull() | (new["vtimestamp"] >= me["latest"]["since"])
+        added = F.struct(new["action"].alias("action"), new["ra"].alias("ra"), new["vtimestamp"].alias("since"))
+        latest = F.when(F.coalesce(late, F.lit(False)), added).otherwise(me["latest"])
+        studies = F.when(r["study"].isNotNull(), replaced(me, r, new["shown"])).otherwise(me["studies"])
+        return F.struct(me["vid"].alias("vid"), me["pid"].alias("pid"), *(new[c].alias(c) for c in MOVED), latest.alias("latest"),
+                        studies.alias("studies"), new["action"].alias("vstatus"))
+
+    def after(state: Column, me: Column, r: Column, new: Column, verdict: Column) -> Column:
+        line = F.struct(
+            r["order"].alias("order"), r["vid"].alias("vid"), me["pid"].alias("pid"), verdict["reason"].alias("reason"), verdict["claims"].alias("claims"),
+            new["action"].alias("action"), new["ra"].alias("ra"), new["vtimestamp"].alias("vtimestamp"), new["vtype"].alias("vtype"),
+            me["vtimestamp"].alias("from_vtimestamp"), me["vtype"].alias("from_vtype"))
+        visits = F.when(verdict["reason"].isNotNull(), state["visits"]).otherwise(bound(
+            moved(me, r, new), lambda m: F.transform(state["visits"], lambda v: F.when(v["vid"] == r["vid"], m).otherwise(v))))
+        return F.struct(visits.alias("visits"), F.concat(state["log"], F.array(line)).alias("log"))
 
     def step(state: Column, r: Column) -> Column:
-        got = _judge(state, r, F.col("refused"))
-        line = F.struct(
-            r["order"].alias("order"), got["reason"].alias("reason"), got["claims"].alias("claims"), got["action"].alias("action"), got["ra"].alias("ra"),
-            got["vtimestamp"].alias("vtimestamp"), got["vtype"].alias("vtype"), state["vtimestamp"].alias("from_vtimestamp"), state["vtype"].alias("from_vtype"))
-        log = F.concat(state["log"], F.array(line.cast(entry)))
-        # Latest is by time, a missing time counting as latest, and of equal ones the one added last.
-        late = got["vtimestamp"].isNull() | state["latest"].isNull() | (got["vtimestamp"] >= state["latest"]["since"])
-        added = F.struct(got["action"].alias("action"), got["ra"].alias("ra"), got["vtimestamp"].alias("since"))
-        latest = F.when(F.coalesce(late, F.lit(False)), added).otherwise(state["latest"])
-        studies = F.when(r["study"].isNotNull(), replaced(state, r)).otherwise(state["studies"])
-        moved = F.struct(*(got[c].alias(c) for c in MOVED), latest.alias("latest"), studies.alias("studies"), got["action"].alias("vstatus"), log.alias("log"))
-        same = F.struct(*(state[c].alias(c) for c in [*kept, "vstatus"]), log.alias("log"))
-        return F.when(got["reason"].isNull(), moved.cast(state_type)).otherwise(same.cast(state_type))
+        def judged(me: Column, new: Column) -> Column:
+            stays = new["vtimestamp"].eqNullSafe(me["vtimestamp"]) & new["vtype"].eqNullSafe(me["vtype"])
+            place = new["vtimestamp"].isNotNull() & ~stays
+            there = lambda v: (v["vtimestamp"] == new["vtimestamp"]) & (v["vtype"] == new["vtype"])
+            full = (F.array_contains(F.col("refused"), r["order"]) | F.exists(state["visits"], lambda v: (v["vid"] != r["vid"]) & there(v))
+                    | F.exists(F.col("places"), there))
+
+            def ruled(reason: Column) -> Column:
+                verdict = F.struct(F.when(reason.isNull() & place & full, "visit exists").otherwise(reason).alias("reason"), (reason.isNull() & place).alias("claims"))
+                return bound(verdict, lambda v: after(state, me, r, new, v))
+
+            return bound(_refusal(me, r, new), ruled)
+
+        me = F.get(F.filter(state["visits"], lambda v: v["vid"] == r["vid"]), F.lit(0))
+        return bound(me, lambda me: bound(_wanted(me, r), lambda new: judged(me, new)))
+
+    return groups.select(F.aggregate("requests", begin, step).alias("end")).select("end.*")
 
-    return asked.select("vid", "pid", F.aggregate("requests", begin, step).alias("end")).select("vid", "pid", "end.*")
+
+def _log(done: DataFrame, order: str) -> DataFrame:
+    return done.select(F.explode("log").alias("e")).select(F.col("e.order").alias(order), "e.*").drop("order")
 
 
 def _refused(log: DataFrame, held: DataFrame, order: str) -> DataFrame:
@@ -248,14 +273,41 @@ def _refused(log: DataFrame, held: DataFrame, order: str) -> DataFrame:
     events = held.select(
         *VISIT_KEY, F.lit(None).cast(log.schema[order].dataType).alias(order), F.lit(1).alias("come"), none.alias("vid"))
     claims = log.where("claims")
-    came = claims.select("pid", *_SLOT, order, F.when(ok, 1).otherwise(0).alias("come"), "vid")
+    came = claims.select(*VISIT_KEY, order, F.when(ok, 1).otherwise(0).alias("come"), "vid")
     left = claims.where(ok & F.col("from_vtimestamp").isNotNull()).select("pid", F.col("from_vtimestamp"), F.col("from_vtype"), order, F.lit(-1), none)
     before = W.partitionBy(*VISIT_KEY).orderBy(F.col(order).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
     met = events.union(came).union(left).withColumn("before", F.sum("come").over(before))
     return met.where(F.col("vid").isNotNull() & (F.col("before") > 0)).select("vid", order)
 
 
-def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id") -> ChangeSet:
+def _replayed_apart(asked: DataFrame, held: DataFrame, order: str) -> DataFrame:
+    """The same for persons with many requests: each visit by itself, the claims of all visits against each other.
+
+    Folds and claims alternate until no claim's verdict changes. A verdict depends on requests before it only, hence
+    the verdicts that agree with themselves are those of a replay one by one. Rounds grow with the longest chain of
+    places handed on.
+    """
+    kind = asked.schema["requests"].dataType.elementType["order"].dataType.simpleString()
+    none = F.array().cast(f"array<{kind}>")
+    alone = asked.select("vid", F.array("visit").alias("visits"), "requests", F.array().cast(PLACES).alias("places"))
+    refused = None
+    while True:
+        told = alone.withColumn("refused", none)
+        if refused is not None:
+            told = alone.join(refused.groupBy("vid").agg(F.collect_list(order).alias("refused")), "vid", "left").withColumn("refused", F.coalesce("refused", none))
+        done = written(_replayed(told), "reschedule")
+        now = written(_refused(_log(done, order), held, order), "reschedule")
+        if (now if refused is None else _unlike(now, refused, order)).isEmpty():
+            return done
+        refused = now
+
+
+def _unlike(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
+    """Orders that only one of two frames has."""
+    return a.join(b, order, "left_anti").select(order).union(b.join(a, order, "left_anti").select(order))
+
+
+def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: str = "req_id", together: int = 256) -> ChangeSet:
     """Move visits that have not happened: patch given fields, recompute the age, log an action.
 
     Requests act one after the other in ``order``, each on what the accepted ones before it left: several may move one
@@ -265,42 +317,43 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     rejected request asked for stays free. Only supplied notes are added; a supplied study replaces the one shown for
     the visit. A visit without any action may be moved.
 
-    A visit's requests are folded in its own row. Places tie visits to each other, so folds and claims alternate
-    until no claim's verdict changes. A verdict depends on requests before it only, hence the verdicts that agree with
-    themselves are those of a replay one by one; rounds grow with the longest chain of places handed on.
+    Visits meet in the places of their person only. The requests of a person with at most ``together`` of them are
+    folded over all the visits they name; for other persons each visit has a fold of its own, and the places are
+    settled between them. Both ways give the same result.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
     req = _with_columns(requests, wanted).select(order, *wanted)
     visit_types = {f.name: f.dataType for f in tables["visit"].schema}
     asked = _with_study_known(req.drop("notes"), tables, order).select("vid", F.struct(
-        F.col(order).alias("order"), *(F.col(c).cast(visit_types[c]).alias(c) for c in MOVED), "action", "ra", "study", "cohort",
+        F.col(order).alias("order"), "vid", *(F.col(c).cast(visit_types[c]).alias(c) for c in MOVED), "action", "ra", "study", "cohort",
         F.coalesce("_study_known", F.lit(False)).alias("study_known")).alias("request"))
     asked = asked.where(F.col("vid").isNotNull()).groupBy("vid").agg(F.array_sort(F.collect_list("request")).alias("requests"))
-    old = _old_rows(tables, req.select("vid").distinct()).select(
-        "vid", "pid", *MOVED, "latest", F.coalesce("studies", F.array().cast("array<struct<was:string,study:string,cohort:string,touched:boolean>>")).alias("studies"))
+    old = _old_rows(tables, req.select("vid").distinct()).select("vid", "pid", F.struct(
+        "vid", "pid", *MOVED, "latest", F.coalesce("studies", F.array().cast(STUDIES)).alias("studies"), F.lit(None).cast("string").alias("vstatus")).alias("visit"))
     asked = written(asked.join(old, "vid"), "reschedule")
-    pids = asked.select("pid").distinct()
-    held = tables["visit"].where(F.col("vtimestamp").isNotNull()).select(*VISIT_KEY)
-    held = broadcast_join(held, pids, ["pid"], "left_semi") if fits_broadcast([pids]) else held
-    refused = None
-    while True:
-        if refused is None:
-            told = asked.withColumn("refused", F.array().cast(f"array<{req.schema[order].dataType.simpleString()}>"))
-        else:
-            told = asked.join(refused.groupBy("vid").agg(F.collect_list(order).alias("refused")), "vid", "left")
-            told = told.withColumn("refused", F.coalesce("refused", F.array().cast(told.schema["refused"].dataType)))
-        done = written(_replayed(told), "reschedule")
-        log = done.select("vid", "pid", F.explode("log").alias("e")).select("vid", "pid", F.col("e.order").alias(order), "e.*").drop("order")
-        now = written(_refused(log, held, order), "reschedule")
-        if (now if refused is None else _unlike(now, refused, order)).isEmpty():
-            break
-        refused = now
+    # Only a time that a request gives, or that one of these visits has, can be claimed.
+    times = F.array_append(F.transform("requests", lambda r: r["vtimestamp"]), F.col("visit.vtimestamp"))
+    times = asked.select("pid", F.explode(times).alias("vtimestamp")).where(F.col("vtimestamp").isNotNull()).distinct()
+    held = lookup_join(tables["visit"].select("vid", *VISIT_KEY), times, ["pid", "vtimestamp"], "left_semi", spread_by=["vid"])
+    held = lookup_join(held, asked.select("vid"), ["vid"], "left_anti", unique=True)
+    many = written(asked.groupBy("pid").agg(F.sum(F.size("requests")).alias("n")).where(F.col("n") > together).select("pid"), "reschedule")
+    some = not many.isEmpty()
+    close = lookup_join(asked, many, ["pid"], "left_anti", spread_by=["vid"]) if some else asked
+    groups = close.groupBy("pid").agg(F.collect_list("visit").alias("visits"), F.array_sort(F.flatten(F.collect_list("requests"))).alias("requests"))
+    places = held.groupBy("pid").agg(F.collect_list(F.struct(*_SLOT)).alias("places"))
+    groups = groups.join(places, "pid", "left").withColumn("places", F.coalesce("places", F.array().cast(PLACES)))
+    done = _replayed(groups.withColumn("refused", F.array().cast(f"array<{req.schema[order].dataType.simpleString()}>")))
+    if some:
+        apart = written(lookup_join(asked, many, ["pid"], "left_semi", spread_by=["vid"]), "reschedule")
+        own = apart.select("visit.pid", "visit.vtimestamp", "visit.vtype").where(F.col("vtimestamp").isNotNull())
+        done = done.union(_replayed_apart(apart, own.union(held.select(*VISIT_KEY)), order))
+    done = written(done, "reschedule")
+    log = _log(done, order)
     lost = req.join(log.select(order), order, "left_anti").select(order, "vid", F.lit("unknown visit").alias("reason"))
     good = _numbered(log.where(F.col("reason").isNull()), order)
     notes = req.where(F.col("notes").isNotNull()).select(order, "notes").join(good.select(order, "pid", "vid", "ra"), order)
-    moved = done.where(F.col("vstatus").isNotNull())
-    person = tables["person"].select("pid", "dob")
-    ages = lookup_join(moved.drop("log", "latest", "studies"), person, ["pid"], "left", spread_by=["vid"])
+    moved = done.select(F.explode("visits").alias("v")).select("v.*").where(F.col("vstatus").isNotNull())
+    ages = lookup_join(moved.drop("latest", "studies"), tables["person"].select("pid", "dob"), ["pid"], "left", spread_by=["vid"])
     studies = moved.select("vid", F.explode("studies").alias("s")).where("s.touched").dropDuplicates(["vid", "s"])
     return ChangeSet(
         add={
@@ -320,11 +373,6 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     )
 
 
-def _unlike(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
-    """Orders that only one of two frames has."""
-    return a.join(b, order, "left_anti").select(order).union(b.join(a, order, "left_anti").select(order))
-
-
 def cancel_visits(requests: DataFrame, tables: Tables) -> ChangeSet:
     """Remove visits that are only scheduled or assigned, with their actions, studies and notes.
 

@@ -240,10 +240,10 @@ def plain_reschedule(requests, tables):
     return out
 
 
-def check_replay(spark, tables, requests):
+def check_replay(spark, tables, requests, together):
     schema = "req_id long, vid long, vtimestamp timestamp_ntz, vtype string, action string, ra string, study string, cohort string"
     req = spark.createDataFrame(requests, schema)
-    done = changes.reschedule_visits(req, tables, NOW)
+    done = changes.reschedule_visits(req, tables, NOW, together=together)
     want = plain_reschedule(req.collect(), tables)
     assert {r.req_id: r.reason for r in done.rejected.collect()} == want["rejected"]
     assert [(r.vid, r.action, r.ra, r.vatimestamp) for r in done.add["visit_action"].orderBy("aid").collect()] == want["actions"]
@@ -254,7 +254,8 @@ def check_replay(spark, tables, requests):
     return want
 
 
-def test_reschedule_chains_and_swaps(spark, tables):
+@pytest.mark.parametrize("together", [256, 0])
+def test_reschedule_chains_and_swaps(spark, tables, together):
     """A place is free once its visit left, taken while its visit's move is refused, and two visits swap by way of a third place."""
     visit = [(k, 1, "MEG", None, 1.0, 20.0, TS(2020, 1, k), 1, None, "sched") for k in range(1, 9)]
     tables = {**tables, "visit": spark.createDataFrame(visit, TABLES["visit"].columns),
@@ -264,14 +265,14 @@ def test_reschedule_chains_and_swaps(spark, tables):
         move(1, 1, 20), move(2, 2, 1), move(3, 3, 2), move(4, 4, 3), move(5, 5, 4),  # each takes the place left before
         move(6, 6, 21), move(7, 7, 6), move(8, 6, 7),  # a swap
         move(9, 8, 20, "maybe"), move(10, 8, 20), move(11, 1, 8), move(12, 8, 20), move(13, 2, 20), move(14, None, 9), move(15, 77, 9),
-        move(16, 3, 2, "complete"), move(17, 3, 30),
-    ])
+        move(16, 3, 25, "complete"), move(17, 3, 30),
+    ], together)
     assert want["rejected"] == {9: "unknown action", 10: "visit exists", 11: "visit exists", 12: "visit exists", 13: "visit exists", 14: "unknown visit",
                                 15: "unknown visit", 17: "not scheduled or assigned"}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_reschedule_equals_a_replay(spark, tables, seed):
+@pytest.mark.parametrize(("seed", "together"), [(1, 256), (1, 0), (2, 40)])
+def test_reschedule_equals_a_replay(spark, tables, seed, together):
     import random
 
     draw = random.Random(seed)
@@ -285,4 +286,4 @@ def test_reschedule_equals_a_replay(spark, tables, seed):
               "visit_study": spark.createDataFrame([(*x, pick("c", "d")) for x in study], TABLES["visit_study"].columns)}
     requests = [(k, draw.randrange(22), pick(TS(2020, 1, draw.randint(1, 12)), None), pick("MEG", "Scan", None), pick(None, None, None, "assigned", "maybe", "cancelled"),
                  pick("r", None), pick("A", "B", "C", "D", None, None), pick("e", None)) for k in range(120)]
-    check_replay(spark, tables, requests)
+    check_replay(spark, tables, requests, together)
