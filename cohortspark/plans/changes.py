@@ -24,7 +24,7 @@ from ..operators import identity
 from ..operators.aggs import count_guards
 from ..operators.joins import broadcast_join, fits_broadcast, lookup_join, star_join
 from ..session import written
-from ..sources.snapshot import INGEST_TS, aligned, load_snapshot, revise_snapshot, save_freshness, stamped
+from ..sources.snapshot import INGEST_TS, aligned, load_snapshot, revise_snapshot, save_freshness, sequence, stamped
 
 Tables = Mapping[str, DataFrame]
 VISIT_KEY = ["pid", "vtimestamp", "vtype"]
@@ -399,6 +399,51 @@ def cancel_visits(requests: DataFrame, tables: Tables) -> ChangeSet:
     )
 
 
+ACTION = {"vid": "long", "action": "string", "ra": "string", "vatimestamp": "timestamp_ntz"}
+
+
+def record_actions(actions: DataFrame, tables: Tables, order: str = "req_id", key: str | None = None) -> ChangeSet:
+    """Log actions, and let each visit's status follow the one with the greatest key.
+
+    Accepted actions are numbered after the largest key in ``order``, or bring their own in column ``key``: a late batch
+    may hold keys below those that are there, which then change no status, and keys that are there already
+    or come twice in the batch are rejected, so that a repeated batch is harmless. The visit must exist, the action be
+    known and the staff be given. Rows of one visit are reduced to their greatest key where they lie.
+    """
+    wanted = {**ACTION, **({key: "long"} if key else {})}
+    told = _with_columns(actions, wanted).select(order, *wanted)
+    known = tables["visit"].select("vid").withColumn("_known", F.lit(True))
+    found = lookup_join(told, known, ["vid"], "left", spread_by=[order])
+    reasons = [
+        (F.col("_known").isNull(), "unknown visit"),
+        (F.col("action").isNull() | ~F.col("action").isin(S.STATUS), "unknown action"),
+        (F.col("ra").isNull(), "missing staff"),
+    ]
+    if key:
+        used = tables["visit_action"].select(F.col("aid").alias(key)).withColumn("_used", F.lit(True))
+        asked = told.select(key).distinct()
+        used = broadcast_join(used, asked, [key], "left_semi") if fits_broadcast([asked]) else used
+        firsts = told.groupBy(key).agg(F.min(order).alias("_first"))
+        state = firsts.join(used, key, "left")
+        found = lookup_join(found, state, [key], "left", spread_by=[order], bound_by=[told])
+        reasons += [(F.col(key).isNull(), "missing key"), (F.col("_used").isNotNull() | (F.col(order) != F.col("_first")), "repeated key")]
+    judged = written(found.withColumn("reason", _first_reason(reasons)).select(*told.columns, "reason"), "actions")
+    good = judged.where(F.col("reason").isNull()).drop("reason")
+    if key:
+        good = good.withColumn("aid", F.col(key))
+    else:
+        good = _numbered(good, order).withColumn("aid", _key(tables["visit_action"], "aid"))
+    last = good.groupBy("vid").agg(F.max(F.struct("aid", "action")).alias("_last"))
+    if key:
+        before = _of_requested(last.select("vid"))(tables["visit_action"].select("vid", "aid")).groupBy("vid").agg(F.max("aid").alias("_before"))
+        last = last.join(before, "vid", "left").where(F.col("_before").isNull() | (F.col("_last.aid") > F.col("_before")))
+    return ChangeSet(
+        add={"visit_action": good.select("aid", "vid", "action", "ra", "vatimestamp")},
+        update={"visit": (["vid"], last.select("vid", F.col("_last.action").alias("vstatus")))},
+        rejected=judged.where(F.col("reason").isNotNull()).select(order, "vid", "reason"),
+    )
+
+
 def _updated(current: DataFrame, keys: Sequence[str], new: DataFrame) -> DataFrame:
     """Replace columns of the rows named by ``keys``; ``_old_x`` is matched against column ``x``."""
     own = {k: k.removeprefix("_old_") for k in keys}
@@ -415,19 +460,23 @@ def _updated(current: DataFrame, keys: Sequence[str], new: DataFrame) -> DataFra
     )
 
 
-def commit_changes(spark: SparkSession, base: str, changes: ChangeSet, ingest_ts: str | None = None) -> str:
+def commit_changes(
+    spark: SparkSession, base: str, changes: ChangeSet, ingest_ts: str | None = None, based_on: int | None = None
+) -> str:
     """Publish the current snapshot with a change set applied, all tables at once.
 
     Tables that only gain rows get a further folder; only updated and deleted-from tables are
-    rewritten.
+    rewritten. ``based_on`` is the ``sequence`` of the bundle that the change set was made from; a bundle
+    published since is an error then, as is one published while this one is written.
     """
+    based_on = sequence(spark, base) if based_on is None else based_on
     current = load_snapshot(spark, base)
     if ingest_ts is not None:
         changes = _stamped_changes(changes, current, ingest_ts)
     after = apply_changes(current, changes)
     rewritten = {n: after[n] for n in {*changes.update, *changes.delete}}
     grown = {n: df for n, df in changes.add.items() if n not in rewritten}
-    snapshot = revise_snapshot(spark, base, append=grown, replace=rewritten, ingest_ts=ingest_ts)
+    snapshot = revise_snapshot(spark, base, append=grown, replace=rewritten, ingest_ts=ingest_ts, based_on=based_on)
     if ingest_ts is not None:
         save_freshness(spark, base)
     return snapshot

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.jsons import json_text
 from ..plans import changes
 from ..session import new_path
+from ..sources import snapshot
 from ..streaming import status
 from .base import query
 from .standin import AS_OF, _recode, ACTION_OF, cases, domain, load, sql
@@ -223,6 +224,69 @@ def _(spark, d):
     return _move(spark, d).rejected
 
 
+# Two batches of actions: one per order, numbered on; then a late one that brings its keys, some of them old, some there already.
+_LOGGED = """select o_orderkey as req_id, case when o_orderkey % 31 = 0 then -1 else o_orderkey end as vid,
+    case o_orderkey % 5 when 0 then 'cancelled' when 1 then 'checkedin' when 2 then 'maybe' else 'complete' end as action,
+    case when o_orderkey % 13 <> 0 then 'ra' || (o_orderkey % 3) end as ra, o_orderdate as vatimestamp from orders where o_orderkey % 3 <> 0"""
+_LATE = """select o_orderkey as req_id, o_orderkey as vid, case o_orderkey % 4 when 0 then 'noshow' else 'sched' end as action, 'late' as ra,
+    o_orderdate as vatimestamp, case o_orderkey % 4 when 0 then 2000000000 + o_orderkey // 8 when 1 then -o_orderkey - 1 else o_orderkey // 2 end as aid from orders"""
+_FIRST = """select (select max(aid) from visit_action) + row_number() over (order by req_id) as aid, vid, action, ra, vatimestamp from logged
+    where vid in (select vid from visit) and action <> 'maybe' and ra is not null"""
+_SECOND = """select aid, vid, action, ra, vatimestamp from late where vid in (select vid from visit)
+    and aid not in (select aid from visit_action union all select aid from firsts) qualify row_number() over (partition by aid order by req_id) = 1"""
+_ACTS = {"logged": _LOGGED, "late": _LATE, "firsts": _FIRST, "seconds": _SECOND,
+         "every": "select aid, vid, action, ra, vatimestamp from visit_action union all select * from firsts union all select * from seconds"}
+
+
+def _first_actions(spark, d):
+    k, c = F.col("o_orderkey"), F.col
+    return load(spark, d, "orders").where(k % 3 != 0).select(
+        k.alias("req_id"), F.when(k % 31 == 0, -1).otherwise(k).alias("vid"), cases(k, "cancelled", "checkedin", "maybe", "complete", "complete").alias("action"),
+        F.when(k % 13 != 0, F.concat(F.lit("ra"), (k % 3).cast("string"))).alias("ra"), c("o_orderdate").alias("vatimestamp"))
+
+
+def _record(spark, d):
+    """The tables after both batches."""
+    k, c = F.col("o_orderkey"), F.col
+    t = domain(spark, d, "visit", "visit_action")
+    t = changes.apply_changes(t, changes.record_actions(_first_actions(spark, d), t))
+    late = load(spark, d, "orders").select(
+        k.alias("req_id"), k.alias("vid"), cases(k, "noshow", "sched", "sched", "sched").alias("action"), F.lit("late").alias("ra"), c("o_orderdate").alias("vatimestamp"),
+        F.when(k % 4 == 0, F.floor(k / 8) + 2_000_000_000).when(k % 4 == 1, -k - 1).otherwise(F.floor(k / 2)).alias("aid"))
+    return changes.apply_changes(t, changes.record_actions(late, t, key="aid"))
+
+
+@query(
+    "record_actions",
+    sql("visit visit_action", """select vid, vtype, case when vid in (select vid from firsts union all select vid from seconds)
+        and l.aid not in (select aid from visit_action) then l.action else vstatus end as vstatus, l.aid as last_aid, l.n as n_actions
+        from visit left join (select vid, max(aid) as aid, arg_max(action, aid) as action, count(*) as n from every group by vid) l using (vid)""", **_ACTS),
+)
+def _(spark, d):
+    t = _record(spark, d)
+    last = t["visit_action"].groupBy("vid").agg(F.max("aid").alias("last_aid"), F.count("*").alias("n_actions"))
+    return t["visit"].select("vid", "vtype", "vstatus").join(last, "vid", "left")
+
+
+@query(
+    "freshness_after_commit",
+    sql("visit visit_action", """select 'visit' as tbl, case when vid in (select vid from firsts) then timestamp '2024-05-01' else timestamp '2020-01-01' end
+            as ingest_ts, count(*) as n from visit group by 2
+        union all select 'visit_action', timestamp '2020-01-01', count(*) from visit_action
+        union all select 'visit_action', timestamp '2024-05-01', count(*) from firsts
+        union all select 'last_update', timestamp '2024-05-01', 2""", **_ACTS),
+)
+def _(spark, d):
+    base = new_path(spark, "fresh")
+    snapshot.append_tables(domain(spark, d, "visit", "visit_action"), base, ingest_ts="2020-01-01")
+    at, t = snapshot.sequence(spark, base), snapshot.load_snapshot(spark, base)
+    changes.commit_changes(spark, base, changes.record_actions(_first_actions(spark, d), t), ingest_ts="2024-05-01", based_on=at)
+    t = snapshot.load_snapshot(spark, base)
+    marks = spark.read.parquet(f"{base}/last_update").agg(F.max("last_update").alias("ingest_ts"), F.count("*").alias("n"))
+    rows = [t[n].groupBy("ingest_ts").agg(F.count("*").alias("n")).select(F.lit(n).alias("tbl"), "ingest_ts", "n") for n in ("visit", "visit_action")]
+    return rows[0].union(rows[1]).union(marks.select(F.lit("last_update").alias("tbl"), "ingest_ts", "n"))
+
+
 _HELD = """select r.vid, v.vid is not null as known,
     (select count(*) from visit_action a where a.vid = r.vid and a.action not in ('sched', 'assigned'))
     + (select count(*) from visit_enroll e where e.vid = r.vid)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -21,6 +22,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False when there is one already. Of several callers one gets True."""
+    fs, p = _at(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _at(spark, path)
     fs.delete(p, True)

@@ -2,7 +2,8 @@
 
 Every write goes to fresh folders. One row appended to ``published`` then names the folders that
 make up each table, so a reader sees either the old bundle or all of the new one, and a change
-writes only the tables it touches. One writer per target is assumed.
+writes only the tables it touches. Each row has a number one above that of the bundle it was made from, and a
+number is given out once: of two writers that start from one bundle the second gets an error, never a lost change.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import exists
+from .files import create_new, exists
 
 INGEST_TS = "ingest_ts"
 ENTRY = "snapshot string, seq long, tables map<string, array<string>>"
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published since, or is about to."""
+
+
 def stamped(df: DataFrame, ingest_ts: str | None) -> DataFrame:
     return df if ingest_ts is None else df.withColumn(INGEST_TS, F.lit(ingest_ts).cast("timestamp_ntz"))
 
@@ -39,9 +44,19 @@ def _write(tables: Mapping[str, DataFrame], base: str, snapshot: str) -> dict[st
     return folders
 
 
-def _publish(spark: SparkSession, base: str, snapshot: str, folders: Mapping[str, list[str]]) -> str:
+def sequence(spark: SparkSession, base: str) -> int:
+    """The number of the bundle published last, 0 before the first."""
     last = current_snapshot(spark, base)
-    entry = spark.createDataFrame([(snapshot, last[1] + 1 if last else 1, dict(folders))], ENTRY)
+    return last[1] if last else 0
+
+
+def _publish(spark: SparkSession, base: str, snapshot: str, folders: Mapping[str, list[str]], based_on: int) -> str:
+    """Publish the change that follows ``based_on``; readers skip the claim, a file with a leading underscore."""
+    seq = based_on + 1
+    claim = f"{base}/published/_claim-{seq:012d}"
+    if sequence(spark, base) != based_on or not create_new(spark, claim):
+        raise ConcurrentWrite(f"{base} has a change {seq} of another writer; if that writer failed before it published, remove {claim}")
+    entry = spark.createDataFrame([(snapshot, seq, dict(folders))], ENTRY)
     entry.coalesce(1).write.mode("append").parquet(f"{base}/published")
     return snapshot
 
@@ -49,14 +64,17 @@ def _publish(spark: SparkSession, base: str, snapshot: str, folders: Mapping[str
 def write_snapshot(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | None = None) -> str:
     """Write all tables as a new bundle and publish it; returns its id."""
     spark = next(iter(tables.values())).sparkSession
-    snapshot = uuid4().hex
+    snapshot, based_on = uuid4().hex, sequence(spark, base)
     frames = {n: stamped(df, ingest_ts) for n, df in tables.items()}
-    return _publish(spark, base, snapshot, _write(frames, base, snapshot))
+    return _publish(spark, base, snapshot, _write(frames, base, snapshot), based_on)
 
 
 def load_snapshot(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The tables of the bundle published last."""
-    found = current_snapshot(spark, base)
+    return _tables(spark, base, current_snapshot(spark, base))
+
+
+def _tables(spark: SparkSession, base: str, found: tuple[str, int, dict[str, list[str]]] | None) -> dict[str, DataFrame]:
     if found is None:
         raise FileNotFoundError(f"no published snapshot in {base}")
     return {n: spark.read.parquet(*[f"{base}/{f}" for f in folders]) for n, folders in found[2].items()}
@@ -82,10 +100,17 @@ def revise_snapshot(
     append: Mapping[str, DataFrame] | None = None,
     replace: Mapping[str, DataFrame] | None = None,
     ingest_ts: str | None = None,
+    based_on: int | None = None,
 ) -> str:
-    """Publish the current bundle with rows appended to some tables and others replaced."""
-    current = load_snapshot(spark, base)
-    folders = current_snapshot(spark, base)[2]
+    """Publish the current bundle with rows appended to some tables and others replaced.
+
+    ``based_on`` is the number of the bundle that the frames were made from, if that was read before.
+    """
+    found = current_snapshot(spark, base)
+    current = _tables(spark, base, found)
+    if based_on is not None and based_on != found[1]:
+        raise ConcurrentWrite(f"{base} is at change {found[1]}, not at {based_on}")
+    folders, based_on = found[2], found[1]
     snapshot = uuid4().hex
     new = {n: aligned(stamped(df, ingest_ts), current[n], n) for n, df in (append or {}).items()}
     added = _write(new, base, f"{snapshot}/added")
@@ -93,7 +118,7 @@ def revise_snapshot(
     after = {**folders, **replaced}
     for name, extra in added.items():
         after[name] = [*after[name], *extra]
-    return _publish(spark, base, snapshot, after)
+    return _publish(spark, base, snapshot, after, based_on)
 
 
 def append_tables(tables: Mapping[str, DataFrame], base: str, ingest_ts: str | None = None) -> str:

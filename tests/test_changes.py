@@ -1,6 +1,7 @@
 """Change sets: guards, numbering, and undoing a registration."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,3 +288,70 @@ def test_reschedule_equals_a_replay(spark, tables, seed, together):
     requests = [(k, draw.randrange(22), pick(TS(2020, 1, draw.randint(1, 12)), None), pick("MEG", "Scan", None), pick(None, None, None, "assigned", "maybe", "cancelled"),
                  pick("r", None), pick("A", "B", "C", "D", None, None), pick("e", None)) for k in range(120)]
     check_replay(spark, tables, requests, together)
+
+
+ACTION = "req_id long, vid long, action string, ra string, vatimestamp timestamp_ntz, aid long"
+
+
+def test_record_actions_moves_status_by_greatest_key(spark, tables):
+    rows_ = [(1, 1, "checkedin", "r", TS(2020, 5, 1), None), (2, 1, "complete", "r", TS(2019, 1, 1), None), (3, 99, "sched", "r", None, None),
+             (4, 2, "maybe", "r", None, None), (5, 2, None, "r", None, None), (6, 3, "noshow", None, None, None), (7, None, "sched", "r", None, None), (8, 5, "noshow", "r", None, None)]
+    done = changes.record_actions(spark.createDataFrame(rows_, ACTION), tables)
+    assert rows(done.add["visit_action"].select("aid", "vid", "action")) == [(6, 1, "checkedin"), (7, 1, "complete"), (8, 5, "noshow")]
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {
+        3: "unknown visit", 4: "unknown action", 5: "unknown action", 6: "missing staff", 7: "unknown visit"}
+    after = changes.apply_changes(tables, done)
+    assert {r.vid: r.vstatus for r in after["visit"].collect()} == {1: "complete", 2: "resched", 3: "sched", 4: "complete", 5: "noshow"}
+
+
+def test_record_late_actions_with_keys(spark, tables):
+    """A key below those that are there changes no status, and the same batch again changes nothing."""
+    rows_ = [(1, 2, "noshow", "r", None, 0), (2, 2, "other", "r", None, 3), (3, 3, "checkedin", "r", None, 50), (4, 3, "complete", "r", None, 50),
+             (5, 1, "checkedin", "r", None, 40), (6, 1, "sched", "r", None, 39), (7, 1, "sched", "r", None, None)]
+    batch = spark.createDataFrame(rows_, ACTION)
+    done = changes.record_actions(batch, tables, key="aid")
+    assert {r.req_id: r.reason for r in done.rejected.collect()} == {2: "repeated key", 4: "repeated key", 7: "missing key"}
+    after = changes.apply_changes(tables, done)
+    assert {r.vid: r.vstatus for r in after["visit"].collect()} == {1: "checkedin", 2: "resched", 3: "checkedin", 4: "complete", 5: None}
+    again = changes.record_actions(batch, after, key="aid")
+    assert again.add["visit_action"].count() == 0 and again.update["visit"][1].count() == 0
+
+
+@pytest.mark.parametrize("cuts", [(3, 7, 12), (6, 12)])
+def test_recorded_batches_equal_the_latest_of_all(spark, tables, cuts):
+    """Batches in any cut and order of keys leave the status that one pass over all actions gives, and so does the stream's rule."""
+    keys = [17, 3, 8, 40, 12, 39, 9, 2, 28, 11, 31, 6]
+    log = [(k, 1 + k % 5, ("sched", "noshow", "complete", "checkedin")[k % 4], "r", None, 100 + k) for k in keys]
+    now, since = tables, 0
+    for until in cuts:
+        now = changes.apply_changes(now, changes.record_actions(spark.createDataFrame(log[since:until], ACTION), now, key="aid"))
+        since = until
+    want = changes.apply_latest_status(tables["visit"], now["visit_action"])
+    touched = {1 + k % 5 for k in keys}
+    status = lambda df: {r.vid: r.vstatus for r in df.collect() if r.vid in touched}
+    assert status(now["visit"]) == status(want)
+    from cohortspark.streaming.status import latest_status_of
+
+    assert status(now["visit"]) == {r.vid: r.status for r in latest_status_of(now["visit_action"]).collect() if r.vid in touched}
+
+
+def test_of_two_writers_one_gets_an_error(spark, tables, tmp_path):
+    base = str(tmp_path)
+    snapshot.write_snapshot(tables, base)
+    at, seen = snapshot.sequence(spark, base), snapshot.load_snapshot(spark, base)
+    action = lambda vid: changes.record_actions(spark.createDataFrame([(1, vid, "noshow", "r", None, None)], ACTION), seen)
+    one, two = action(1), action(2)
+    changes.commit_changes(spark, base, one, based_on=at)
+    with pytest.raises(snapshot.ConcurrentWrite):
+        changes.commit_changes(spark, base, two, based_on=at)
+    after = snapshot.load_snapshot(spark, base)
+    assert {r.vid: r.vstatus for r in after["visit"].collect()} == {1: "noshow", 2: "resched", 3: "sched", 4: "complete", 5: None}
+    assert snapshot.sequence(spark, base) == at + 1
+    # A claim without an entry, as a writer in the midst of publishing leaves it, is an error too.
+    claim = f"{base}/published/_claim-{at + 2:012d}"
+    open(claim, "w").close()
+    with pytest.raises(snapshot.ConcurrentWrite, match="remove"):
+        changes.commit_changes(spark, base, two)
+    os.remove(claim)
+    changes.commit_changes(spark, base, two)
+    assert {r.vid: r.vstatus for r in snapshot.load_snapshot(spark, base)["visit"].collect()}[2] == "noshow"
