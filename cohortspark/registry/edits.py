@@ -4,12 +4,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.jsons import json_text
-from ..plans import changes
-from ..session import new_path
+from ..plans import changes, refresh, views
+from ..session import new_path, written
 from ..sources import snapshot
 from ..streaming import status
 from .base import query
-from .standin import AS_OF, _recode, ACTION_OF, cases, domain, load, sql
+from .reports import SUMMARY
+from .standin import AS_OF, CTE, _recode, ACTION_OF, cases, domain, load, sql
 
 # Requests: one per order, some of them invalid.
 _NEW = """select o_orderkey as req_id, case when o_orderkey % 11 = 0 then -1 - o_custkey else o_custkey end as pid,
@@ -287,6 +288,18 @@ def _(spark, d):
     return rows[0].union(rows[1]).union(marks.select(F.lit("last_update").alias("tbl"), "ingest_ts", "n"))
 
 
+@query(
+    "refresh_visit_summary",
+    sql("visit person visit_study note dropcode", SUMMARY, logged=_LOGGED, old_action=CTE["visit_action"], firsts=_FIRST.replace("visit_action", "old_action"),
+        visit_action="select aid, vid, action, ra, vatimestamp from old_action union all select * from firsts"),
+)
+def _(spark, d):
+    before = domain(spark, d, "visit", "person", "visit_action", "visit_study", "note")
+    done = changes.record_actions(_first_actions(spark, d), before)
+    stored = written(views.visit_summary(before), "stored")
+    return refresh.refresh_view("visit_summary", stored, done, before, changes.apply_changes(before, done))
+
+
 _HELD = """select r.vid, v.vid is not null as known,
     (select count(*) from visit_action a where a.vid = r.vid and a.action not in ('sched', 'assigned'))
     + (select count(*) from visit_enroll e where e.vid = r.vid)

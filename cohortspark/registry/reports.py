@@ -51,9 +51,7 @@ def _(spark, d):
     return views.person_all_notes(domain(spark, d, "note"))
 
 
-@query(
-    "visit_summary",
-    sql("visit person visit_action visit_study note dropcode", f"""select
+SUMMARY = f"""select
         (select first(action order by vatimestamp desc nulls first, aid desc) from visit_action where vid = v.vid) as action,
         (select first(ra order by vatimestamp desc nulls first, aid desc) from visit_action where vid = v.vid) as ra,
         (select first(study order by study, cohort) from visit_study where vid = v.vid) as study,
@@ -62,7 +60,12 @@ def _(spark, d):
         case when exists (select 1 from note n where n.vid = v.vid) then {_set_of('n.note', 'note n where n.vid = v.vid')} end as notes,
         (select max(dropcode) from note where vid = v.vid) as dvisit, {_level('n.pid = v.pid')} as dperson,
         vid, pid, vtype, vtimestamp, vscore, dur_hr, visitno, googleuri
-        from visit v where pid in (select pid from person)"""),
+        from visit v where pid in (select pid from person)"""
+
+
+@query(
+    "visit_summary",
+    sql("visit person visit_action visit_study note dropcode", SUMMARY),
 )
 def _(spark, d):
     return views.visit_summary(
