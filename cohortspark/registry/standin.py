@@ -479,4 +479,5 @@ CTE = {
 def sql(needs: str, body: str, **more: str) -> str:
     """``body`` after the named table expressions; ``more`` adds expressions of the query's own."""
     parts = [f"{n} as ({CTE[n]})" for n in needs.split()] + [f"{n} as ({q})" for n, q in more.items()]
-    return f"with recursive {', '.join(parts)} {body}" if parts else body
+    recursive = "recursive " if any(f"from {n} " in q for n, q in more.items()) else ""
+    return f"with {recursive}{', '.join(parts)} {body}" if parts else body
