@@ -1,14 +1,17 @@
 """Line dedup: find runs of lines that occurred before by winnowing, and delete the later ones.
 
-Lines without a word don't count. A window is the shortest run of lines from a line onward, or up to a
-line, that holds ``least_words`` words. Its fingerprint is its line with the least hash. A run of lines with that
-many words holds at least one whole window, so two places that share such a run share a fingerprint.
-
-Fingerprints that occur at two places or more are joined by hash. Around each, the match is extended both ways:
-of the windows that the fingerprint stands for, forward and backward ones, those that occurred earlier are
-repeats. Every line of a repeated run lies in one of its windows, so their union is the whole run. A line goes
-if it lies in a repeated window; the first place of a line always stays, as nothing precedes it. The order is
-that of document number, then place in the text. Everything here is DataFrame expressions.
+Lines are compared by their words; lines without a word don't count. A window is a run of words: either the shortest
+run of whole lines from a line onward, or up to a line, that holds ``least_words`` words, or exactly ``least_words``
+words around a whole line, which begin and end in other lines. The fingerprint of a window is its line with the least hash, of
+those that no end of the window can cut. Two places that share a window share its fingerprint.
+
+Fingerprints that occur at two places or more are joined by hash. Around each, the match is extended both ways: the
+windows of whole lines go forward and backward line by line, the others word by word into the partly equal lines at both ends.
+Windows that occurred earlier are repeats. Every word of a repeated run within reach of a window lies in one,
+so their union is the run. A word goes if it lies in a repeated window; the first place of a passage
+always stays, as nothing precedes it. The order is that of document number, then place in the text.
+A passage without a whole line between two line breaks, and under ``least_words`` words of whole lines, has no fingerprint and stays;
+so do words of a partly equal line that lie further than ``least_words`` from its end. Everything here is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -22,37 +25,62 @@ from ..session import written
 #: A repeated run goes if it has as many words.
 LEAST_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
-BLANKS = " \t\x0b\x0c\r"
+#: A word with the blanks before it.
+PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\x0c\r"
 KEY = ["_id", "_text"]
 
 
-def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """A text's own key: its document number and a hash, as numbers may be null or repeat."""
-    return docs.withColumns({"_id": F.col(id_col), "_text": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+def _pieces(text) -> Column:
+    return F.regexp_extract_all(text, F.lit(PIECE), 0)
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
-def text_lines(docs: DataFrame, text: str) -> DataFrame:
-    """Lines with a word: place, number of words, hash. Texts that are wholly equal give their lines once."""
-    split = docs.select(*KEY, F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))
-    split = split.select(*KEY, "pos", F.regexp_count("line", F.lit(WORD)).cast("long").alias("words"),
-                         F.unhex(F.md5(F.btrim("line", F.lit(BLANKS)))).alias("hash"))
-    return split.filter("words > 0").repartition(*KEY).dropDuplicates([*KEY, "pos"])
+def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The whole row, its text, and a key of its own: document number and a hash of the text, as numbers may be null or repeat."""
+    told = F.col(text)
+    return docs.select(F.struct(*docs.columns).alias("row"), told.alias("text"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(told, F.lit(""))).alias("_text"))
+
 
+def text_lines(keyed: DataFrame, least_words: int) -> DataFrame:
+    """Lines with a word: number of words, words of the text before (``since``) and with it (``until``), hash.
 
-def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """A row for each fingerprint place: ``mark`` (the least line hash), and the windows it stands for."""
+    ``lowest`` and ``highest`` bound the starts of the windows of ``least_words`` words whose fingerprint the line is: they have a word
+    at least of the line before and of the line after, and no other whole line between two breaks has a lesser hash (the first of equal ones counts).
+    Rows that are wholly equal give their lines once.
+    """
+    split = keyed.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    split = split.select(*KEY, "pos", F.regexp_extract_all("line", F.lit(WORD), 0).alias("line"))
+    split = split.select(*KEY, "pos", F.size("line").cast("long").alias("words"), _digest(F.array_join("line", " ")).alias("hash"))
+    lines = split.filter("words > 0").repartition(*KEY).dropDuplicates([*KEY, "pos"])
+    by_doc = W.partitionBy(*KEY)
+    until = F.sum("words").over(by_doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
+    lines = lines.withColumns({"until": until, "total": F.sum("words").over(by_doc)}).withColumn("since", F.col("until") - F.col("words"))
+    before = F.collect_list(F.struct("hash", "since")).over(by_doc.orderBy("since").rangeBetween(-least_words, -1))
+    after = F.collect_list(F.struct("hash", "until")).over(by_doc.orderBy("until").rangeBetween(1, least_words))
+    lines = lines.withColumns({"before": before, "after": after})
+    left = F.array_max(F.transform(F.filter("before", lambda x: x["hash"] <= F.col("hash")), lambda x: x["since"]))
+    right = F.array_min(F.transform(F.filter("after", lambda x: x["hash"] < F.col("hash")), lambda x: x["until"]))
+    lowest = F.greatest(F.col("until") + (1 - least_words), left, F.lit(0).cast("long"))
+    highest = F.least(F.col("since") - 1, F.col("total") - least_words, right - least_words)
+    return lines.select(*KEY, "words", "since", "until", "hash", lowest.alias("lowest"), highest.alias("highest"))
+
+
+def line_windows(lines: DataFrame, least_words: int) -> DataFrame:
+    """A row for each fingerprint place: ``mark`` (the least line hash), and the windows of whole lines it stands for."""
     by_doc = W.partitionBy(*KEY)
-    so_far = F.sum("words").over(by_doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-    lines = lines.withColumn("until", so_far).withColumn("since", F.col("until") - F.col("words"))
     onward = by_doc.orderBy("since").rangeBetween(0, least_words - 1)
     back = by_doc.orderBy("until").rangeBetween(-(least_words - 1), 0)
 
     def over(frame) -> Column:
         hashes = F.collect_list("hash").over(frame)
         return F.struct(
-            F.min("pos").over(frame).alias("start"), F.max("pos").over(frame).alias("end"), F.sum("words").over(frame).alias("words"),
-            F.min(F.struct("hash", (-F.col("pos")).alias("at"))).over(frame).alias("least"),
-            F.unhex(F.md5(F.to_binary(F.array_join(F.transform(hashes, F.hex), ""), F.lit("hex")))).alias("key"))
+            F.min("since").over(frame).alias("start"), (F.max("until").over(frame) - 1).alias("end"), F.sum("words").over(frame).alias("words"),
+            F.min(F.struct("hash", (-F.col("since")).alias("at"))).over(frame).alias("least"),
+            _digest(F.to_binary(F.array_join(F.transform(hashes, F.hex), ""), F.lit("hex"))).alias("key"))
 
     both = lines.select(*KEY, over(onward).alias("onward"), over(back).alias("back"))
     both = both.select(*KEY, F.explode(F.array("onward", "back")).alias("w")).filter(F.col("w.words") >= least_words)
@@ -60,15 +88,42 @@ def windows(lines: DataFrame, least_words: int) -> DataFrame:
     return grouped.agg(F.collect_set(F.struct("w.start", "w.end", "w.key")).alias("windows"))
 
 
-def repeated_windows(fingerprints: DataFrame) -> DataFrame:
-    """Windows that occurred earlier: key columns, ``start``, ``end`` (places of the first and last line)."""
-    place = F.struct(*KEY, "at")
-    twice = fingerprints.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select("mark")
-    near = fingerprints.join(twice, "mark", "left_semi").select(*KEY, F.explode("windows").alias("w"))
-    near = written(near.select(*KEY, "w.start", "w.end", "w.key"), "line-windows")
+def _twice(places: DataFrame, mark: str, place: Column) -> DataFrame:
+    """Values of ``mark`` at two places or more."""
+    return places.groupBy(mark).agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select(mark)
+
+
+def near_lines(fingerprints: DataFrame) -> DataFrame:
+    """Windows of whole lines around fingerprints that occur twice: ``start``, ``end`` (places of the first and last word), ``key``."""
+    near = fingerprints.join(_twice(fingerprints, "mark", F.struct(*KEY, "at")), "mark", "left_semi")
+    return near.select(*KEY, F.explode("windows").alias("w")).select(*KEY, "w.start", "w.end", "w.key")
+
+
+def near_words(keyed: DataFrame, lines: DataFrame, least_words: int) -> DataFrame:
+    """Windows of ``least_words`` words around fingerprints that occur twice, as :func:`near_lines`."""
+    prints = lines.filter("lowest <= highest")
+    found = prints.join(_twice(prints, "hash", F.struct(*KEY, "since")), "hash", "left_semi")
+    found = found.groupBy(*KEY).agg(F.flatten(F.collect_list(F.sequence("lowest", "highest"))).alias("starts"))
+    found = found.withColumnsRenamed({"_id": "_at_id", "_text": "_at_text"})
+    texts = keyed.select(*KEY, "text").filter("text IS NOT NULL")
+    texts = texts.join(found, F.col("_id").eqNullSafe(F.col("_at_id")) & (F.col("_text") == F.col("_at_text")))
+    # A word that begins a line carries its line break.
+    tokens = F.transform(_pieces("text"), lambda p: F.concat(F.when(F.contains(p, F.lit("\n")), "\n").otherwise(""), F.ltrim(p, F.lit(BLANKS))))
+    texts = texts.select(*KEY, "starts", tokens.alias("tokens"))
+
+    def window(t: Column) -> Column:
+        words = F.ltrim(F.array_join(F.slice("tokens", (t + 1).cast("int"), least_words), " "), F.lit("\n"))
+        return F.struct(t.alias("start"), (t + (least_words - 1)).alias("end"), _digest(words).alias("key"))
+
+    out = texts.select(*KEY, F.explode(F.transform("starts", window)).alias("w"))
+    return out.select(*KEY, "w.start", "w.end", "w.key")
+
+
+def repeated(windows: DataFrame) -> DataFrame:
+    """Windows that occurred earlier: key columns, ``start``, ``end``. Repeated rows count once."""
     place = F.struct(*KEY, "start")
-    first = near.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
-    return near.join(first, "key").filter(place != F.col("first")).select(*KEY, "start", "end")
+    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
+    return windows.join(first, "key").filter(place != F.col("first")).select(*KEY, "start", "end")
 
 
 def runs(repeats: DataFrame) -> DataFrame:
@@ -78,36 +133,53 @@ def runs(repeats: DataFrame) -> DataFrame:
     new = F.coalesce(F.col("start") > before + 1, F.lit(True)).cast("long")
     islands = repeats.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by_doc.rowsBetween(W.unboundedPreceding, 0)))
     merged = islands.groupBy(*KEY, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_runs"))
+    return merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
 def _flags(found: Column) -> Column:
-    """A byte for each line up to the last that goes: 1 goes, 0 stays."""
+    """A byte for each word up to the last that goes: 1 goes, 0 stays."""
 
     def part(r: Column, i: Column) -> Column:
         before = F.when(i == 0, F.lit(-1)).otherwise(F.get(found, i - 1)["end"])
-        return F.concat(F.repeat(F.lit("0"), r["start"] - before - 1), F.repeat(F.lit("1"), r["end"] - r["start"] + 1))
+        count = lambda n: n.cast("int")
+        return F.concat(F.repeat(F.lit("0"), count(r["start"] - before - 1)), F.repeat(F.lit("1"), count(r["end"] - r["start"] + 1)))
 
     return F.encode(F.array_join(F.transform(found, part), ""), "US-ASCII")
 
 
+def _without(text: str, flags: str) -> Column:
+    """The text without the words that go. What follows a run begins a line; a text that lost its beginning begins with a word."""
+    goes = lambda i: F.coalesce(F.substr(flags, i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))
+
+    def piece(p: Column, i: Column) -> Column:
+        after_run = (i > 0) & goes(i - 1) & ~F.contains(p, F.lit("\n"))
+        return F.when(~goes(i), F.when(after_run, F.concat(F.lit("\n"), F.ltrim(p, F.lit(BLANKS)))).otherwise(p))
+
+    pieces = F.transform(_pieces(text), piece)
+    tail = F.when(F.get(pieces, F.size(pieces) - 1).isNotNull(), F.substr(text, F.char_length(F.rtrim(text, F.lit(BLANKS))) + 1)).otherwise("")
+    kept = F.concat(F.array_join(pieces, ""), tail)
+    return F.when(goes(F.lit(0)), F.ltrim(kept, F.lit(BLANKS))).otherwise(kept)
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` without later copies of repeated runs of lines; with ``n_lines`` (lines with a word before) and ``n_removed``.
+    """``docs`` without later copies of repeated runs; with ``n_lines`` (lines with a word before) and ``n_removed`` (fewer after).
 
-    Lines are compared without blanks at their ends. Lines without a word stay unless they lie inside a run that
-    goes. A null text stays null, with no lines. A null document number comes first. Rows that are wholly equal in
-    number and text are one document: they lose the same lines. Texts may become empty; no row goes. An empty table
-    gives no rows; input columns with the names above are replaced.
+    Words go with the blanks and line breaks before them. A null text stays null, with no lines. A null document number comes first.
+    Rows that are wholly equal in number and text are one document: they lose the same words. Texts may become
+    empty; no row goes. An empty table gives no rows. Input columns named ``n_lines`` or ``n_removed`` are replaced, all others
+    come out as they were.
     """
-    keyed = _keyed(docs.drop("n_lines", "n_removed"), id_col, text)
-    prints = written(windows(text_lines(keyed.select(*KEY, text), text), least_words), "line-prints")
-    gone = runs(repeated_windows(prints)).withColumnsRenamed({"_id": "_gone_id", "_text": "_gone_text"})
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    keyed = _keyed(docs.select(*columns), id_col, text)
+    lines = written(text_lines(keyed, least_words), "line-lines")
+    prints = written(line_windows(lines, least_words), "line-prints")
+    windows = written(near_lines(prints).union(near_words(keyed, lines, least_words)), "line-windows")
+    gone = runs(repeated(windows)).withColumnsRenamed({"_id": "_gone_id", "_text": "_gone_text"})
     out = keyed.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text") == F.col("_gone_text")), "left")
-    out = out.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).withColumn("_flags", _flags(F.col("_runs")))
-    goes = lambda i: F.coalesce(F.substr("_flags", i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))
+    out = out.withColumn("flags", _flags(F.col("runs")))
+    out = out.select("row", "text", F.when(F.col("runs").isNull(), F.col("text")).otherwise(_without("text", "flags")).alias("kept"), F.col("runs").isNotNull().alias("cut"))
     has_word = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
-    kept = F.when(F.col("_flags").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~goes(i)))
-    out = out.withColumn("_kept", kept).withColumn("n_lines", F.size(F.filter("_lines", has_word)).cast("long"))
-    out = out.withColumn("n_removed", F.col("n_lines") - F.size(F.filter("_kept", has_word)))
-    out = out.withColumn(text, F.when(F.col("_flags").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")))
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    count_of = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(F.filter(F.split(c, "\n", -1), has_word))).cast("long")
+    removed = F.when(F.col("cut"), count_of("text") - count_of("kept")).otherwise(F.lit(0).cast("long"))
+    shown = [F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in columns]
+    return out.select(*shown, count_of("text").alias("n_lines"), removed.alias("n_removed"))

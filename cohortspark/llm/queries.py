@@ -34,38 +34,61 @@ def sha256(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+_LEAST = line_dedup.LEAST_WORDS
+
+
 @query("op1_line_dedup", rf"""
-    WITH split AS (
-        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
-        FROM documents
-    ), counted AS (
-        SELECT *, len(regexp_extract_all(line, '{line_dedup.WORD}')) AS words,
-            trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body
-        FROM split
-    ), placed AS (
-        SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS until FROM counted WHERE words > 0
+    WITH words AS (
+        SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) - 1 AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{line_dedup.PIECE}') AS pieces FROM documents)
+    ), tokens AS (
+        SELECT *, regexp_extract(piece, '{line_dedup.WORD}') AS word, contains(piece, chr(10)) AS broken, (i = 0 OR contains(piece, chr(10)))::INT AS fresh FROM words
+    ), numbered AS (
+        SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS line FROM tokens
+    ), lines AS (
+        SELECT doc_id, min(i) AS since, max(i) + 1 AS until, string_agg(word, ' ' ORDER BY i) AS body FROM numbered GROUP BY doc_id, line
     ), windows AS (
-        SELECT doc_id, min(pos) OVER w AS a, max(pos) OVER w AS z, list(body) OVER w AS lines, sum(words) OVER w AS total
-        FROM (SELECT *, until - words AS since FROM placed)
-        WINDOW w AS (PARTITION BY doc_id ORDER BY since RANGE BETWEEN CURRENT ROW AND {line_dedup.LEAST_WORDS - 1} FOLLOWING)
+        SELECT doc_id, min(since) OVER w AS a, max(until) OVER w - 1 AS z, array_to_string(list(body) OVER w, chr(10)) AS body, 'lines' AS kind, TRUE AS valid
+        FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY since RANGE BETWEEN CURRENT ROW AND {_LEAST - 1} FOLLOWING)
         UNION
-        SELECT doc_id, min(pos) OVER w, max(pos) OVER w, list(body) OVER w, sum(words) OVER w FROM placed
-        WINDOW w AS (PARTITION BY doc_id ORDER BY until RANGE BETWEEN {line_dedup.LEAST_WORDS - 1} PRECEDING AND CURRENT ROW)
+        SELECT doc_id, min(since) OVER w, max(until) OVER w - 1, array_to_string(list(body) OVER w, chr(10)), 'lines', TRUE
+        FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY until RANGE BETWEEN {_LEAST - 1} PRECEDING AND CURRENT ROW)
+        UNION ALL
+        SELECT doc_id, i, i + {_LEAST - 1}, word || ' ' || array_to_string(list(CASE WHEN fresh = 1 THEN chr(10) ELSE '' END || word) OVER w, ' '),
+            'words', sum(fresh) OVER w >= 2
+        FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND {_LEAST - 1} FOLLOWING)
+    ), counted AS (
+        SELECT w.* FROM windows w JOIN (SELECT doc_id, count(*) AS total FROM tokens GROUP BY doc_id) t USING (doc_id) WHERE valid AND z < total AND z - a + 1 >= {_LEAST}
     ), repeats AS (
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id, a) AS nth FROM windows WHERE total >= {line_dedup.LEAST_WORDS})
-        WHERE nth > 1
+        SELECT doc_id, a, z FROM (SELECT *, row_number() OVER (PARTITION BY kind, body ORDER BY doc_id, a) AS nth FROM counted) WHERE nth > 1
+    ), stepped AS (
+        SELECT *, a > coalesce(max(z) OVER (PARTITION BY doc_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -2) + 1 AS new FROM repeats
+    ), runs AS (
+        SELECT doc_id, min(a) AS a, max(z) AS z
+        FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY a, z ROWS UNBOUNDED PRECEDING) AS run FROM stepped) GROUP BY doc_id, run
     ), judged AS (
-        SELECT c.*, EXISTS (SELECT 1 FROM repeats r WHERE r.doc_id = c.doc_id AND c.pos BETWEEN r.a AND r.z) AS gone FROM counted c
-    ), kept AS (
-        SELECT doc_id, count(*) FILTER (words > 0) AS n_lines, count(*) FILTER (words > 0 AND gone) AS n_removed,
-            coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
-        FROM judged GROUP BY doc_id
+        SELECT t.*, r.doc_id IS NOT NULL AS gone FROM tokens t LEFT JOIN runs r ON r.doc_id = t.doc_id AND t.i BETWEEN r.a AND r.z
+    ), placed AS (
+        SELECT *, lag(gone, 1, FALSE) OVER (PARTITION BY doc_id ORDER BY i) AS after_run,
+            sum((NOT gone)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS nth, max(i) OVER (PARTITION BY doc_id) AS final
+        FROM judged
+    ), joined AS (
+        SELECT doc_id, count(*) FILTER (gone) AS n_gone, bool_or(gone AND i = final) AS ends_gone, string_agg(
+            CASE WHEN nth = 1 AND after_run THEN word WHEN after_run AND NOT broken THEN chr(10) || word ELSE piece END, '' ORDER BY i) FILTER (NOT gone) AS text
+        FROM placed GROUP BY doc_id
+    ), made AS (
+        SELECT doc_id, d.text AS old, CASE WHEN coalesce(n_gone, 0) = 0 THEN d.text
+            ELSE coalesce(j.text, '') || CASE WHEN ends_gone THEN '' ELSE regexp_extract(d.text, '[\x20\x09-\x0D]*$') END END AS text
+        FROM documents d LEFT JOIN joined j USING (doc_id)
+    ), sized AS (
+        SELECT *, len(list_filter(string_split(coalesce(old, ''), chr(10)), lambda x: regexp_matches(x, '{line_dedup.WORD}'))) AS n_lines,
+            len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{line_dedup.WORD}'))) AS left_lines
+        FROM made
     )
-    SELECT doc_id, n_lines, n_removed, length(text) AS n_chars, sha256(text) AS text_sha256 FROM kept
+    SELECT doc_id, n_lines, n_lines - left_lines AS n_removed, length(text) AS n_chars, sha256(text) AS text_sha256 FROM sized
 """)
 def line_dedup_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text without later copies of runs of lines of 50 words or more."""
+    """Every text without later copies of runs of 50 words or more."""
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"), sha256("text").alias("text_sha256"))
 

@@ -83,28 +83,35 @@ def near(texts, n, percent=80):
 
 
 def line_dedup(texts, least=50):
-    """{id: (lines with a word, removed, text)} in the order of ids."""
+    """{id: (lines with a word, removed, text)} in the order of ids, from all windows of all texts."""
     seen, out = set(), {}
+    count = lambda t: sum(WORD.search(x) is not None for x in t.split("\n"))
     for i in sorted(texts):
-        lines = (texts[i] or "").split("\n")
-        with_word = [(k, len(WORD.findall(x)), x.strip(" \t\x0b\x0c\r")) for k, x in enumerate(lines) if WORD.search(x)]
+        text = texts[i] or ""
+        parts = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)
+        words = [WORD.search(p)[0] for p in parts]
+        breaks = [k for k, p in enumerate(parts) if "\n" in p or k == 0] + [len(parts)]
         windows = set()
-        for a in range(len(with_word)):
-            for run, ends in ((range(a, len(with_word)), lambda b: (a, b)), (range(a, -1, -1), lambda b: (b, a))):  # noqa: B023
-                total = 0
-                for b in run:
-                    total += with_word[b][1]
-                    if total >= least:
-                        windows.add(ends(b))
-                        break
+        for a in breaks:
+            windows.add(("lines", a, next((b for b in breaks if b - a >= least), None)))
+            windows.add(("lines", next((b for b in reversed(breaks) if a - b >= least), None), a))
+        for a in range(len(words) - least + 1):
+            if sum(a < b < a + least for b in breaks) >= 2:
+                windows.add(("words", a, a + least))
         gone = set()
-        for a, b in sorted(windows):
-            key = tuple(x[2] for x in with_word[a:b + 1])
+        for kind, a, b in sorted((w for w in windows if None not in w), key=lambda w: w[1:]):
+            key = (kind, *((words[k], k > a and k in breaks) for k in range(a, b)))
             if key in seen:
-                gone.update(range(with_word[a][0], with_word[b][0] + 1))
+                gone.update(range(a, b))
             seen.add(key)
-        removed = sum(k in gone for k, _, _ in with_word)
-        out[i] = (len(with_word), removed, "\n".join(x for k, x in enumerate(lines) if k not in gone))
+        left = ""
+        for k, p in enumerate(parts):
+            if k not in gone:
+                after = k - 1 in gone
+                left += words[k] if after and not left else "\n" + words[k] if after and "\n" not in p else p
+        if len(parts) - 1 not in gone:
+            left += text[len("".join(parts)):]
+        out[i] = (count(text), count(text) - count(left), left)
     return out
 
 

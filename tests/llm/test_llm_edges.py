@@ -102,6 +102,35 @@ def test_line_dedup_runs(spark):
     assert got[3][2] == line(8, 2) and got[4][2] == line(10, 20)
 
 
+def test_line_dedup_cut_lines(spark):
+    """Passages that begin and end inside lines, with blanks of every kind, against all windows of all texts."""
+    say = lambda a, n: " ".join(f"p{k}" for k in range(a, a + n))
+    texts = {
+        1: f"start here {say(0, 20)}\n{say(20, 12)}\n{say(32, 30)} and on\nlast one",
+        2: f"other {say(0, 20)}\n\n  {say(20, 12).replace(' ', '  ')}\n{say(32, 30)} differs\nclosing words \n",
+        3: f"{say(0, 20)} x\n{say(20, 12)}\ny {say(32, 30)}", 4: f"{say(0, 20)}\n{say(20, 12)}\n{say(32, 30)}",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    read = lambda out: {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in out.collect()}
+    got = read(line_dedup.line_dedup(df))
+    assert got == brute.line_dedup(texts)
+    assert got[1][2] == texts[1] and got[2][2] == "other\ndiffers\nclosing words \n" and got[3][2] == texts[3] and got[4][2] == ""
+    rng = np.random.default_rng(7)
+    stock = [" ".join(rng.choice(["a", "b", "c", "d", "e"], rng.integers(0, 7))) for _ in range(12)]
+    many = {}
+    for i in range(60):
+        lines = [stock[k] + ("" if rng.random() < 0.7 else " z") for k in rng.integers(0, 12, rng.integers(0, 12))]
+        many[i] = str(rng.choice(["\n", "\n\n ", " \r\n"])).join(lines) + str(rng.choice(["", " ", "\n"]))
+    df = spark.createDataFrame(list(many.items()), "doc_id long, text string").repartition(5)
+    assert read(line_dedup.line_dedup(df, least_words=9)) == brute.line_dedup(many, 9)
+
+
+def test_line_dedup_keeps_columns(docs):
+    names = ["_id", "_text", "row", "kept", "cut", "flags", "runs", "hash", "since"]
+    out = line_dedup.line_dedup(docs.withColumns({c: F.lit("mine") for c in names})).select(*names).distinct().collect()
+    assert [tuple(r) for r in out] == [("mine",) * len(names)]
+
+
 def test_near_duplicates(docs, clashing, none):
     rows = minhash.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)
