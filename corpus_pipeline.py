@@ -21,12 +21,20 @@ def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    A null, empty or blank text has under ten words and goes. A null or unlisted language is compared with all such texts; long texts are
+    judged whole, and repeated rows alike. An empty table gives no rows.
+    """
     return quality.quality_rules(docs).filter("kept").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines are deleted; a document of which no line is left goes."""
+    """Later copies of repeated runs are deleted; a document of which no line is left goes.
+
+    Null and empty texts have nothing to lose and stay. Repeated rows are one document and lose the same words, so both stay. A
+    null number comes first. An empty table gives no rows.
+    """
     out = line_dedup.line_dedup(docs).filter("n_removed = 0 OR n_removed < n_lines")
     return _sized(out, docs.columns)
 
@@ -34,22 +42,29 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates stays, the one with the least number (a null number comes last).
 
-    Numbers may be null or repeat, so rows are told apart by a key of their own.
+    Numbers may be null or repeat, so rows are told apart by a key of their own. Null and empty texts are like no other and stay; of
+    repeated rows one stays. Texts are compared whole, whatever their length. An empty table gives no rows; all columns come out as they were.
     """
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    found = minhash.near_duplicates(keyed.select("_row", "doc_id", "text"), id_col="_row")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    stays = found.groupBy("component_id").agg(least.alias("_least")).select(F.col("_least._row").alias("_row"))
-    return keyed.join(stays, "_row", "left_semi").select(*docs.columns)
+    keyed = written(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "near-rows")
+    found = minhash.near_duplicates(keyed.select("row", "doc.doc_id", "doc.text"), id_col="row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    stays = found.groupBy("component_id").agg(least.alias("least")).select("least.row")
+    return keyed.join(stays, "row", "left_semi").select("doc.*")
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts is replaced by its kind."""
+    """Personal data in texts is replaced by its kind.
+
+    Null texts stay null, empty ones empty; long texts are searched whole, repeated rows alike. No row goes; an empty table gives none.
+    """
     return _sized(pii.redact_pii(docs), docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all texts with their places in sequences of at most 1024 tokens."""
+    """The pieces of all texts with their places in sequences of at most 1024 tokens.
+
+    A null or empty text is one piece of the end token. Long texts are cut, repeated rows each packed. An empty table gives no pieces.
+    """
     settings = packing.Settings(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack_documents(docs.select("doc_id", "text"), settings)
 
