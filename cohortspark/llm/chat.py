@@ -1,8 +1,8 @@
 """Chat formatting: find a source's layout by a fingerprint of its field paths, turn it into turns, render and read back.
 
-A layout is a declarative mapping. The fingerprint is a hash of the field paths that layouts use; it
-comes from the table's schema, or for JSON records from the keys of each record, and selects the
-mapping. Everything here is DataFrame expressions.
+A layout is a declarative mapping. The fingerprint is a hash of the field paths that a layout needs; the paths
+come from the table's schema, or for JSON records from the keys of each record. Of the layouts whose paths are all there, the one that needs
+most is taken (the first in the list of several); other fields don't matter. Everything here is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -58,6 +58,8 @@ def _hash(paths: tuple[str, ...]) -> str:
 
 BY_FINGERPRINT = {_hash(x.paths()): x for x in LAYOUTS}
 KNOWN = tuple(sorted({p for x in LAYOUTS for p in x.paths()}))
+#: The layouts that need most fields first.
+RANKED = tuple(sorted(LAYOUTS, key=lambda x: -len(x.paths())))
 LISTS = tuple(sorted({x.items for x in LAYOUTS if x.items}))
 
 
@@ -75,8 +77,9 @@ def paths_of(schema: T.StructType, under: str = "") -> list[str]:
 
 
 def fingerprint(schema: T.StructType) -> str:
-    """Hash of the paths that layouts know; other columns don't change it."""
-    return _hash(tuple(sorted(set(paths_of(schema)) & set(KNOWN))))
+    """Hash of the paths of the table's layout; other columns don't change it. Without a layout, of all paths that layouts know."""
+    paths = set(paths_of(schema))
+    return _hash(next((x.paths() for x in RANKED if paths.issuperset(x.paths())), tuple(sorted(paths & set(KNOWN)))))
 
 
 def _role(c: Column) -> Column:
@@ -127,7 +130,7 @@ def to_turns(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
 def json_to_turns(df: DataFrame, record: str, conv_id: str = "conv_id") -> DataFrame:
     """``conv_id``, ``fingerprint`` and ``turns`` from JSON records, each in a layout of its own.
 
-    ``turns`` is null for a record that is null, broken or in no known layout.
+    ``turns`` is null for a record that is null, broken or in no known layout. The paths below a list are the keys of all its items.
     """
     fields = F.from_json(record, "map<string,string>")
     found = df.select(conv_id, fields.alias("_f"))
@@ -135,11 +138,16 @@ def json_to_turns(df: DataFrame, record: str, conv_id: str = "conv_id") -> DataF
         found = found.withColumn(f"_i{k}", F.from_json(F.col("_f")[name], "array<map<string,string>>"))
     paths = [F.coalesce(F.map_keys("_f"), F.array())]
     for k, name in enumerate(LISTS):
-        keys = F.map_keys(F.get(F.col(f"_i{k}"), F.lit(0)))
+        keys = F.array_distinct(F.flatten(F.filter(F.transform(F.col(f"_i{k}"), F.map_keys), lambda x: x.isNotNull())))
         under = F.transform(keys, lambda x: F.concat(F.lit(f"{name}[]."), x))  # noqa: B023
         paths.append(F.coalesce(under, F.array()))
     known = F.array_intersect(F.concat(*paths), F.array(*map(F.lit, KNOWN)))
-    found = found.withColumn("fingerprint", F.sha2(F.array_join(F.array_sort(known), "|"), 256))
+    found = found.withColumn("_known", known)
+    mark = F.sha2(F.array_join(F.array_sort("_known"), "|"), 256)
+    for layout in reversed(RANKED):
+        whole = F.size(F.array_except(F.array(*map(F.lit, layout.paths())), "_known")) == 0
+        mark = F.when(whole & F.lit(layout.kind != "rows"), F.lit(_hash(layout.paths()))).otherwise(mark)
+    found = found.withColumn("fingerprint", mark)
     turns = F.lit(None).cast(f"array<{TURN}>")
     for mark, layout in BY_FINGERPRINT.items():
         if layout.kind == "list":

@@ -137,11 +137,11 @@ def _likely(settings: Settings) -> Column:
     return sizes & (same >= settings.least_matches)
 
 
-def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str, settings: Settings) -> DataFrame:
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """``node`` and ``shingles`` of the given nodes, made again from the text of one document of each."""
     ids = classes.join(nodes.distinct(), "node", "left_semi").select(F.col("first_id").alias("_first")).distinct()
-    texts = docs.join(ids, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi").select(text)
-    return written(with_sets(texts, text, settings).dropDuplicates(["node"]), "shingles")
+    texts = docs.join(ids, F.col("id").eqNullSafe(F.col("_first")), "left_semi").select("text")
+    return written(with_sets(texts, "text", settings).dropDuplicates(["node"]), "shingles")
 
 
 def likely_pairs(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -278,17 +278,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     ``kept`` is whether it is the row's own. A null text or one without words has no shingles and is linked with
     nothing; rows with a null number are compared too, but never name a component: alone, they have a null
     ``component_id`` and are kept. Rows with one number and one text are equal copies and all carry the same
-    ``kept``. An empty table gives no rows; input columns with the names above are replaced.
+    ``kept``. An empty table gives no rows; input columns named ``n_shingles``,
+    ``component_id`` or ``kept`` are replaced, all others come out as they were.
     """
-    made = ("n_shingles", "component_id", "kept")
-    signs = written(signed(docs.drop(*made), text, settings), "signatures")
+    columns = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
+    docs = docs.select(F.struct(*columns).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    signs = written(signed(docs.withColumn("row", F.col("row").dropFields(text)), "text", settings), "signatures")
     classes = signs.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min(id_col).alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature"),
+        F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature"),
         F.any_value("bands").alias("bands"))
     classes = written(classes, "classes")
     buckets = written(_shared_buckets(classes.select("node", F.explode("bands").alias("band"))), "buckets")
     likely = likely_pairs(first_pairs(buckets), classes, settings)
-    sets = sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")), classes, docs, id_col, text, settings)
+    sets = sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")), classes, docs, settings)
     components = connected_components(written(confirmed(likely, sets, settings), "links"), "a", "b")
 
     groups = written(rest_groups(buckets, components), "rest")
@@ -296,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     crowded = groups.join(crowd, "hub", "left_semi").select("hub", "node", "asks").distinct()
     likely = likely_pairs(rest_pairs(groups.join(crowd, "hub", "left_anti")), classes, settings)
     nodes = crowded.select("node").union(likely.select("a")).union(likely.select("b"))
-    sets = sets_of(nodes, classes, docs, id_col, text, settings)
+    sets = sets_of(nodes, classes, docs, settings)
     more = written(confirmed(likely, sets, settings).union(rest_blocks(crowded, classes, sets, settings)), "links")
     edges = components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     components = connected_components(edges, "a", "b")
@@ -305,9 +307,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     names = named.groupBy("component").agg(F.min("first_id").alias("_group"))
     groups = named.join(names, "component").select("node", "_group")
     own = classes.join(groups, "node", "left").select("node", F.coalesce("_group", "first_id").alias("_group"))
-    out = signs.drop("signature", "bands").join(own, "node", "left")
-    out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col(id_col)).otherwise(F.col("_group")))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))).drop("node", "_group")
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("_group"))
+    out = signs.select("row", "id", "n_shingles", "node").join(own, "node", "left").withColumn("component_id", component)
+    shown = [F.col("row")[c].alias(c) for c in columns if c != text]
+    return out.select(*shown, "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _shared_buckets(bands: DataFrame) -> DataFrame:

@@ -142,6 +142,9 @@ def test_near_duplicates(docs, clashing, none):
     out = minhash.near_duplicates(clashing)
     assert out.count() == len(ROWS) and out.columns[-3:] == ["n_shingles", "component_id", "kept"]
     assert minhash.near_duplicates(none).count() == 0
+    names = ["node", "signature", "bands", "row", "id", "_group", "first_id"]
+    out = minhash.near_duplicates(docs.withColumns({c: F.lit("mine") for c in names})).select(*names).distinct().collect()
+    assert [tuple(r) for r in out] == [("mine",) * len(names)]
 
 
 @pytest.mark.parametrize("crowd", [64, 2])
@@ -267,6 +270,29 @@ def test_chat_layouts(spark):
         assert [(t["role"], t["text"]) for t in chat.to_turns(df).first()["turns"]] == [("user", "q"), ("assistant", "a")]
     with pytest.raises(ValueError):
         chat.to_turns(spark.sql("SELECT 1 AS conv_id, 'x' AS body"))
+
+
+def test_chat_layout_among_other_fields(spark):
+    """Fields of other layouts beside a whole one don't matter; of two whole ones that which needs more is taken."""
+    listed = "array(named_struct('role', 'user', 'content', 'q'), named_struct('role', 'assistant', 'content', 'a'))"
+    for extra in ("'x' AS text", "'x' AS prompt", "'x' AS prompt, 'y' AS response", "'x' AS role, 'y' AS formatted"):
+        df = spark.sql(f"SELECT 1 AS conv_id, {listed} AS messages, {extra}")
+        assert [(t["role"], t["text"]) for t in chat.to_turns(df).first()["turns"]] == [("user", "q"), ("assistant", "a")]
+    df = spark.sql("SELECT 1 AS conv_id, 's' AS system, 'q' AS prompt, 'a' AS response, 'z' AS text")
+    assert [t["role"] for t in chat.to_turns(df).first()["turns"]] == ["system", "user", "assistant"]
+    records = [(1, '{"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}], "prompt": "x", "note": 1}'),
+               (2, '{"messages": null, "prompt": "q", "response": "a", "text": "t"}'), (3, '{"role": "user", "text": "t", "turn": 0}')]
+    got = {r["conv_id"]: r["turns"] for r in chat.json_to_turns(spark.createDataFrame(records, "conv_id int, record string"), "record").collect()}
+    assert [(t["role"], t["text"]) for t in got[1]] == [("user", ""), ("assistant", "a")]
+    assert [(t["role"], t["text"]) for t in got[2]] == [("user", "q"), ("assistant", "a")]
+    assert got[3] is None
+
+
+def test_chat_long_text(spark):
+    text = "<|im_end|>\n" * 20_000
+    out = chat.format_chats(spark.createDataFrame([(1, 0, "assistant", text)], "conv_id int, turn int, role string, text string"))
+    row = out.select(chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss")).first()
+    assert row["loss"] == text and [t["text"] for t in row["turns"]] == [text]
     records = [
         '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "id": 7}', '{"prompt": "q", "completion": "a"}',
         '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}', '{"instruction": "q", "input": "", "output": "a"}', '{"body": "q"}', "broken", None,
@@ -336,7 +362,7 @@ def test_near_stage_keeps_one_row_of_each_group(spark):
     import corpus_pipeline
 
     rows = [(None, PASSAGE + " end", 0), (5, PASSAGE, 0), (6, OTHER, 0), (6, OTHER, 0), (7, PASSAGE + " more", 0), (7, LONG, 0), (None, "x y z " + "q " * 9, 0)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumns({"_row": F.lit("r"), "row": F.lit("s")})
     got = corpus_pipeline.near_stage(spark, df, "")
-    assert got.columns == df.columns
+    assert got.columns == df.columns and [tuple(r) for r in got.select("_row", "row").distinct().collect()] == [("r", "s")]
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == sorted([(5, PASSAGE), (6, OTHER), (7, LONG), (0, rows[-1][1])])
