@@ -27,6 +27,8 @@ LEAST_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the blanks before it.
 PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+#: Blanks with a line break among them, from their first one on.
+BREAK = r"(?<![\x20\x09-\x0D])[\x20\x09\x0B-\x0D]*+\n[\x20\x09-\x0D]*+"
 BLANKS = " \t\n\x0b\x0c\r"
 KEY = ["_id", "_text"]
 
@@ -40,33 +42,35 @@ def _digest(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """The whole row, its text, and a key of its own: document number and a hash of the text, as numbers may be null or repeat."""
-    told = F.col(text)
-    return docs.select(F.struct(*docs.columns).alias("row"), told.alias("text"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(told, F.lit(""))).alias("_text"))
+    """The other columns of a row, its text, and a key of its own: document number and a hash of the text, as numbers may be null or repeat."""
+    told, others = F.col(text), [c for c in docs.columns if c != text]
+    return docs.select(F.struct(*others).alias("row"), told.alias("text"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(told, F.lit(""))).alias("_text"))
 
 
 def text_lines(keyed: DataFrame, least_words: int) -> DataFrame:
     """Lines with a word: number of words, words of the text before (``since``) and with it (``until``), hash.
 
     ``lowest`` and ``highest`` bound the starts of the windows of ``least_words`` words whose fingerprint the line is: they have a word
-    at least of the line before and of the line after, and no other whole line between two breaks has a lesser hash (the first of equal ones counts).
+    at least of the line before and of the line after (``around`` is a hash of the line and these two words), and no other whole line between two breaks has a lesser hash (the first of equal ones counts).
     Rows that are wholly equal give their lines once.
     """
     split = keyed.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     split = split.select(*KEY, "pos", F.regexp_extract_all("line", F.lit(WORD), 0).alias("line"))
-    split = split.select(*KEY, "pos", F.size("line").cast("long").alias("words"), _digest(F.array_join("line", " ")).alias("hash"))
+    split = split.select(*KEY, "pos", F.size("line").cast("long").alias("words"), _digest(F.array_join("line", " ")).alias("hash"),
+                         F.hash(F.get("line", F.lit(0))).alias("opens"), F.hash(F.get("line", F.size("line") - 1)).alias("closes"))
     lines = split.filter("words > 0").repartition(*KEY).dropDuplicates([*KEY, "pos"])
     by_doc = W.partitionBy(*KEY)
     until = F.sum("words").over(by_doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
     lines = lines.withColumns({"until": until, "total": F.sum("words").over(by_doc)}).withColumn("since", F.col("until") - F.col("words"))
     before = F.collect_list(F.struct("hash", "since")).over(by_doc.orderBy("since").rangeBetween(-least_words, -1))
     after = F.collect_list(F.struct("hash", "until")).over(by_doc.orderBy("until").rangeBetween(1, least_words))
-    lines = lines.withColumns({"before": before, "after": after})
+    around = F.xxhash64("hash", F.lag("closes").over(by_doc.orderBy("pos")), F.lead("opens").over(by_doc.orderBy("pos")))
+    lines = lines.withColumns({"before": before, "after": after, "around": around})
     left = F.array_max(F.transform(F.filter("before", lambda x: x["hash"] <= F.col("hash")), lambda x: x["since"]))
     right = F.array_min(F.transform(F.filter("after", lambda x: x["hash"] < F.col("hash")), lambda x: x["until"]))
     lowest = F.greatest(F.col("until") + (1 - least_words), left, F.lit(0).cast("long"))
     highest = F.least(F.col("since") - 1, F.col("total") - least_words, right - least_words)
-    return lines.select(*KEY, "words", "since", "until", "hash", lowest.alias("lowest"), highest.alias("highest"))
+    return lines.select(*KEY, "words", "since", "until", "hash", "around", lowest.alias("lowest"), highest.alias("highest"))
 
 
 def line_windows(lines: DataFrame, least_words: int) -> DataFrame:
@@ -102,13 +106,13 @@ def near_lines(fingerprints: DataFrame) -> DataFrame:
 def near_words(keyed: DataFrame, lines: DataFrame, least_words: int) -> DataFrame:
     """Windows of ``least_words`` words around fingerprints that occur twice, as :func:`near_lines`."""
     prints = lines.filter("lowest <= highest")
-    found = prints.join(_twice(prints, "hash", F.struct(*KEY, "since")), "hash", "left_semi")
+    found = prints.join(_twice(prints, "around", F.struct(*KEY, "since")), "around", "left_semi")
     found = found.groupBy(*KEY).agg(F.flatten(F.collect_list(F.sequence("lowest", "highest"))).alias("starts"))
     found = found.withColumnsRenamed({"_id": "_at_id", "_text": "_at_text"})
     texts = keyed.select(*KEY, "text").filter("text IS NOT NULL")
     texts = texts.join(found, F.col("_id").eqNullSafe(F.col("_at_id")) & (F.col("_text") == F.col("_at_text")))
     # A word that begins a line carries its line break.
-    tokens = F.transform(_pieces("text"), lambda p: F.concat(F.when(F.contains(p, F.lit("\n")), "\n").otherwise(""), F.ltrim(p, F.lit(BLANKS))))
+    tokens = F.split(F.regexp_replace(F.btrim("text", F.lit(BLANKS)), BREAK, " \n"), r"[\x20\x09\x0B-\x0D]+", -1)
     texts = texts.select(*KEY, "starts", tokens.alias("tokens"))
 
     def window(t: Column) -> Column:
@@ -155,9 +159,12 @@ def _without(text: str, flags: str) -> Column:
         after_run = (i > 0) & goes(i - 1) & ~F.contains(p, F.lit("\n"))
         return F.when(~goes(i), F.when(after_run, F.concat(F.lit("\n"), F.ltrim(p, F.lit(BLANKS)))).otherwise(p))
 
-    pieces = F.transform(_pieces(text), piece)
-    tail = F.when(F.get(pieces, F.size(pieces) - 1).isNotNull(), F.substr(text, F.char_length(F.rtrim(text, F.lit(BLANKS))) + 1)).otherwise("")
-    kept = F.concat(F.array_join(pieces, ""), tail)
+    def joined(pieces: Column) -> Column:
+        tail = F.substr(text, F.char_length(F.rtrim(text, F.lit(BLANKS))) + 1)
+        return F.concat(F.array_join(pieces, ""), F.when(F.get(pieces, F.size(pieces) - 1).isNotNull(), tail).otherwise(""))
+
+    # An array of one: its item is made once, however often it is used.
+    kept = F.get(F.transform(F.array(F.transform(_pieces(text), piece)), joined), F.lit(0))
     return F.when(goes(F.lit(0)), F.ltrim(kept, F.lit(BLANKS))).otherwise(kept)
 
 
