@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reshape
 from ..plans import load, tables
-from ..schema import BUILT
+from ..schema import BUILT, DROP_CODES, STAFF, TABLES
 from ..session import new_path
 from ..sources import snapshot
 from .base import ORACLE, query
@@ -230,3 +230,51 @@ def _(spark, d):
         for name, df in snapshot.load_snapshot(spark, base).items() if name in BUILT
     ]
     return reshape.union_by_name(*counts)
+
+
+_SQL_TYPE = {"long": "bigint", "int": "integer", "string": "varchar", "timestamp_ntz": "timestamp"}
+
+
+def _conformed(name: str, built: str) -> str:
+    """All declared columns of a table; what the build lacks is null, but a serial key numbers the rows."""
+    pairs = [c.split() for c in TABLES[name].columns.split(", ")]
+    none = ", ".join(f"null::{_SQL_TYPE.get(kind, kind)} as {c}" for c, kind in pairs)
+    key = load.SERIAL.get(name, ("",))[0]
+    if key:
+        built = f"select row_number() over () as {key}, * from ({built})"
+    return f"select {none} where false union all by name ({built})"
+
+
+def _violations() -> str:
+    """What each declared constraint of the built tables finds, one plain statement for each."""
+    names, found = [*BUILT, "dropcode", "ra"], []
+    for name in names:
+        spec = TABLES[name]
+        rows = {("not_null", c): f"{c} is null" for c in (*spec.pk, *spec.not_null)}
+        rows |= {("enum", c): f"{c} not in ({', '.join(map(repr, levels))})" for c, levels in spec.enums.items()}
+        rows |= {("length", c): f"length({c}) > {n}" for c, n in spec.lengths.items()}
+        rows |= {("range", c): f"{c} is not null and try_cast({c} as decimal({a}, {b})) is null" for c, (a, b) in spec.numerics.items()}
+        counts = {k: f"select count(*) from {name} where {test}" for k, test in rows.items()}
+        for keys in dict.fromkeys((spec.pk, *spec.unique)):
+            if keys:
+                told = " and ".join(f"{k} is not null" for k in keys)
+                counts["unique", ",".join(keys)] = (
+                    f"select count(*) from (select 1 from {name} where {told} group by {', '.join(keys)} having count(*) > 1)"
+                )
+        for fk, (parent, pk) in spec.refs.items():
+            if parent in names:
+                counts["foreign_key", f"{fk}->{parent}.{pk}"] = (
+                    f"select count(*) from {name} c where {fk} is not null and not exists (select 1 from {parent} p where p.{pk} = c.{fk})"
+                )
+        found += [f"select '{name}' as table_name, '{check}' as check_name, '{subject}' as subject, ({n}) as n_bad"
+                  for (check, subject), n in counts.items()]
+    codes = ", ".join(f"('{code}', '{level}')" for code, level in DROP_CODES)
+    staff = ", ".join(f"('{who}', '{abbr}')" for who, abbr in STAFF)
+    seeds = {"dropcode": f"select * from (values {codes}) t(dropcode, droplevel)", "ra": f"select * from (values {staff}) t(ra, abbr)"}
+    tables = [f"{n} as materialized ({_conformed(n, seeds.get(n) or ORACLE['build_' + n])})" for n in names]
+    return f"with {', '.join(tables)} select * from ({' union all '.join(found)}) where n_bad > 0"
+
+
+@query("rebuild_violations", _violations())
+def _(spark, d):
+    return load.rebuild(spark, sources(spark, d), new_path(spark, "rebuild"), AS_OF)

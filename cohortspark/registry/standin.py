@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
 from ..operators.jsonpack import pack_row_json
+from ..schema import DROP_CODES
 from ..sources.layout import Layout
 from ..sources.scan import scan_table
 
@@ -159,10 +160,11 @@ def note(spark, d) -> DataFrame:
 
 
 def enroll(spark, d) -> DataFrame:
-    cust = load(spark, d, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    cust = load(spark, d, "customer")
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "OtherID").otherwise("PrimaryID")
     k, s = F.col("c_custkey"), F.col("s_suppkey")
     primary = cust.select(
-        (k * 2).alias("eid"), k.alias("pid"), F.lit("PrimaryID").alias("etype"), k.cast("string").alias("id"),
+        (k * 2).alias("eid"), k.alias("pid"), kind.alias("etype"), k.cast("string").alias("id"),
         F.date_add(F.lit("2010-01-01").cast("date"), (k % 1000).cast("int")).alias("edate"),
     )
     scans = load(spark, d, "supplier").select(
@@ -295,7 +297,7 @@ def disorders(spark, d) -> DataFrame:
 
 def scan_ids(spark, d) -> DataFrame:
     k = F.col("o_orderkey")
-    return load(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(
+    return load(spark, d, "orders").select(
         k.alias("VisitID"), F.concat(F.lit("S"), k.cast("string")).alias("ScanID"),
         F.col("o_custkey").alias("PersonID"), _month("o_orderdate").alias("VisitDate"),
     )
@@ -424,17 +426,13 @@ CTE = {
         'ra' || (d.doc_id % 5) as ra,
         cast(date '2024-01-01' + cast(d.doc_id % 20000 as integer) as timestamp) as ndate, d.source as note
         from documents d left join labels l on l.doc_id = d.doc_id""",
-    "enroll": """select c_custkey * 2 as eid, c_custkey as pid, 'PrimaryID' as etype, cast(c_custkey as varchar) as id,
-        date '2010-01-01' + cast(c_custkey % 1000 as integer) as edate from customer where c_mktsegment <> 'BUILDING'
+    "enroll": """select c_custkey * 2 as eid, c_custkey as pid,
+        case when c_mktsegment = 'BUILDING' then 'OtherID' else 'PrimaryID' end as etype, cast(c_custkey as varchar) as id,
+        date '2010-01-01' + cast(c_custkey % 1000 as integer) as edate from customer
         union all select s_suppkey * 2 + 1, s_suppkey, 'ScanID', s_name, null from supplier""",
     "visit_enroll": "select s_suppkey * 2 + 1 as eid, s_suppkey * 3 as vid from supplier",
-    "dropcode": """select * from (values ('OLDDBDSUBJ','subject'),('OLDDBDVIST','visit'),('IMPORTANT','nodrop'),
-        ('NOT','nodrop'),('NOINTEREST','future'),('SUPPLEMENT','future'),('HARD_SUBJ','future'),
-        ('TASK_ISSUE','sometasks'),('TECH_ISSUE','visit'),('EYE_ISSUE','visit'),('SUBJ_ISSUE','visit'),
-        ('CLAUSTROPHOBIC','somevisits'),('BAD_VEIN','somevisits'),('LOWIQ','subject'),('EXCLDCRTRA','subject'),
-        ('DEPRESSED','family'),('MRI_UNCOMFY','somevisits'),('INATTENTIVE','subject'),('PSYCH_CLINICAL','subject'),
-        ('METAL','somevisits'),('MOVER','somevisits'),('BADSUBJ','subject'),('NO_ADULT','somevisits'))
-        as t(dropcode, droplevel)""",
+    "dropcode": "select * from (values " + ", ".join(f"('{c}', '{level}')" for c, level in DROP_CODES)
+    + ") as t(dropcode, droplevel)",
     "subject_info": f"""select c_custkey as "PersonID", c_mktsegment as "SubjectFirstName", {_FAM} as "SubjectLastName",
         c_custkey % 4 - 1 as "SexID", {_pick("c_custkey", "-1", "1", "2", "3")} as "HandID",
         {_sql_birth("c_custkey")} as "DateOfBirth", {_pick("c_custkey", "1", "0", "null", "0", "0")} as "Dropped",
@@ -461,7 +459,7 @@ CTE = {
     "disorders": """select r_regionkey as "DisorderID", case r_regionkey when 0 then 'None' when 1 then 'control'
         else r_name end as "Disorder" from region""",
     "scan_ids": f"""select o_orderkey as "VisitID", 'S' || o_orderkey as "ScanID", o_custkey as "PersonID",
-        {_MONTH} as "VisitDate" from orders where o_orderstatus = 'F'""",
+        {_MONTH} as "VisitDate" from orders""",
     "tasks": """select case p_partkey when 0 then 'Line' else 'T' || p_partkey end as "Task",
         'd' || p_partkey as "TableName",
         p_size % 2 as "Behavioral", case when p_size % 3 = 0 then 1 else 0 end as "Scan",

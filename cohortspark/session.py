@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -35,13 +36,13 @@ def get_session(app: str = "cohortspark", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Only a session whose executors are threads of the driver (``local``, ``local[n]``) may fall back to a folder of its own.
     """
     global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="cohortspark-")
