@@ -41,6 +41,11 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def _window_key(first: Column, others: Column) -> list[Column]:
+    """``key`` and ``check``: 128 bits of a window's first hash and the array of the others, as two folds in different order."""
+    return [F.xxhash64(first, others).alias("key"), F.xxhash64(others, first).alias("check")]
+
+
 def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """The other columns of a row, its text, and a key of its own: document number and a hash of the text, as numbers may be null or repeat."""
     told, others = F.col(text), [c for c in docs.columns if c != text]
@@ -84,12 +89,12 @@ def line_windows(lines: DataFrame, least_words: int) -> DataFrame:
         return F.struct(
             F.min("since").over(frame).alias("start"), (F.max("until").over(frame) - 1).alias("end"), F.sum("words").over(frame).alias("words"),
             F.min(F.struct("hash", (-F.col("since")).alias("at"))).over(frame).alias("least"),
-            _digest(F.to_binary(F.array_join(F.transform(hashes, F.hex), ""), F.lit("hex"))).alias("key"))
+            *_window_key(F.lit("lines"), hashes))
 
     both = lines.select(*KEY, over(onward).alias("onward"), over(back).alias("back"))
     both = both.select(*KEY, F.explode(F.array("onward", "back")).alias("w")).filter(F.col("w.words") >= least_words)
     grouped = both.groupBy(*KEY, F.col("w.least.at").alias("at"), F.col("w.least.hash").alias("mark"))
-    return grouped.agg(F.collect_set(F.struct("w.start", "w.end", "w.key")).alias("windows"))
+    return grouped.agg(F.collect_set(F.struct("w.start", "w.end", "w.key", "w.check")).alias("windows"))
 
 
 def _twice(places: DataFrame, mark: str, place: Column) -> DataFrame:
@@ -98,9 +103,9 @@ def _twice(places: DataFrame, mark: str, place: Column) -> DataFrame:
 
 
 def near_lines(fingerprints: DataFrame) -> DataFrame:
-    """Windows of whole lines around fingerprints that occur twice: ``start``, ``end`` (places of the first and last word), ``key``."""
+    """Windows of whole lines around fingerprints that occur twice: ``start``, ``end`` (places of the first and last word), ``key``, ``check``."""
     near = fingerprints.join(_twice(fingerprints, "mark", F.struct(*KEY, "at")), "mark", "left_semi")
-    return near.select(*KEY, F.explode("windows").alias("w")).select(*KEY, "w.start", "w.end", "w.key")
+    return near.select(*KEY, F.explode("windows").alias("w")).select(*KEY, "w.*")
 
 
 def near_words(keyed: DataFrame, lines: DataFrame, least_words: int) -> DataFrame:
@@ -114,20 +119,27 @@ def near_words(keyed: DataFrame, lines: DataFrame, least_words: int) -> DataFram
     # A word that begins a line carries its line break.
     tokens = F.split(F.regexp_replace(F.btrim("text", F.lit(BLANKS)), BREAK, " \n"), r"[\x20\x09\x0B-\x0D]+", -1)
     texts = texts.select(*KEY, "starts", tokens.alias("tokens"))
+    # Words are hashed once; a break before the first word of a window does not count.
+    bare = F.transform("tokens", lambda w: F.xxhash64(F.ltrim(w, F.lit("\n"))))
+    texts = texts.select(*KEY, "starts", bare.alias("bare"), F.transform("tokens", lambda w: F.xxhash64(w)).alias("told"))
 
     def window(t: Column) -> Column:
-        words = F.ltrim(F.array_join(F.slice("tokens", (t + 1).cast("int"), least_words), " "), F.lit("\n"))
-        return F.struct(t.alias("start"), (t + (least_words - 1)).alias("end"), _digest(words).alias("key"))
+        at = t.cast("int")
+        key = _window_key(F.get("bare", at), F.slice("told", at + 2, least_words - 1))
+        return F.struct(t.alias("start"), (t + (least_words - 1)).alias("end"), *key)
 
-    out = texts.select(*KEY, F.explode(F.transform("starts", window)).alias("w"))
-    return out.select(*KEY, "w.start", "w.end", "w.key")
+    return texts.select(*KEY, F.explode(F.transform("starts", window)).alias("w")).select(*KEY, "w.*")
 
 
 def repeated(windows: DataFrame) -> DataFrame:
     """Windows that occurred earlier: key columns, ``start``, ``end``. Repeated rows count once."""
-    place = F.struct(*KEY, "start")
-    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
-    return windows.join(first, "key").filter(place != F.col("first")).select(*KEY, "start", "end")
+    same, place = ["key", "check"], F.struct(*KEY, "start")
+    # Hashes of places tell which keys have several; only their windows look for the first one.
+    mark = F.xxhash64(*KEY, "start")
+    twice = windows.groupBy(*same).agg(F.min(mark).alias("a"), F.max(mark).alias("z")).filter("a != z").select(*same)
+    windows = windows.join(twice, same, "left_semi")
+    first = windows.groupBy(*same).agg(F.min(place).alias("first"))
+    return windows.join(first, same).filter(place != F.col("first")).select(*KEY, "start", "end")
 
 
 def runs(repeats: DataFrame) -> DataFrame:
