@@ -211,8 +211,8 @@ def person_search_view(tables: Tables, as_of: str, primary_type: str = "PrimaryI
     person table is touched.
     """
     seen = tables["visit"].where(F.col("vstatus").isin(SEEN_STATUS)).select("pid", "vid", "vtimestamp", "vtype")
-    study = tables["visit_study"].groupBy("vid").agg(F.collect_set("study").alias("_studies"))
-    each = seen.join(study, "vid", "left").select("*", F.posexplode_outer("_studies").alias("_i", "study"))
+    study = tables["visit_study"].groupBy("vid").agg(F.collect_set(F.struct("study")).alias("_studies"))
+    each = seen.join(study, "vid", "left").select("*", F.posexplode_outer("_studies").alias("_i", "_study")).select("*", "_study.study")
     visits = each.groupBy("pid").agg(
         F.max("vtimestamp").alias("lastvisit"),
         F.count_if(F.coalesce(F.col("_i"), F.lit(0)) == 0).alias("numvisits"),

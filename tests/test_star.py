@@ -64,3 +64,12 @@ def test_views_equal_star_joins(spark, d):
         "json_array_length(tasks)",
     ).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_search_view_keeps_unnamed_study(spark):
+    t = frames(spark, {
+        "visit": [(1, "S", "sched"), (2, "S", "sched")], "visit_study": [(0, None, "c"), (0, "X", "c"), (1, None, "c")],
+        "enroll": [(1, "ScanID", "1")], "visit_task": [(0, "a")], "visit_action": [(0, "sched")], "note": [(1, 0, None)],
+    })
+    got = views.person_search_view(t, "2020-01-01").select("pid", "numvisits", "nstudies", "studies").collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, '["X",null]'), (2, 1, 0, "[null]"), (3, 0, 0, "[null]")]
