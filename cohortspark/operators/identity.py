@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import _col
 from ..session import written
-from .joins import broadcast_join, fits_broadcast, lookup_join, skew_join
+from .joins import broadcast_join, fits_broadcast, heavy_counts, key_counts, lookup_join, skew_join
 
 
 def first_per_group(df: DataFrame, keys: Sequence[Column | str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -100,16 +100,24 @@ def remap_keys(
 ) -> DataFrame:
     """Replace repeated keys by the kept ones; ``distinct`` then drops rows equal throughout.
 
-    Where the lookup is too large to broadcast, equal rows are also dropped before the join, so
-    that many copies of one row do not meet in one task.
+    Where the lookup is too large to broadcast, equal rows of hot keys are also dropped before the
+    join, so that many copies of one row do not meet in one task. Keys are counted in the rows as
+    they come, of which only the key need be read; all other rows move once to the join.
     """
     cols = [F.coalesce(F.col(use), F.col(key)).alias(key) if c == key else F.col(f"`{c}`") for c in df.columns]
     lookup = lookup.withColumnRenamed(dup, key)
     if fits_broadcast([lookup]):
         found = broadcast_join(df, lookup, [key])
+    elif distinct:
+        counts = written(heavy_counts(key_counts(df, [key])), "hot-keys")
+        hot = counts.select(key)
+        some = not counts.isEmpty()
+        rest = broadcast_join(df, hot, [key], "left_anti", null_safe=True) if some else df
+        found = rest.join(lookup, [key], "left")
+        if some:
+            copies = broadcast_join(df, hot, [key], "left_semi", null_safe=True).distinct()
+            found = found.unionByName(skew_join(copies, lookup, [key], "left", spread_by=df.columns, counts=counts))
     else:
-        if distinct:
-            df, spread_by = df.distinct(), df.columns
         found = skew_join(df, lookup, [key], "left", spread_by=spread_by)
     out = found.select(*cols)
     return out.distinct() if distinct else out

@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from cohortspark.functions import codes, dates, jsons, text
-from cohortspark.operators import aggs, identity, project, quality, reshape
+from cohortspark.operators import aggs, identity, joins, project, quality, reshape
 from cohortspark.schema import DROP_LEVELS, STATUS
 
 TS = dt.datetime
@@ -144,6 +144,23 @@ def test_remap_keys(spark):
     assert sorted(r.pid for r in identity.remap_keys(df, lookup, "pid").collect()) == [3, 9]
 
 
+def test_remap_keys_moves_rows_once_beyond_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    rows = [(k, v) for k in (1, 2, None) for v in "ab"] + [(7, "a")] * 60
+    spark.createDataFrame(rows, "pid long, v string").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    spark.createDataFrame([(7, 3), (1, 2)], "dup_id long, use_id long").write.parquet(str(tmp_path / "lookup"))
+    lookup = spark.read.parquet(str(tmp_path / "lookup"))
+    want = {(2, "a"), (2, "b"), (None, "a"), (None, "b"), (3, "a")}
+    plain = identity.remap_keys(df, lookup, "pid", distinct=True)
+    assert len(plain.collect()) == 5 and set(map(tuple, plain.collect())) == want
+    # To the join and to the last distinct; the lookup to the join.
+    assert plain._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") <= 2
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 5)
+    salted = identity.remap_keys(df, lookup, "pid", distinct=True)
+    assert len(salted.collect()) == 5 and set(map(tuple, salted.collect())) == want
+
+
 def test_filter_three_valued(spark):
     df = spark.createDataFrame([(None, 1), (None, None), ("", 0), ("x", None)], "Notes string, Dropped int")
     assert sorted(map(tuple, project.filter_three_valued(df).collect()), key=str) == [("x", None), (None, 1)]
