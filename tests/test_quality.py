@@ -74,3 +74,18 @@ def test_every_table_is_read_twice_and_keys_meet_once(spark, tmp_path):
     plan = quality.check_tables(tables)._jdf.queryExecution().sparkPlan().toString()
     assert 0 < len(re.findall("FileScan parquet", plan)) <= 2 * len(tables)
     assert "Join" not in plan
+
+
+def test_whole_number_keys_stay_numbers(spark):
+    tables = frames(spark, 2, 30)
+    plan = quality.check_keys(tables, SPECS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan  # entries are left out by a filter, not by a function over arrays
+    odd = {
+        **tables,
+        "owner": spark.createDataFrame([(1, "1 a", "b", None, 0.0), (1, "1", " ab", None, 1.0), (2, "1 a", "b", None, 2.0)],
+                                       "k int, a string, b string, at timestamp, x double"),
+        "child": spark.createDataFrame([(1, 2**32 + 1, 1.5, -0.0, 1), (2, 1, 2.0, 2.5, 3)], "c int, k long, other double, d double, own int"),
+    }
+    got = {tuple(r)[:3]: r.n_bad for r in quality.check_keys(odd, SPECS).collect()}
+    assert got == one_by_one(odd)
+    assert got["child", "foreign_key", "k->owner.k"] == got["child", "foreign_key", "other->owner.k"] == 1
