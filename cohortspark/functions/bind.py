@@ -9,5 +9,8 @@ from pyspark.sql import functions as F
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """``use(value)`` with the value computed once, however often ``use`` mentions it.
+
+    A fold over nothing hands its start to its end as it is; ``transform`` would copy what ``use`` gives, whole.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda same, _: same, use)

@@ -235,8 +235,10 @@ def _replayed(groups: DataFrame) -> DataFrame:
             r["order"].alias("order"), r["vid"].alias("vid"), me["pid"].alias("pid"), verdict["reason"].alias("reason"), verdict["claims"].alias("claims"),
             new["action"].alias("action"), new["ra"].alias("ra"), new["vtimestamp"].alias("vtimestamp"), new["vtype"].alias("vtype"),
             me["vtimestamp"].alias("from_vtimestamp"), me["vtype"].alias("from_vtype"))
+        # The other visits are kept as they are: a transform would copy every one of them.
+        others = F.filter(state["visits"], lambda v: v["vid"] != r["vid"])
         visits = F.when(verdict["reason"].isNotNull(), state["visits"]).otherwise(bound(
-            moved(me, r, new), lambda m: F.transform(state["visits"], lambda v: F.when(v["vid"] == r["vid"], m).otherwise(v))))
+            others, lambda o: F.concat(o, F.array_repeat(moved(me, r, new), F.size(state["visits"]) - F.size(o)))))
         return F.struct(visits.alias("visits"), F.concat(state["log"], F.array(line)).alias("log"))
 
     def step(state: Column, r: Column) -> Column:
@@ -322,7 +324,7 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     settled between them. Both ways give the same result.
     """
     wanted = {k: t for k, t in REQUEST.items() if k != "pid"}
-    req = _with_columns(requests, wanted).select(order, *wanted)
+    req = written(_with_columns(requests, wanted).select(order, *wanted), "requests")
     visit_types = {f.name: f.dataType for f in tables["visit"].schema}
     asked = _with_study_known(req.drop("notes"), tables, order).select("vid", F.struct(
         F.col(order).alias("order"), "vid", *(F.col(c).cast(visit_types[c]).alias(c) for c in MOVED), "action", "ra", "study", "cohort",
@@ -333,12 +335,14 @@ def reschedule_visits(requests: DataFrame, tables: Tables, as_of: str, order: st
     asked = written(asked.join(old, "vid"), "reschedule")
     # Only a time that a request gives, or that one of these visits has, can be claimed.
     times = F.array_append(F.transform("requests", lambda r: r["vtimestamp"]), F.col("visit.vtimestamp"))
-    times = asked.select("pid", F.explode(times).alias("vtimestamp")).where(F.col("vtimestamp").isNotNull()).distinct()
+    times = written(asked.select("pid", F.explode(times).alias("vtimestamp")).where(F.col("vtimestamp").isNotNull()).distinct(), "times")
     held = lookup_join(tables["visit"].select("vid", *VISIT_KEY), times, ["pid", "vtimestamp"], "left_semi", spread_by=["vid"])
     held = lookup_join(held, asked.select("vid"), ["vid"], "left_anti", unique=True)
     many = written(asked.groupBy("pid").agg(F.sum(F.size("requests")).alias("n")).where(F.col("n") > together).select("pid"), "reschedule")
     some = not many.isEmpty()
     close = lookup_join(asked, many, ["pid"], "left_anti", spread_by=["vid"]) if some else asked
+    # The fold costs time, not bytes: its partitions are not merged by their size.
+    close = close.repartition(int(close.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pid")
     groups = close.groupBy("pid").agg(F.collect_list("visit").alias("visits"), F.array_sort(F.flatten(F.collect_list("requests"))).alias("requests"))
     places = held.groupBy("pid").agg(F.collect_list(F.struct(*_SLOT)).alias("places"))
     groups = groups.join(places, "pid", "left").withColumn("places", F.coalesce("places", F.array().cast(PLACES)))

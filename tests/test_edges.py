@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from cohortspark.functions import codes, dates, jsons, text
+from cohortspark.functions.bind import bound
 from cohortspark.operators import aggs, identity, joins, project, quality, reshape
 from cohortspark.schema import DROP_LEVELS, STATUS
 
@@ -161,6 +162,13 @@ def test_remap_keys_moves_rows_once_beyond_broadcast(spark, tmp_path, monkeypatc
     assert len(salted.collect()) == 5 and set(map(tuple, salted.collect())) == want
 
 
+def test_bound_hands_the_value_on_without_a_copy(spark):
+    df = spark.range(3).withColumn("x", F.when(F.col("id") > 0, F.col("id")))
+    out = df.select(bound(F.col("x") + 1, lambda a: bound(F.struct(a.alias("a"), (a * 2).alias("b")), lambda s: F.coalesce(s["a"] + s["b"], F.lit(-1)))))
+    assert [r[0] for r in out.collect()] == [-1, 6, 9]
+    assert "transform" not in out._jdf.queryExecution().analyzed().toString()  # it copies what the lambda gives, whole
+
+
 def test_filter_three_valued(spark):
     df = spark.createDataFrame([(None, 1), (None, None), ("", 0), ("x", None)], "Notes string, Dropped int")
     assert sorted(map(tuple, project.filter_three_valued(df).collect()), key=str) == [("x", None), (None, 1)]
