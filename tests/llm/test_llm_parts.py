@@ -157,3 +157,87 @@ def test_words_with_weights_grow_with_the_counted_words(spark):
     assert large.class_start[-1] == 8192 and large.class_of.max() == 95
     assert lm.Net(large, lm.Settings()).p["ww"].shape == (8192, lm.Settings().hidden)
     assert len(known(100).class_of) == 100
+
+
+def _net(top: int = 400, **more) -> lm.Net:
+    counts = 1 + 4000 // np.arange(1, top + 101)
+    share = np.cumsum(np.sqrt(counts[:top])) / np.sqrt(counts[:top]).sum()
+    class_of = np.minimum((share * 12 - 1e-9).astype(np.int64), 11)
+    words = lm.Words(np.arange(top + 100, dtype=np.uint64), counts, class_of, np.searchsorted(class_of, np.arange(13)), np.full(32, 3.0), int(counts.sum()), top + 100)
+    return lm.Net(words, lm.Settings(**more))
+
+
+def test_probabilities_of_all_words_add_up():
+    """At the start they are the shares by count; after learning they add up to 1 still."""
+    net, s = _net(), lm.Settings()
+    rng = np.random.default_rng(5)
+    ids, kind = rng.integers(-1, 400, 3000), rng.integers(0, 32, 3000)
+    of_word = np.append(net.words.class_of, net.classes + np.arange(s.kinds))
+    every = np.append(np.arange(400), np.full(s.kinds, -1))
+    for learned in range(2):
+        state = rng.standard_normal(s.hidden).astype(np.float32)
+        lp, _, _ = net._output(np.tile(state, (len(every), 1)) * learned, of_word, every, False)
+        assert abs(np.exp(lp).sum() - 1) < 1e-4
+        if not learned:
+            share = np.append(net.words.counts[:400] + 0.1, net.words.kind_mass)
+            assert np.allclose(np.exp(lp), share / share.sum(), rtol=1e-3)
+        net.run(ids, kind, np.full(30, 100), True)
+
+
+def test_output_gradients():
+    """Against differences of the log probability."""
+    net, rng = _net(), np.random.default_rng(6)
+    for name in ("wg", "wc", "ww", "bw"):
+        net.p[name] += rng.standard_normal(net.p[name].shape).astype(np.float32) * np.float32(0.3)
+    ids = rng.integers(-1, 400, 60)
+    classes = np.where(ids >= 0, net.words.class_of[ids], net.classes + rng.integers(0, 32, 60))
+    states = rng.standard_normal((60, net.settings.hidden)).astype(np.float32)
+    _, grad, d_states = net._output(states, classes, ids, True)
+    node, rows, odds = grad["words"]
+    full = {"ww": np.zeros_like(net.p["ww"]), "bw": np.zeros_like(net.p["bw"]), **{k: grad[k] for k in ("wg", "bg", "wc", "bc")}}
+    full["ww"][node], full["bw"][node] = rows, odds
+    for name, g in [*full.items(), ("states", d_states)]:
+        values = states if name == "states" else net.p[name]
+        way = rng.standard_normal(values.shape).astype(np.float32)
+        kept, lost = values.copy(), []
+        for step in (np.float32(0.01), np.float32(-0.01)):
+            values[...] = kept + step * way
+            lost.append(-net._output(states, classes, ids, False)[0].sum())
+        values[...] = kept
+        assert np.isclose((g * way).sum(), (lost[0] - lost[1]) / 0.02, rtol=0.02, atol=0.02), name
+
+
+def test_a_window_changes_few_weights():
+    """Only splits on the way to words that occurred: their number grows with the depth, not with the words of a class."""
+    net = _net()
+    before = net.p["ww"].copy()
+    net.run(np.array([399, 5, 399]), np.zeros(3, np.int64), np.array([3]), True)
+    changed = np.flatnonzero((net.p["ww"] != before).any(1))
+    assert 0 < len(changed) <= net.tree.depth[399] + net.tree.depth[5]
+    deepest = np.bincount(net.words.class_of).max()
+    assert net.tree.depth.max() <= 2 * np.log2(deepest) + 1
+
+
+def test_network_without_top_words():
+    counts = np.zeros(0, np.int64)
+    words = lm.Words(np.zeros(0, np.uint64), counts, counts, np.zeros(49, np.int64), np.full(32, 0.1), 0, 0)
+    net = lm.Net(words, lm.Settings())
+    lp = net.run(np.full(7, -1), np.arange(7), np.array([3, 4]), True)
+    assert np.isfinite(lp).all()
+
+
+def test_only_changed_parameters_move(spark):
+    """A word that one task alone reads is not drawn back by the others; one that none reads stays."""
+    net = _net()
+    start = net.values()
+    names = [f"w{k}" for k in range(400)]
+    texts = pa.array([" ".join(names)])
+    hashes = lm.tokens(texts, 32)[0][:400]
+    words = lm.Words(hashes, net.words.counts[:400], net.words.class_of, net.words.class_start, net.words.kind_mass, 9999, 400)
+    of = np.concatenate([np.repeat(np.arange(400), 16), np.full(len(start) - 6400, -1)])  # embeddings come first
+    alone = lm.train_round(spark.createDataFrame([("w7 w8 " * 50,)], "text string").coalesce(1), "text", words, net.settings, start)
+    both = spark.createDataFrame([("w7 w8 " * 50,), ("w300 w301 " * 50,)], "text string").repartitionByRange(2, "text")
+    made = lm.train_round(both, "text", words, net.settings, start)
+    assert (made[of == 7] == alone[of == 7]).all() and (made[of == 7] != start[of == 7]).any()
+    assert (made[of == 300] != start[of == 300]).any() and (made[of == 301] != start[of == 301]).any()
+    assert (made[of == 9] == start[of == 9]).all()
