@@ -16,6 +16,8 @@ so do words of a partly equal line that lie further than ``least_words`` from it
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -27,8 +29,10 @@ LEAST_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the blanks before it.
 PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
-#: Blanks with a line break among them, from their first one on.
-BREAK = r"(?<![\x20\x09-\x0D])[\x20\x09\x0B-\x0D]*+\n[\x20\x09-\x0D]*+"
+#: A line break with the blanks and breaks after it.
+BREAK = r"\n[\x20\x09-\x0D]*+"
+#: What lies between words of a line where it is not a single space.
+GAP = r"[\x20\x09\x0B-\x0D]{2,}+|[\x09\x0B-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 KEY = ["_id", "_text"]
 
@@ -37,6 +41,12 @@ def _pieces(text) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), 0)
 
 
+def _odd(text: str) -> Column:
+    """Whether a text has blanks other than single spaces and line breaks."""
+    has = [F.contains(F.col(text), F.lit(x)) for x in ("  ", "\t", "\r", "\x0b", "\x0c")]
+    return reduce(lambda a, b: a | b, has)
+
+
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
@@ -60,10 +70,13 @@ def text_lines(keyed: DataFrame, least_words: int) -> DataFrame:
     Rows that are wholly equal give their lines once.
     """
     split = keyed.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    split = split.select(*KEY, "pos", F.regexp_extract_all("line", F.lit(WORD), 0).alias("line"))
-    split = split.select(*KEY, "pos", F.size("line").cast("long").alias("words"), _digest(F.array_join("line", " ")).alias("hash"),
-                         F.hash(F.get("line", F.lit(0))).alias("opens"), F.hash(F.get("line", F.size("line") - 1)).alias("closes"))
-    lines = split.filter("words > 0").repartition(*KEY).dropDuplicates([*KEY, "pos"])
+    # Words stay text, one space between two: no arrays of words. Patterns only where a look for odd blanks finds some.
+    one = F.regexp_replace(F.btrim("line", F.lit(BLANKS)), GAP, " ")
+    split = split.select(*KEY, "pos", F.when(_odd("line"), one).otherwise(F.trim("line")).alias("line")).filter("line != ''")
+    words = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    split = split.select(*KEY, "pos", words.cast("long").alias("words"), _digest(F.col("line")).alias("hash"),
+                         F.hash(F.substring_index("line", " ", 1)).alias("opens"), F.hash(F.substring_index("line", " ", -1)).alias("closes"))
+    lines = split.repartition(*KEY).dropDuplicates([*KEY, "pos"])
     by_doc = W.partitionBy(*KEY)
     until = F.sum("words").over(by_doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
     lines = lines.withColumns({"until": until, "total": F.sum("words").over(by_doc)}).withColumn("since", F.col("until") - F.col("words"))
@@ -117,18 +130,16 @@ def near_words(keyed: DataFrame, lines: DataFrame, least_words: int) -> DataFram
     texts = keyed.select(*KEY, "text").filter("text IS NOT NULL")
     texts = texts.join(found, F.col("_id").eqNullSafe(F.col("_at_id")) & (F.col("_text") == F.col("_at_text")))
     # A word that begins a line carries its line break.
-    tokens = F.split(F.regexp_replace(F.btrim("text", F.lit(BLANKS)), BREAK, " \n"), r"[\x20\x09\x0B-\x0D]+", -1)
+    texts = texts.select(*KEY, "starts", F.regexp_replace(F.btrim("text", F.lit(BLANKS)), BREAK, " \n").alias("text"))
+    tokens = F.when(_odd("text"), F.split("text", r"[\x20\x09\x0B-\x0D]+", -1)).otherwise(F.split("text", " ", -1))
     texts = texts.select(*KEY, "starts", tokens.alias("tokens"))
-    # Words are hashed once; a break before the first word of a window does not count.
-    bare = F.transform("tokens", lambda w: F.xxhash64(F.ltrim(w, F.lit("\n"))))
-    texts = texts.select(*KEY, "starts", bare.alias("bare"), F.transform("tokens", lambda w: F.xxhash64(w)).alias("told"))
-
-    def window(t: Column) -> Column:
-        at = t.cast("int")
-        key = _window_key(F.get("bare", at), F.slice("told", at + 2, least_words - 1))
-        return F.struct(t.alias("start"), (t + (least_words - 1)).alias("end"), *key)
-
-    return texts.select(*KEY, F.explode(F.transform("starts", window)).alias("w")).select(*KEY, "w.*")
+    texts = texts.select(*KEY, "starts", "tokens", F.transform("tokens", lambda w: F.xxhash64(w)).alias("told"))
+    # Windows are rows before they are hashed: code is generated for that, but none within a function over arrays.
+    texts = texts.select(*KEY, "tokens", "told", F.explode("starts").alias("start"))
+    # A break before the first word of a window does not count.
+    bare = F.xxhash64(F.ltrim(F.get("tokens", F.col("start").cast("int")), F.lit("\n")))
+    others = F.slice("told", F.col("start").cast("int") + 2, least_words - 1)
+    return texts.select(*KEY, "start", (F.col("start") + (least_words - 1)).alias("end"), *_window_key(bare, others))
 
 
 def repeated(windows: DataFrame) -> DataFrame:
@@ -152,32 +163,26 @@ def runs(repeats: DataFrame) -> DataFrame:
     return merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
-def _flags(found: Column) -> Column:
-    """A byte for each word up to the last that goes: 1 goes, 0 stays."""
-
-    def part(r: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(found, i - 1)["end"])
-        count = lambda n: n.cast("int")
-        return F.concat(F.repeat(F.lit("0"), count(r["start"] - before - 1)), F.repeat(F.lit("1"), count(r["end"] - r["start"] + 1)))
-
-    return F.encode(F.array_join(F.transform(found, part), ""), "US-ASCII")
-
-
-def _without(text: str, flags: str) -> Column:
-    """The text without the words that go. What follows a run begins a line; a text that lost its beginning begins with a word."""
-    goes = lambda i: F.coalesce(F.substr(flags, i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))
-
-    def piece(p: Column, i: Column) -> Column:
-        after_run = (i > 0) & goes(i - 1) & ~F.contains(p, F.lit("\n"))
-        return F.when(~goes(i), F.when(after_run, F.concat(F.lit("\n"), F.ltrim(p, F.lit(BLANKS)))).otherwise(p))
+def _without(text: str, found: str) -> Column:
+    """The text without its runs ``found``. What follows a run begins a line; a text that lost its beginning begins with a word."""
+    run = lambda i: F.get(found, i)
 
     def joined(pieces: Column) -> Column:
+        def between(i: Column) -> Column:
+            since = F.when(i == 0, F.lit(0).cast("long")).otherwise(run(i - 1)["end"] + 1)
+            until = F.coalesce(run(i)["start"], F.size(pieces).cast("long"))
+            stay = F.slice(pieces, (since + 1).cast("int"), (until - since).cast("int"))
+            told = F.array_join(stay, "")
+            after_run = (i > 0) & ~F.contains(F.get(stay, F.lit(0)), F.lit("\n"))
+            return F.when(after_run, F.concat(F.lit("\n"), F.ltrim(told, F.lit(BLANKS)))).otherwise(told)
+
         tail = F.substr(text, F.char_length(F.rtrim(text, F.lit(BLANKS))) + 1)
-        return F.concat(F.array_join(pieces, ""), F.when(F.get(pieces, F.size(pieces) - 1).isNotNull(), tail).otherwise(""))
+        last_goes = run(F.size(found) - 1)["end"] == F.size(pieces) - 1
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size(found)), between), ""), F.when(last_goes, "").otherwise(tail))
 
     # An array of one: its item is made once, however often it is used.
-    kept = F.get(F.transform(F.array(F.transform(_pieces(text), piece)), joined), F.lit(0))
-    return F.when(goes(F.lit(0)), F.ltrim(kept, F.lit(BLANKS))).otherwise(kept)
+    kept = F.get(F.transform(F.array(_pieces(text)), joined), F.lit(0))
+    return F.when(run(F.lit(0))["start"] == 0, F.ltrim(kept, F.lit(BLANKS))).otherwise(kept)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
@@ -195,10 +200,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", leas
     windows = written(near_lines(prints).union(near_words(keyed, lines, least_words)), "line-windows")
     gone = runs(repeated(windows)).withColumnsRenamed({"_id": "_gone_id", "_text": "_gone_text"})
     out = keyed.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text") == F.col("_gone_text")), "left")
-    out = out.withColumn("flags", _flags(F.col("runs")))
-    out = out.select("row", "text", F.when(F.col("runs").isNull(), F.col("text")).otherwise(_without("text", "flags")).alias("kept"), F.col("runs").isNotNull().alias("cut"))
+    out = out.select("row", "text", F.when(F.col("runs").isNull(), F.col("text")).otherwise(_without("text", "runs")).alias("kept"), F.col("runs").isNotNull().alias("cut"))
     has_word = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
     count_of = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(F.filter(F.split(c, "\n", -1), has_word))).cast("long")
-    removed = F.when(F.col("cut"), count_of("text") - count_of("kept")).otherwise(F.lit(0).cast("long"))
+    out = out.withColumn("lines", count_of("text"))
+    removed = F.when(F.col("cut"), F.col("lines") - count_of("kept")).otherwise(F.lit(0).cast("long"))
     shown = [F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in columns]
-    return out.select(*shown, count_of("text").alias("n_lines"), removed.alias("n_removed"))
+    return out.select(*shown, F.col("lines").alias("n_lines"), removed.alias("n_removed"))

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortspark.llm import lm, lookup, minhash, packing, pieces, quality, words
+from cohortspark.llm import line_dedup, lm, lookup, minhash, packing, pieces, quality, words
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -241,3 +241,21 @@ def test_only_changed_parameters_move(spark):
     assert (made[of == 7] == alone[of == 7]).all() and (made[of == 7] != start[of == 7]).any()
     assert (made[of == 300] != start[of == 300]).any() and (made[of == 301] != start[of == 301]).any()
     assert (made[of == 9] == start[of == 9]).all()
+
+
+def test_lines_with_odd_blanks_equal_plain_ones(spark):
+    """Lines and windows are the same however words are set apart; lines are made without arrays of words, windows are hashed as rows."""
+    plain = ["\n".join(f"{k} " + " ".join(f"x{k * j % 97}" for j in range(1, 14)) for k in range(a, a + 12)) for a in (0, 3, 40, 6)]
+    odd = [f" \t{t}\r\n \x0b\n".replace(" ", "  ", 9).replace("x5 ", "x5\t").replace("\n", " \n\x0c ", 3) for t in plain]
+
+    def both(texts):
+        keyed = line_dedup._keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").withColumn("_text", F.lit(0))
+        lines = line_dedup.text_lines(keyed, 50)
+        return lines, line_dedup.near_words(keyed, lines, 50)
+
+    shown = [both(plain), both(odd)]
+    for a, b, columns in [(*[x[0] for x in shown], ["_id", "words", "since", "until", "hash"]), (*[x[1] for x in shown], ["_id", "start", "end", "key", "check"])]:
+        rows = sorted(map(tuple, a.select(columns).collect()))
+        assert len(rows) > 30 and rows == sorted(map(tuple, b.select(columns).collect()))
+    plan = shown[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "explode(starts" in plan
